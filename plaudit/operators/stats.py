@@ -73,7 +73,8 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> Data
             xb = F.when(both, F.col(b).cast("double"))
             r = F.try_divide(F.covar_pop(xa, xb), F.stddev_pop(xa) * F.stddev_pop(xb))
             name = f"_r{len(aggs)}"
-            aggs.append(F.least(F.greatest(r, F.lit(-1.0)), F.lit(1.0)).alias(name))
+            clipped = F.least(F.greatest(r, F.lit(-1.0)), F.lit(1.0))  # greatest skips nulls
+            aggs.append(F.when(r.isNotNull(), clipped).alias(name))
             cells[(a, b)] = cells[(b, a)] = name
     entries = [F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(cells[(a, b)]).alias("r"))
                for a in cols for b in cols]

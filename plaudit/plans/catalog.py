@@ -579,7 +579,7 @@ def _corr_cell(a: str, b: str) -> str:
     xa, xb = f"CASE WHEN {both} THEN {a} END", f"CASE WHEN {both} THEN {b} END"
     r = (f"CASE WHEN stddev_pop({xa}) * stddev_pop({xb}) = 0 THEN NULL "
          f"ELSE covar_pop({xa}, {xb}) / (stddev_pop({xa}) * stddev_pop({xb})) END")
-    return f"least(greatest({r}, -1.0), 1.0)"
+    return f"CASE WHEN ({r}) IS NULL THEN NULL ELSE least(greatest({r}, -1.0), 1.0) END"
 
 
 # Fill the correlation cells into the registered SQL.
