@@ -17,6 +17,13 @@ FALLBACK_THRESHOLD = 4.0
 MEDIAN_ACCURACY = 100  # percentile_approx accuracy = 1 / relative error
 
 
+def _binary(mn, mx, distinct):
+    """The original's binary-scale test over the aggregate columns."""
+    cond = ((distinct <= BINARY_MAX_DISTINCT) & mn.isNotNull() & mx.isNotNull()
+            & (mn >= -1) & (mx <= 1))
+    return F.coalesce(cond, F.lit(False))
+
+
 def score_profile(df: DataFrame, score: str = "review_score") -> DataFrame:
     """One row: min, max, distinct, binary, threshold — one pass, no collect.
 
@@ -30,12 +37,7 @@ def score_profile(df: DataFrame, score: str = "review_score") -> DataFrame:
         F.count_distinct(s).alias("distinct"),
         F.percentile_approx(s, 0.5, MEDIAN_ACCURACY).cast("double").alias("_median"),
     )
-    binary = (
-        (F.col("distinct") <= BINARY_MAX_DISTINCT)
-        & F.col("min").isNotNull() & F.col("max").isNotNull()
-        & (F.col("min") >= -1) & (F.col("max") <= 1)
-    )
-    binary = F.coalesce(binary, F.lit(False))
+    binary = _binary(F.col("min"), F.col("max"), F.col("distinct"))
     threshold = (
         F.when(binary, F.lit(1.0))
         .when(F.col("max") <= 5, F.lit(FIVE_STAR_THRESHOLD))
@@ -57,15 +59,22 @@ def score_threshold(df: DataFrame, score: str = "review_score"):
 def global_sentiment_summary(df: DataFrame, score: str = "review_score",
                              only_binary: bool = True) -> DataFrame:
     """One row (positive_count, negative_count, positive_ratio 6 dp); empty
-    unless the scale is binary (C5), as the original writes it only then."""
-    pos = F.count_if(is_positive(score)).alias("positive_count")
-    out = df.agg(pos, F.count(F.lit(1)).alias("_total"))
-    out = out.select(
+    unless the scale is binary (C5), as the original writes it only then.
+
+    The binary test (min, max, distinct) is part of the same aggregate, so
+    the input is read once.
+    """
+    s = F.col(score)
+    out = df.agg(
+        F.count_if(is_positive(score)).alias("positive_count"),
+        F.count(F.lit(1)).alias("_total"),
+        _binary(F.min(s), F.max(s), F.count_distinct(s)).alias("_binary"),
+    )
+    if only_binary:
+        out = out.filter(F.col("_binary"))
+    return out.select(
         "positive_count",
         (F.col("_total") - F.col("positive_count")).alias("negative_count"),
         F.round(F.coalesce(F.try_divide(F.col("positive_count"), F.col("_total")), F.lit(0.0)), 6)
         .alias("positive_ratio"),
     )
-    if only_binary:
-        out = out.filter(score_profile(df, score).select("binary").scalar())
-    return out
