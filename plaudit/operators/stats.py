@@ -3,10 +3,20 @@ pandas/numpy for its charts, re-aimed as Spark aggregates (SURVEY §2.7).
 
 Common pattern: ``fold`` the values to ``(group, value, freq)`` with a
 partial-aggregated ``groupBy`` — a hot group or value is pre-aggregated on
-the map side — and compute quantiles, moments, histograms, box statistics
-and densities from the folded table, whose size is the number of distinct
-values per group, not the number of rows. Quantiles are exact (linear
-interpolation, as numpy/pandas). Nothing is collected to the driver.
+the map side — and compute moments, histograms, box statistics and densities
+from the folded table, whose size is the number of distinct values per
+group, not the number of rows. Per-group figures (n, mean, min, max,
+quartiles) are small aggregates over the folded rows, attached back with a
+null-safe join on the group: an explicit broadcast where the number of
+groups is known (no grouping, or the two sentiments), otherwise left to
+AQE's runtime size check. No window is used, so no task ever holds a whole
+group's values.
+
+Quantiles are exact (linear interpolation, as numpy/pandas). An exact
+quantile has to merge a group's value counts in one task; for
+high-cardinality columns pass ``accuracy=`` to use ``percentile_approx``
+instead, a mergeable sketch of bounded size. Nothing is collected to the
+driver.
 """
 
 from __future__ import annotations
@@ -14,7 +24,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window  # Window: two-row share totals only
 from pyspark.sql import functions as F
 
 from plaudit.functions.sentiment import sentiment as sentiment_expr
@@ -31,29 +41,53 @@ def _valid(c: Column) -> Column:
     return c.isNotNull() & ~F.isnan(c)
 
 
-def fold(df: DataFrame, value: str, by: str | None = None) -> DataFrame:
-    """(group, value, freq): value counts per group, nulls and NaN dropped."""
+BOUNDED_GROUP_COLUMNS = ("sentiment",)  # at most two values by construction
+
+
+def _base(df: DataFrame, value: str, by: str | None) -> DataFrame:
     v = F.col(value).cast("double")
     g = F.col(by).cast("string") if by else F.lit(ALL)
-    base = df.select(g.alias("group"), v.alias("value")).filter(_valid(F.col("value")))
-    return base.groupBy("group", "value").agg(F.count(F.lit(1)).alias("freq"))
-
+    return df.select(g.alias("group"), v.alias("value")).filter(_valid(F.col("value")))
 
-def _with_moments(folded: DataFrame) -> DataFrame:
-    """Attach per-group n, mean, sample std, min, max to every folded row.
 
-    Two-pass moments over the folded rows (exact mean, then squared
-    deviations); windows over ``group`` only see distinct values.
-    """
-    w = Window.partitionBy("group")
-    out = (folded
-           .withColumn("_n", F.sum("freq").over(w))
-           .withColumn("_mean", F.sum(F.col("value") * F.col("freq")).over(w) / F.col("_n"))
-           .withColumn("_min", F.min("value").over(w))
-           .withColumn("_max", F.max("value").over(w)))
-    out = out.withColumn(
-        "_m2", F.sum(F.col("freq") * (F.col("value") - F.col("_mean")) ** 2).over(w))
-    return out.withColumn("_std", F.sqrt(F.try_divide(F.col("_m2"), F.col("_n") - 1)))
+def fold(df: DataFrame, value: str, by: str | None = None) -> DataFrame:
+    """(group, value, freq): value counts per group, nulls and NaN dropped."""
+    return _base(df, value, by).groupBy("group", "value").agg(F.count(F.lit(1)).alias("freq"))
+
+
+def _attach(rows: DataFrame, per_group: DataFrame, by: str | None) -> DataFrame:
+    """Join per-group figures onto ``rows`` (null group is a group too)."""
+    small = by is None or by in BOUNDED_GROUP_COLUMNS
+    right = per_group.withColumnRenamed("group", "_g")
+    right = F.broadcast(right) if small else right
+    return rows.join(right, rows["group"].eqNullSafe(right["_g"])).drop("_g")
+
+
+def _moments(folded: DataFrame, by: str | None) -> DataFrame:
+    """Per group: _n, _mean, _std (sample), _min, _max — two-pass over the
+    folded rows (exact mean first, then squared deviations)."""
+    first = folded.groupBy("group").agg(
+        F.sum("freq").alias("_n"),
+        (F.sum(F.col("value") * F.col("freq")) / F.sum("freq")).alias("_mean"),
+        F.min("value").alias("_min"), F.max("value").alias("_max"))
+    dev = _attach(folded, first, by).groupBy("group").agg(
+        F.max("_n").alias("_n"), F.max("_mean").alias("_mean"),
+        F.max("_min").alias("_min"), F.max("_max").alias("_max"),
+        F.sum(F.col("freq") * (F.col("value") - F.col("_mean")) ** 2).alias("_m2"))
+    return dev.select("group", "_n", "_mean", "_min", "_max",
+                      F.sqrt(F.try_divide(F.col("_m2"), F.col("_n") - 1)).alias("_std"))
+
+
+def _quantiles(df: DataFrame, value: str, by: str | None, probs: Sequence[float],
+               accuracy: int | None, folded: DataFrame | None = None) -> DataFrame:
+    """(group, _q array): exact from the folded counts, or approximate
+    (``percentile_approx`` sketch over the rows) when ``accuracy`` is set."""
+    if accuracy:
+        return _base(df, value, by).groupBy("group").agg(
+            F.percentile_approx("value", list(probs), accuracy).cast("array<double>").alias("_q"))
+    folded = folded if folded is not None else fold(df, value, by)
+    return folded.groupBy("group").agg(
+        F.percentile(F.col("value"), list(probs), F.col("freq")).alias("_q"))
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -82,19 +116,20 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> Data
 
 
 def describe(df: DataFrame, value: str, by: str | None = None,
-             probs: Sequence[float] = DESCRIBE_PROBS) -> DataFrame:
+             probs: Sequence[float] = DESCRIBE_PROBS, accuracy: int | None = None) -> DataFrame:
     """count, mean, std (sample), min, quartiles (linear), max per group.
 
     Quantile columns are named ``q25``, ``q50``, ``q75`` for the default
     probabilities (``q<100*p>`` in general).
     """
-    m = _with_moments(fold(df, value, by))
-    qs = F.percentile(F.col("value"), list(probs), F.col("freq"))
-    out = m.groupBy("group").agg(
-        F.max("_n").alias("count"), F.max("_mean").alias("mean"), F.max("_std").alias("std"),
-        F.max("_min").alias("min"), qs.alias("_q"), F.max("_max").alias("max"))
+    folded = fold(df, value, by)
+    m = _moments(folded, by)
+    q = _quantiles(df, value, by, probs, accuracy, folded)
+    out = _attach(m, q, by)
     qcols = [F.col("_q")[i].alias(f"q{round(p * 100):d}") for i, p in enumerate(probs)]
-    return out.select("group", "count", "mean", "std", "min", *qcols, "max")
+    return out.select("group", F.col("_n").alias("count"), F.col("_mean").alias("mean"),
+                      F.col("_std").alias("std"), F.col("_min").alias("min"), *qcols,
+                      F.col("_max").alias("max"))
 
 
 def describe_lengths(df: DataFrame) -> DataFrame:
@@ -103,15 +138,16 @@ def describe_lengths(df: DataFrame) -> DataFrame:
                     "review_length").drop("group")
 
 
-def quantile(df: DataFrame, value: str, q: float) -> Column:
-    """Exact (linear) quantile of ``value`` as a scalar-subquery Column."""
-    folded = fold(df, value)
-    return folded.select(F.percentile(F.col("value"), q, F.col("freq"))).scalar()
+def quantile(df: DataFrame, value: str, q: float, accuracy: int | None = None) -> Column:
+    """Quantile of ``value`` (exact, linear; approximate with ``accuracy``)
+    as a scalar-subquery Column."""
+    return _quantiles(df, value, None, [q], accuracy).select(F.col("_q")[0]).scalar()
 
 
-def trim_upper_quantile(df: DataFrame, value: str, q: float = 0.95) -> DataFrame:
+def trim_upper_quantile(df: DataFrame, value: str, q: float = 0.95,
+                        accuracy: int | None = None) -> DataFrame:
     """Rows whose ``value`` is at most its ``q`` quantile."""
-    return df.filter(F.col(value) <= quantile(df, value, q))
+    return df.filter(F.col(value) <= quantile(df, value, q, accuracy))
 
 
 def _bin_index(v: Column, lo: Column, hi: Column, bins: int) -> Column:
@@ -135,21 +171,22 @@ def histogram(df: DataFrame, value: str, bins: int, by: str | None = None) -> Da
     Output (group, bin, lo, hi, n) with every bin present (n = 0 when
     empty). When min = max the range is widened to min-0.5 .. max+0.5.
     """
-    m = _with_moments(fold(df, value, by))
-    span0 = F.col("_max") - F.col("_min")
-    lo = F.when(span0 == 0, F.col("_min") - DEGENERATE_HALF_WIDTH).otherwise(F.col("_min"))
-    hi = F.when(span0 == 0, F.col("_max") + DEGENERATE_HALF_WIDTH).otherwise(F.col("_max"))
-    binned = m.select("group", "value", "freq", lo.alias("_lo"), hi.alias("_hi"))
+    folded = fold(df, value, by)
+    span = folded.groupBy("group").agg(F.min("value").alias("_min"), F.max("value").alias("_max"))
+    same = F.col("_max") == F.col("_min")
+    span = span.select(
+        "group",
+        F.when(same, F.col("_min") - DEGENERATE_HALF_WIDTH).otherwise(F.col("_min")).alias("_lo"),
+        F.when(same, F.col("_max") + DEGENERATE_HALF_WIDTH).otherwise(F.col("_max")).alias("_hi"))
+    binned = _attach(folded, span, by)
     binned = binned.withColumn("bin", _bin_index(F.col("value"), F.col("_lo"), F.col("_hi"), bins))
-    counts = binned.groupBy("group", "bin").agg(
-        F.sum("freq").alias("n"), F.max("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
+    counts = binned.groupBy("group", "bin").agg(F.sum("freq").alias("n"))
     # One row per group with a bin -> count map of at most ``bins`` entries.
     per_group = counts.groupBy("group").agg(
-        F.max("_lo").alias("_lo"), F.max("_hi").alias("_hi"),
         F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("_m"))
+    full = _attach(span, per_group, by).select(
+        "group", "_lo", "_hi", "_m", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     step = (F.col("_hi") - F.col("_lo")) / bins
-    full = per_group.select("group", "_lo", "_hi", "_m",
-                            F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     return full.select(
         "group", "bin",
         (F.col("_lo") + F.col("bin") * step).alias("lo"),
@@ -170,14 +207,13 @@ def sentiment_shares(df: DataFrame, rule: str = "equals_one", threshold=None) ->
 
 
 def box_stats(df: DataFrame, value: str, by: str | None = None,
-              whis: float = BOX_WHISKER) -> DataFrame:
+              whis: float = BOX_WHISKER, accuracy: int | None = None) -> DataFrame:
     """Box-plot statistics per group (G7): n, q1, median, q3, iqr, whiskers
     (most extreme values within ``whis`` IQR of the box, never inside it),
     number of outliers beyond them, min and max."""
     folded = fold(df, value, by)
-    w = Window.partitionBy("group")
-    qs = F.percentile(F.col("value"), [0.25, 0.5, 0.75], F.col("freq")).over(w)
-    f = folded.withColumn("_q", qs)
+    q = _quantiles(df, value, by, [0.25, 0.5, 0.75], accuracy, folded)
+    f = _attach(folded, q, by)
     q1, q3 = F.col("_q")[0], F.col("_q")[2]
     iqr = q3 - q1
     lo_fence, hi_fence = q1 - whis * iqr, q3 + whis * iqr
@@ -205,13 +241,15 @@ def density(df: DataFrame, value: str, by: str | None = None, grid: int = KDE_GR
     variance or a single value get no curve. Work is distinct values x grid:
     each folded row fans out to ``grid`` contributions, summed per point.
     """
-    m = _with_moments(fold(df, value, by))
+    folded = fold(df, value, by)
+    m = _moments(folded, by)
     m = m.withColumn("_bw", F.col("_std") * F.pow(F.col("_n").cast("double"), F.lit(-0.2)))
-    m = m.filter(F.col("_bw") > 0)
-    gmin = F.col("_min") - cut * F.col("_bw")
-    gmax = F.col("_max") + cut * F.col("_bw")
-    m = m.select("group", "value", "freq", "_n", "_bw", gmin.alias("_gmin"), gmax.alias("_gmax"))
-    pts = m.select("*", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("i"))
+    m = m.filter(F.col("_bw") > 0).select(
+        "group", "_n", "_bw",
+        (F.col("_min") - cut * F.col("_bw")).alias("_gmin"),
+        (F.col("_max") + cut * F.col("_bw")).alias("_gmax"))
+    rows = _attach(folded, m, by)
+    pts = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("i"))
     step = (F.col("_gmax") - F.col("_gmin")) / (grid - 1)
     x = F.when(F.col("i") == grid - 1, F.col("_gmax")).otherwise(F.col("_gmin") + F.col("i") * step)
     z = (x - F.col("value")) / F.col("_bw")
