@@ -551,6 +551,15 @@ for _sent, _minf, _maxw, _suffix in [(None, TX.MIN_FREQ_ALL, TX.CLOUD_WORDS_ALL,
              )(_mk_cloud(_sent, _maxw))
 
 
+@register("cloud_weights_sampled", None)
+def q_cloud_weights_sampled(spark, sf):
+    """Word-cloud weights over the 10 % hash sample of reviews, as the job
+    computes them (F4 -> F6 -> F7); sampling has no SQL equivalent."""
+    freq = TX.cleaned_word_freq(_rc(spark, sf), fraction=TX.TEXT_SAMPLE_FRACTION,
+                                sample_keys=["row_id"])
+    return TX.cloud_weights(freq, TX.CLOUD_WORDS_ALL)
+
+
 # --------------------------------------------------------------------------
 # G: statistics
 # --------------------------------------------------------------------------

@@ -37,7 +37,7 @@ from plaudit.operators import scale as SC
 from plaudit.operators import stats as ST
 from plaudit.operators import text as TX
 from plaudit.sources.reviews import read_reviews, standardize_columns
-from plaudit.sources.sinks import materialize, write_corpus, write_table
+from plaudit.sources.sinks import materialize, write_corpus, write_key_values, write_table
 
 
 def prepare(raw: DataFrame, dedup: bool = True, order_by: str | None = None,
@@ -148,6 +148,11 @@ def run_all(spark: SparkSession, reviews: DataFrame | str, out_dir: str, *,
             continue
         write_table(build(), f"{out}/{name}", out_format)
         written.append(name)
+    if only is None:
+        write_key_values(SC.score_profile(base), f"{out}/score_scale_summary")
+        write_key_values(SC.global_sentiment_summary(base), f"{out}/global_binary_summary",
+                         {"positive_ratio": "%.6f"})
+        written += ["score_scale_summary", "global_binary_summary"]
     if write_text_corpus:
         sampled = C.sample_reviews(base, TX.TEXT_SAMPLE_FRACTION)
         write_corpus(sampled, f"{out}/corpus", rule=rule, threshold=threshold)

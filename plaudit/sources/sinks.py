@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from plaudit.functions.sentiment import sentiment as sentiment_expr
 from plaudit.functions.text import clean_text
@@ -19,6 +20,34 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     writer.format(fmt).save(path)
 
 
+def write_key_values(df: DataFrame, path: str, formats: dict[str, str] | None = None,
+                     mode: str = "overwrite") -> None:
+    """One ``key=value`` text line per column of a one-row summary table
+    (the original's ``score_scale_summary.txt`` / ``global_binary_summary.txt``).
+
+    Booleans print as ``True``/``False`` and nulls as ``None``, as the
+    original's Python formatting did; ``formats`` maps a column to a
+    ``format_string`` pattern (for example ``{"positive_ratio": "%.6f"}``).
+    """
+    formats = formats or {}
+    dtypes = dict(df.dtypes)
+
+    def text(c: str):
+        col = F.col(c)
+        if c in formats:
+            v = F.format_string(formats[c], col)
+        elif dtypes[c] == "boolean":
+            v = F.when(col, F.lit("True")).otherwise(F.lit("False"))
+        else:
+            v = col.cast("string")
+        return F.coalesce(v, F.lit("None"))
+
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.concat(F.lit(f"{c}="), text(c)).alias("line"))
+                      for i, c in enumerate(df.columns)])
+    lines = df.select(F.inline(pairs)).orderBy("i").select(F.col("line").alias("value"))
+    lines.coalesce(1).write.mode(mode).text(path)  # a handful of lines
+
+
 def write_corpus(df: DataFrame, path: str, rule: str = "equals_one", threshold=None,
                  mode: str = "overwrite") -> None:
     """Cleaned review text, one line per review, one folder per sentiment.

@@ -102,3 +102,25 @@ def test_sample_fraction_outside_range_keeps_all(spark):
     s = FX.reviews_s(spark, SF_SMALL)
     assert C.sample_reviews(s, 1.0).count() == s.count()
     assert C.sample_reviews(s, 0.0).count() == s.count()
+
+
+def test_approximate_quantiles_close_to_exact(spark):
+    s = FX.reviews_s(spark, SF_ORACLE)
+    exact = ST.describe(s, "review_votes").first()
+    approx = ST.describe(s, "review_votes", accuracy=1000).first()
+    for c in ("q25", "q50", "q75"):
+        assert abs(exact[c] - approx[c]) <= 1.0
+    assert exact["count"] == approx["count"]
+    box = ST.box_stats(s, "review_votes", accuracy=1000).first()
+    assert abs(box.median - exact.q50) <= 1.0
+
+
+def test_sampled_cloud_uses_only_sampled_reviews(spark):
+    import __spark_entry__ as E
+    from plaudit.operators import text as TX
+    got = E.queries()["cloud_weights_sampled"](spark, SF_ORACLE).collect()
+    cleaned = C.clean_reviews(FX.reviews_r(spark, SF_ORACLE), order_by="row_id")
+    sampled = C.sample_reviews(cleaned, 0.1, keys=["row_id"])
+    want = TX.cloud_weights(TX.cleaned_word_freq(sampled), 150).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(got) > 0
+    assert max(r.weight for r in got) == 1.0

@@ -15,7 +15,8 @@ def test_run_all_writes_every_table(spark):
     out = tempfile.mkdtemp(prefix="plaudit-job-", dir="/tmp")
     raw = FX.reviews_r(spark, SF_SMALL)
     names = run_all(spark, raw, out)
-    expected = {"cleaning_audit", "games_sentiment", "reviews_percentage", "corpus"}
+    expected = {"cleaning_audit", "games_sentiment", "reviews_percentage", "corpus",
+                "score_scale_summary", "global_binary_summary"}
     expected |= set(outputs(raw, raw, raw).keys())
     assert set(names) == expected
     audit = spark.read.parquet(f"{out}/cleaning_audit").first()
@@ -26,6 +27,11 @@ def test_run_all_writes_every_table(spark):
     corpus = spark.read.text(f"{out}/corpus")
     assert set(corpus.columns) == {"value", "sentiment"}
     assert spark.read.parquet(f"{out}/score_profile").first().binary
+    lines = [r.value for r in spark.read.text(f"{out}/score_scale_summary").collect()]
+    assert lines == ["min=0.0", "max=1.0", "distinct=2", "binary=True", "threshold=1.0"]
+    glob = [r.value for r in spark.read.text(f"{out}/global_binary_summary").collect()]
+    assert [g.split("=")[0] for g in glob] == ["positive_count", "negative_count", "positive_ratio"]
+    assert len(glob[2].split(".")[1]) == 6
 
 
 def test_run_all_reads_csv(spark, tmp_path):
