@@ -37,7 +37,8 @@ from plaudit.operators import scale as SC
 from plaudit.operators import stats as ST
 from plaudit.operators import text as TX
 from plaudit.sources.reviews import read_reviews, standardize_columns
-from plaudit.sources.sinks import materialize, write_corpus, write_key_values, write_table
+from plaudit.sources.sinks import (drop_materialized, materialize, write_corpus,
+                                   write_key_values, write_table)
 
 
 def prepare(raw: DataFrame, dedup: bool = True, order_by: str | None = None,
@@ -130,8 +131,12 @@ def run_all(spark: SparkSession, reviews: DataFrame | str, out_dir: str, *,
             input_format: str = "csv", dedup: bool = True, order_by: str | None = None,
             sample_fraction: float = 1.0, rule: str = "equals_one",
             out_format: str = "parquet", write_text_corpus: bool = True,
-            only: list[str] | None = None) -> list[str]:
-    """Run the whole analysis; returns the names of the written tables."""
+            only: list[str] | None = None, keep_intermediate: bool = False) -> list[str]:
+    """Run the whole analysis; returns the names of the written tables.
+
+    The materialised cleaned table is deleted at the end unless
+    ``keep_intermediate``.
+    """
     raw = reviews if isinstance(reviews, DataFrame) else read_reviews(spark, reviews, input_format)
     out = out_dir.rstrip("/")
     base = materialize(prepare(raw, dedup, order_by, sample_fraction, rule), "cleaned")
@@ -157,6 +162,8 @@ def run_all(spark: SparkSession, reviews: DataFrame | str, out_dir: str, *,
         sampled = C.sample_reviews(base, TX.TEXT_SAMPLE_FRACTION)
         write_corpus(sampled, f"{out}/corpus", rule=rule, threshold=threshold)
         written.append("corpus")
+    if not keep_intermediate:
+        drop_materialized(base)
     return written
 
 

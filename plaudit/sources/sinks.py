@@ -62,6 +62,17 @@ def write_corpus(df: DataFrame, path: str, rule: str = "equals_one", threshold=N
     out.write.mode(mode).partitionBy("sentiment").text(path)
 
 
+def drop_materialized(df: DataFrame) -> None:
+    """Delete the files behind a ``materialize``d DataFrame (job cleanup)."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in df.inputFiles()[:1]:
+        folder = jvm.org.apache.hadoop.fs.Path(p).getParent()
+        if "plaudit-" in folder.getName():
+            folder.getFileSystem(conf).delete(folder, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as parquet under the shared checkpoint folder, read it back.
 

@@ -1,5 +1,6 @@
 """The whole job on the smallest tables."""
 
+import glob
 import tempfile
 
 from pyspark.sql import functions as F
@@ -8,13 +9,17 @@ from conftest import SF_SMALL
 from plaudit.operators import clean as C
 from plaudit.operators import games as G
 from plaudit.plans.job import outputs, run_all
+from plaudit.session import checkpoint_root
 from plaudit.sources import fixtures as FX
 
 
 def test_run_all_writes_every_table(spark):
     out = tempfile.mkdtemp(prefix="plaudit-job-", dir="/tmp")
     raw = FX.reviews_r(spark, SF_SMALL)
+    root = checkpoint_root(spark).replace("file:", "")
+    before = set(glob.glob(f"{root}/plaudit-cleaned-*/*.parquet"))
     names = run_all(spark, raw, out)
+    assert set(glob.glob(f"{root}/plaudit-cleaned-*/*.parquet")) <= before  # intermediate removed
     expected = {"cleaning_audit", "games_sentiment", "reviews_percentage", "corpus",
                 "score_scale_summary", "global_binary_summary"}
     expected |= set(outputs(raw, raw, raw).keys())
@@ -29,9 +34,9 @@ def test_run_all_writes_every_table(spark):
     assert spark.read.parquet(f"{out}/score_profile").first().binary
     lines = [r.value for r in spark.read.text(f"{out}/score_scale_summary").collect()]
     assert lines == ["min=0.0", "max=1.0", "distinct=2", "binary=True", "threshold=1.0"]
-    glob = [r.value for r in spark.read.text(f"{out}/global_binary_summary").collect()]
-    assert [g.split("=")[0] for g in glob] == ["positive_count", "negative_count", "positive_ratio"]
-    assert len(glob[2].split(".")[1]) == 6
+    summary = [r.value for r in spark.read.text(f"{out}/global_binary_summary").collect()]
+    assert [g.split("=")[0] for g in summary] == ["positive_count", "negative_count", "positive_ratio"]
+    assert len(summary[2].split(".")[1]) == 6
 
 
 def test_run_all_reads_csv(spark, tmp_path):
