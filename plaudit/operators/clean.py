@@ -70,9 +70,11 @@ def sample_reviews(df: DataFrame, fraction: float, keys: Sequence[str] | None =
     """Keep about ``fraction`` of the rows.
 
     ``fraction`` outside (0, 1) keeps everything, as in the original job.
-    ``method="hash"`` (default) keeps a row by a hash of ``keys`` (all columns
-    when not given, so identical rows are kept or dropped together), stable
-    under any repartitioning; ``method="bernoulli"`` is ``DataFrame.sample``.
+    ``method="hash"`` (default) keeps a row by a hash of ``keys``, stable
+    under any repartitioning and under added columns. Without ``keys`` the
+    review identity is used — the dedup key (game id or game, and text) —
+    or all columns when those are missing; rows sharing the key are kept or
+    dropped together. ``method="bernoulli"`` is ``DataFrame.sample``.
     """
     if not 0 < fraction < 1:
         return df
@@ -80,7 +82,10 @@ def sample_reviews(df: DataFrame, fraction: float, keys: Sequence[str] | None =
         return df.sample(withReplacement=False, fraction=fraction, seed=seed)
     if method != "hash":
         raise ValueError(f"unknown sampling method {method!r}")
-    return df.filter(hash_sample_predicate(list(keys) if keys else df.columns, fraction, seed))
+    if not keys:
+        identity = dedup_key(df)
+        keys = identity if all(k in df.columns for k in identity) else df.columns
+    return df.filter(hash_sample_predicate(list(keys), fraction, seed))
 
 
 def cleaning_audit(raw: DataFrame, cleaned: DataFrame) -> DataFrame:

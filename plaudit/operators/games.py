@@ -39,20 +39,81 @@ def _scored(df: DataFrame, scored_only: bool) -> DataFrame:
     return df.filter(F.col("review_score").isNotNull()) if scored_only else df
 
 
-def _pos_neg(df: DataFrame, game: str, rule: str, threshold) -> DataFrame:
-    pos = F.count_if(is_positive("review_score", rule, threshold))
-    return df.groupBy(game).agg(pos.alias("_pos"), F.count(F.lit(1)).alias("_total"))
+def game_metrics(df: DataFrame, rule: str = "equals_one", threshold=None) -> DataFrame:
+    """One row per game: review_count, scored_count, score_sum, positive.
+
+    Every per-game table below is a projection of this single aggregate
+    (Catalyst drops the parts a projection does not use). ``run_all``
+    writes it once and derives all per-game outputs from the written table,
+    instead of scanning the reviews once per output.
+    """
+    return df.groupBy("game").agg(
+        F.count(F.lit(1)).alias("review_count"),
+        F.count("review_score").alias("scored_count"),
+        F.sum("review_score").alias("score_sum"),
+        F.count_if(is_positive("review_score", rule, threshold)).alias("positive"),
+    )
+
+
+def review_counts_from_metrics(gm: DataFrame) -> DataFrame:
+    return gm.select("game", "review_count")
+
+
+def avg_scores_from_metrics(gm: DataFrame) -> DataFrame:
+    return gm.select("game", F.try_divide(F.col("score_sum"), F.col("scored_count"))
+                     .alias("avg_review_score"))
+
+
+def sentiment_counts_from_metrics(gm: DataFrame) -> DataFrame:
+    return gm.select(
+        "game",
+        F.col("positive").alias("positive_reviews"),
+        (F.col("review_count") - F.col("positive")).alias("negative_reviews"),
+        F.col("review_count").alias("total_reviews"),
+        F.try_divide(F.col("positive"), F.col("review_count")).alias("positive_ratio"),
+    )
+
+
+def games_sentiment_from_metrics(gm: DataFrame, min_reviews: int = MIN_GAME_REVIEWS) -> DataFrame:
+    return gm.filter(F.col("review_count") >= min_reviews).select(
+        "game",
+        F.col("positive").alias("positive"),
+        (F.col("review_count") - F.col("positive")).alias("negative"),
+        F.col("review_count").alias("total_reviews"),
+        F.try_divide(F.col("positive"), F.col("review_count")).alias("positive_ratio"),
+    )
+
+
+def review_percentages_from_metrics(gm: DataFrame, min_reviews: int = MIN_PERCENTAGE_TOTAL,
+                                    include_zero: bool = False) -> DataFrame:
+    g = gm.filter(F.col("review_count") >= min_reviews)
+    total, pos = F.col("review_count"), F.col("positive")
+    sides = F.array(
+        F.struct(F.lit(POSITIVE).alias("sentiment"), pos.alias("count")),
+        F.struct(F.lit(NEGATIVE).alias("sentiment"), (total - pos).alias("count")),
+    )
+    out = g.select("game", total.alias("total_by_game"), F.inline(sides))
+    if not include_zero:
+        out = out.filter(F.col("count") > 0)
+    return out.select(
+        "game", "sentiment", "count", "total_by_game",
+        F.round(F.col("count") / F.col("total_by_game") * 100, 2).alias("percentage"),
+    )
+
+
+def top_games_from_metrics(gm: DataFrame, n: int = TOP_N) -> DataFrame:
+    return review_counts_from_metrics(gm).orderBy(
+        F.col("review_count").desc(), F.col("game").asc_nulls_last()).limit(n)
 
 
 def review_counts(df: DataFrame, scored_only: bool = False) -> DataFrame:
     """(game, review_count); ``scored_only`` drops null scores first."""
-    return _scored(df, scored_only).groupBy("game").agg(F.count(F.lit(1)).alias("review_count"))
+    return review_counts_from_metrics(game_metrics(_scored(df, scored_only)))
 
 
 def avg_scores(df: DataFrame, scored_only: bool = False) -> DataFrame:
-    """(game, avg_review_score)."""
-    return _scored(df, scored_only).groupBy("game").agg(
-        F.avg("review_score").alias("avg_review_score"))
+    """(game, avg_review_score): mean of the non-null scores."""
+    return avg_scores_from_metrics(game_metrics(_scored(df, scored_only)))
 
 
 def sentiment_counts(df: DataFrame, scored_only: bool = False, rule: str = "equals_one",
@@ -63,28 +124,14 @@ def sentiment_counts(df: DataFrame, scored_only: bool = False, rule: str = "equa
     side is 0 and the group key is never filled (a null game stays null).
     The ratio is null when there are no reviews (D3, D6, D7).
     """
-    g = _pos_neg(_scored(df, scored_only), "game", rule, threshold)
-    return g.select(
-        "game",
-        F.col("_pos").alias("positive_reviews"),
-        (F.col("_total") - F.col("_pos")).alias("negative_reviews"),
-        F.col("_total").alias("total_reviews"),
-        F.try_divide(F.col("_pos"), F.col("_total")).alias("positive_ratio"),
-    )
+    return sentiment_counts_from_metrics(game_metrics(_scored(df, scored_only), rule, threshold))
 
 
 def games_sentiment(df: DataFrame, min_reviews: int = MIN_GAME_REVIEWS, rule: str = "equals_one",
                     threshold=None) -> DataFrame:
     """(game, positive, negative, total_reviews, positive_ratio) for games with
     at least ``min_reviews`` reviews (D8)."""
-    g = _pos_neg(df, "game", rule, threshold).filter(F.col("_total") >= min_reviews)
-    return g.select(
-        "game",
-        F.col("_pos").alias("positive"),
-        (F.col("_total") - F.col("_pos")).alias("negative"),
-        F.col("_total").alias("total_reviews"),
-        F.try_divide(F.col("_pos"), F.col("_total")).alias("positive_ratio"),
-    )
+    return games_sentiment_from_metrics(game_metrics(df, rule, threshold), min_reviews)
 
 
 def review_percentages(df: DataFrame, min_reviews: int = MIN_PERCENTAGE_TOTAL,
@@ -97,18 +144,8 @@ def review_percentages(df: DataFrame, min_reviews: int = MIN_PERCENTAGE_TOTAL,
     from the per-game aggregate and unfolded into at most two rows per game,
     so there is one shuffle and no window over a possibly huge game.
     """
-    g = _pos_neg(df, "game", rule, threshold).filter(F.col("_total") >= min_reviews)
-    sides = F.array(
-        F.struct(F.lit(POSITIVE).alias("sentiment"), F.col("_pos").alias("count")),
-        F.struct(F.lit(NEGATIVE).alias("sentiment"), (F.col("_total") - F.col("_pos")).alias("count")),
-    )
-    out = g.select("game", F.col("_total").alias("total_by_game"), F.inline(sides))
-    if not include_zero:
-        out = out.filter(F.col("count") > 0)
-    return out.select(
-        "game", "sentiment", "count", "total_by_game",
-        F.round(F.col("count") / F.col("total_by_game") * 100, 2).alias("percentage"),
-    )
+    return review_percentages_from_metrics(game_metrics(df, rule, threshold), min_reviews,
+                                           include_zero)
 
 
 def percentage_summary(pct: DataFrame) -> DataFrame:
@@ -131,16 +168,20 @@ def app_avg_scores(df: DataFrame) -> DataFrame:
     return df.groupBy(key).agg(F.avg("review_score").alias("avg_review_score"))
 
 
+def top_apps_from_avg(app_avg: DataFrame, n: int = TOP_N) -> DataFrame:
+    """First ``n`` rows of an ``app_avg_scores`` table, best average first."""
+    key = app_avg.columns[0]
+    return app_avg.orderBy(F.col("avg_review_score").desc_nulls_last(),
+                           F.col(key).asc_nulls_last()).limit(n)
+
+
 def top_apps_by_avg(df: DataFrame, n: int = TOP_N) -> DataFrame:
-    key = app_key(df)
-    return app_avg_scores(df).orderBy(F.col("avg_review_score").desc_nulls_last(),
-                                      F.col(key).asc_nulls_last()).limit(n)
+    return top_apps_from_avg(app_avg_scores(df), n)
 
 
 def top_games(df: DataFrame, n: int = TOP_N) -> DataFrame:
     """Most reviewed games."""
-    return review_counts(df).orderBy(F.col("review_count").desc(),
-                                     F.col("game").asc_nulls_last()).limit(n)
+    return top_games_from_metrics(game_metrics(df), n)
 
 
 def top_positive_games(gs: DataFrame, n: int = TOP_N) -> DataFrame:

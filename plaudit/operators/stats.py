@@ -44,20 +44,38 @@ def _valid(c: Column) -> Column:
 BOUNDED_GROUP_COLUMNS = ("sentiment",)  # at most two values by construction
 
 
-def _base(df: DataFrame, value: str, by: str | None) -> DataFrame:
+def _base(df: DataFrame, value: str, by: str | None, weight: str | None = None) -> DataFrame:
     v = F.col(value).cast("double")
     g = F.col(by).cast("string") if by else F.lit(ALL)
-    return df.select(g.alias("group"), v.alias("value")).filter(_valid(F.col("value")))
+    w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
+    return (df.select(g.alias("group"), v.alias("value"), w.alias("_w"))
+            .filter(_valid(F.col("value")) & F.col("_w").isNotNull()))
 
 
-def fold(df: DataFrame, value: str, by: str | None = None) -> DataFrame:
-    """(group, value, freq): value counts per group, nulls and NaN dropped."""
-    return _base(df, value, by).groupBy("group", "value").agg(F.count(F.lit(1)).alias("freq"))
+def fold(df: DataFrame, value: str, by: str | None = None, weight: str | None = None) -> DataFrame:
+    """(group, value, freq): value counts per group, nulls and NaN dropped.
+
+    With ``weight`` each input row counts ``weight`` times, so every
+    statistic below also runs on an already folded table (value, count) —
+    ``run_all`` folds the review lengths once and derives all length
+    statistics from that small table.
+    """
+    base = _base(df, value, by, weight)
+    freq = F.sum("_w") if weight else F.count(F.lit(1))
+    return base.groupBy("group", "value").agg(freq.alias("freq"))
 
 
 def _attach(rows: DataFrame, per_group: DataFrame, by: str | None) -> DataFrame:
-    """Join per-group figures onto ``rows`` (null group is a group too)."""
-    small = by is None or by in BOUNDED_GROUP_COLUMNS
+    """Join per-group figures onto ``rows`` (null group is a group too).
+
+    Without grouping there is one group: its figures come in as one
+    struct-valued scalar subquery instead of a (constant-key, i.e. cross) join.
+    """
+    if by is None:
+        cols = [c for c in per_group.columns if c != "group"]
+        one = per_group.select(F.struct(*cols).alias("_s")).scalar()
+        return rows.select("*", *[one.getField(c).alias(c) for c in cols])
+    small = by in BOUNDED_GROUP_COLUMNS
     right = per_group.withColumnRenamed("group", "_g")
     right = F.broadcast(right) if small else right
     return rows.join(right, rows["group"].eqNullSafe(right["_g"])).drop("_g")
@@ -79,13 +97,16 @@ def _moments(folded: DataFrame, by: str | None) -> DataFrame:
 
 
 def _quantiles(df: DataFrame, value: str, by: str | None, probs: Sequence[float],
-               accuracy: int | None, folded: DataFrame | None = None) -> DataFrame:
+               accuracy: int | None, folded: DataFrame | None = None,
+               weight: str | None = None) -> DataFrame:
     """(group, _q array): exact from the folded counts, or approximate
     (``percentile_approx`` sketch over the rows) when ``accuracy`` is set."""
     if accuracy:
+        if weight:
+            raise ValueError("accuracy= works on unweighted rows; a weighted table is folded already")
         return _base(df, value, by).groupBy("group").agg(
             F.percentile_approx("value", list(probs), accuracy).cast("array<double>").alias("_q"))
-    folded = folded if folded is not None else fold(df, value, by)
+    folded = folded if folded is not None else fold(df, value, by, weight)
     return folded.groupBy("group").agg(
         F.percentile(F.col("value"), list(probs), F.col("freq")).alias("_q"))
 
@@ -116,15 +137,16 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> Data
 
 
 def describe(df: DataFrame, value: str, by: str | None = None,
-             probs: Sequence[float] = DESCRIBE_PROBS, accuracy: int | None = None) -> DataFrame:
+             probs: Sequence[float] = DESCRIBE_PROBS, accuracy: int | None = None,
+             weight: str | None = None) -> DataFrame:
     """count, mean, std (sample), min, quartiles (linear), max per group.
 
     Quantile columns are named ``q25``, ``q50``, ``q75`` for the default
     probabilities (``q<100*p>`` in general).
     """
-    folded = fold(df, value, by)
+    folded = fold(df, value, by, weight)
     m = _moments(folded, by)
-    q = _quantiles(df, value, by, probs, accuracy, folded)
+    q = _quantiles(df, value, by, probs, accuracy, folded, weight)
     out = _attach(m, q, by)
     qcols = [F.col("_q")[i].alias(f"q{round(p * 100):d}") for i, p in enumerate(probs)]
     return out.select("group", F.col("_n").alias("count"), F.col("_mean").alias("mean"),
@@ -138,16 +160,18 @@ def describe_lengths(df: DataFrame) -> DataFrame:
                     "review_length").drop("group")
 
 
-def quantile(df: DataFrame, value: str, q: float, accuracy: int | None = None) -> Column:
+def quantile(df: DataFrame, value: str, q: float, accuracy: int | None = None,
+             weight: str | None = None) -> Column:
     """Quantile of ``value`` (exact, linear; approximate with ``accuracy``)
     as a scalar-subquery Column."""
-    return _quantiles(df, value, None, [q], accuracy).select(F.col("_q")[0]).scalar()
+    qs = _quantiles(df, value, None, [q], accuracy, weight=weight)
+    return qs.select(F.col("_q")[0]).scalar()
 
 
 def trim_upper_quantile(df: DataFrame, value: str, q: float = 0.95,
-                        accuracy: int | None = None) -> DataFrame:
+                        accuracy: int | None = None, weight: str | None = None) -> DataFrame:
     """Rows whose ``value`` is at most its ``q`` quantile."""
-    return df.filter(F.col(value) <= quantile(df, value, q, accuracy))
+    return df.filter(F.col(value) <= quantile(df, value, q, accuracy, weight))
 
 
 def _bin_index(v: Column, lo: Column, hi: Column, bins: int) -> Column:
@@ -165,13 +189,14 @@ def _bin_index(v: Column, lo: Column, hi: Column, bins: int) -> Column:
             .otherwise(i1))
 
 
-def histogram(df: DataFrame, value: str, bins: int, by: str | None = None) -> DataFrame:
+def histogram(df: DataFrame, value: str, bins: int, by: str | None = None,
+              weight: str | None = None) -> DataFrame:
     """Equal-width histogram over each group's own min..max.
 
     Output (group, bin, lo, hi, n) with every bin present (n = 0 when
     empty). When min = max the range is widened to min-0.5 .. max+0.5.
     """
-    folded = fold(df, value, by)
+    folded = fold(df, value, by, weight)
     span = folded.groupBy("group").agg(F.min("value").alias("_min"), F.max("value").alias("_max"))
     same = F.col("_max") == F.col("_min")
     span = span.select(
@@ -207,12 +232,13 @@ def sentiment_shares(df: DataFrame, rule: str = "equals_one", threshold=None) ->
 
 
 def box_stats(df: DataFrame, value: str, by: str | None = None,
-              whis: float = BOX_WHISKER, accuracy: int | None = None) -> DataFrame:
+              whis: float = BOX_WHISKER, accuracy: int | None = None,
+              weight: str | None = None) -> DataFrame:
     """Box-plot statistics per group (G7): n, q1, median, q3, iqr, whiskers
     (most extreme values within ``whis`` IQR of the box, never inside it),
     number of outliers beyond them, min and max."""
-    folded = fold(df, value, by)
-    q = _quantiles(df, value, by, [0.25, 0.5, 0.75], accuracy, folded)
+    folded = fold(df, value, by, weight)
+    q = _quantiles(df, value, by, [0.25, 0.5, 0.75], accuracy, folded, weight)
     f = _attach(folded, q, by)
     q1, q3 = F.col("_q")[0], F.col("_q")[2]
     iqr = q3 - q1
@@ -233,7 +259,7 @@ def box_stats(df: DataFrame, value: str, by: str | None = None,
 
 
 def density(df: DataFrame, value: str, by: str | None = None, grid: int = KDE_GRID,
-            cut: float = 0.0) -> DataFrame:
+            cut: float = 0.0, weight: str | None = None) -> DataFrame:
     """Gaussian kernel density per group (G8): (group, i, x, density).
 
     Scott's rule: bandwidth = sample std * n^(-1/5). Evaluated on ``grid``
@@ -241,7 +267,7 @@ def density(df: DataFrame, value: str, by: str | None = None, grid: int = KDE_GR
     variance or a single value get no curve. Work is distinct values x grid:
     each folded row fans out to ``grid`` contributions, summed per point.
     """
-    folded = fold(df, value, by)
+    folded = fold(df, value, by, weight)
     m = _moments(folded, by)
     m = m.withColumn("_bw", F.col("_std") * F.pow(F.col("_n").cast("double"), F.lit(-0.2)))
     m = m.filter(F.col("_bw") > 0).select(

@@ -43,22 +43,42 @@ def cleaned_corpus(df: DataFrame, fraction: float | None = None, seed: int = 42,
                       clean_text("review_text").alias("clean_text"))
 
 
+def sentiment_word_counts(df: DataFrame, fraction: float | None = None, seed: int = 42,
+                          sample_keys=None, rule: str = "equals_one",
+                          threshold=None) -> DataFrame:
+    """(sentiment, word, freq) of cleaned tokens: one tokenising pass that
+    serves the per-sentiment and the overall word frequencies."""
+    src = sample_reviews(df, fraction, sample_keys, seed) if fraction else df
+    words = src.select(sentiment_expr("review_score", rule, threshold).alias("sentiment"),
+                       F.explode(clean_tokens("review_text")).alias("word"))
+    return words.groupBy("sentiment", "word").agg(F.count(F.lit(1)).alias("freq"))
+
+
+def word_freq_from_counts(swc: DataFrame, sentiment: str | None = None,
+                          min_freq: int | None = None) -> DataFrame:
+    """(word, freq) for one sentiment or all, from ``sentiment_word_counts``;
+    keeps words seen at least ``min_freq`` times (default 3 for one
+    sentiment, 5 for all) and longer than two characters."""
+    if min_freq is None:
+        min_freq = MIN_FREQ_ALL if sentiment is None else MIN_FREQ_BY_SENTIMENT
+    if sentiment is not None:
+        freq = swc.filter(F.col("sentiment") == F.lit(sentiment)).select("word", "freq")
+    else:
+        freq = swc.groupBy("word").agg(F.sum("freq").alias("freq"))
+    return freq.filter((F.col("freq") >= min_freq) & (F.length("word") >= MIN_TOKEN_LENGTH))
+
+
 def cleaned_word_freq(df: DataFrame, sentiment: str | None = None, min_freq: int | None = None,
                       fraction: float | None = None, seed: int = 42, sample_keys=None,
                       rule: str = "equals_one", threshold=None) -> DataFrame:
     """(word, freq) of cleaned tokens, for one sentiment or all.
 
     Keeps words seen at least ``min_freq`` times (default 3 for one
-    sentiment, 5 for all) and longer than two characters.
+    sentiment, 5 for all) and longer than two characters. The sentiment
+    filter is pushed below the aggregate by Catalyst.
     """
-    src = sample_reviews(df, fraction, sample_keys, seed) if fraction else df
-    if sentiment is not None:
-        src = src.filter(sentiment_expr("review_score", rule, threshold) == F.lit(sentiment))
-    if min_freq is None:
-        min_freq = MIN_FREQ_ALL if sentiment is None else MIN_FREQ_BY_SENTIMENT
-    words = src.select(F.explode(clean_tokens("review_text")).alias("word"))
-    freq = words.groupBy("word").agg(F.count(F.lit(1)).alias("freq"))
-    return freq.filter((F.col("freq") >= min_freq) & (F.length("word") >= MIN_TOKEN_LENGTH))
+    swc = sentiment_word_counts(df, fraction, seed, sample_keys, rule, threshold)
+    return word_freq_from_counts(swc, sentiment, min_freq)
 
 
 def cloud_weights(freq: DataFrame, max_words: int = CLOUD_WORDS_ALL) -> DataFrame:

@@ -2,19 +2,27 @@
 
 Plan:
 
-1. read + standardise + clean (+ optional sample) the reviews;
-2. add ``review_length`` and ``sentiment`` and write the result once as
-   parquet under ``spark.checkpoint.dir`` (``materialize``). This is the only
-   pass over the raw input and the only dedup shuffle; an executor loss later
-   re-reads files instead of recomputing them, and every later output prunes
-   columns (length statistics never read the review text again);
-3. write the per-game tables that several outputs share (``games_sentiment``,
-   ``review_percentages``) once and derive top-k lists, gates, histograms and
-   box statistics from the written tables;
-4. write every output table to ``out_dir/<name>``.
+1. read + standardise + clean (+ optional sample) the reviews, add
+   ``review_length`` and ``sentiment``, and write the result once as parquet
+   under ``spark.checkpoint.dir`` (``materialize``). This is the only pass
+   over the raw input besides the audit count, and the only dedup shuffle;
+   an executor loss later re-reads files instead of recomputing them.
+2. compute the small shared aggregates once, each from the columns it needs
+   (parquet column pruning), and materialise them too:
+
+   * ``game_metrics``   one row per game       -> every per-game table
+   * ``length_counts``  (sentiment, length, n) -> every length statistic
+   * ``score_distribution`` (score, n)         -> score histogram and density
+   * ``word_counts``    raw tokens             -> top words
+   * ``word_freq_by_sentiment`` sampled cleaned tokens -> the three clouds
+   * ``app_avg_scores``                         -> top apps
+
+   so the large table is scanned about a dozen times in total (most scans
+   read one or two narrow columns), instead of once per output table.
+3. derive every output from those tables and write it to ``out_dir/<name>``.
 
 Nothing is collected to the driver: gates and thresholds are scalar
-subqueries inside the plans.
+subqueries inside the plans. The intermediates are deleted at the end.
 
 Command line::
 
@@ -40,6 +48,8 @@ from plaudit.sources.reviews import read_reviews, standardize_columns
 from plaudit.sources.sinks import (drop_materialized, materialize, write_corpus,
                                    write_key_values, write_table)
 
+NUMERIC_FEATURES = ("review_length", "review_score", "review_votes")
+
 
 def prepare(raw: DataFrame, dedup: bool = True, order_by: str | None = None,
             sample_fraction: float = 1.0, rule: str = "equals_one") -> DataFrame:
@@ -55,75 +65,97 @@ def prepare(raw: DataFrame, dedup: bool = True, order_by: str | None = None,
     )
 
 
-def outputs(base: DataFrame, gs: DataFrame, pct: DataFrame, rule: str = "equals_one",
-            threshold=None) -> dict[str, Callable[[], DataFrame]]:
-    """Every output table, lazily, from the materialised inputs.
+def shared_tables(base: DataFrame, rule: str = "equals_one",
+                  threshold=None) -> dict[str, Callable[[], DataFrame]]:
+    """The small aggregates the outputs are derived from (lazy)."""
+    st = {"rule": rule, "threshold": threshold}
+    return {
+        "game_metrics": lambda: G.game_metrics(base, **st),
+        "length_counts": lambda: base.groupBy("sentiment", "review_length").agg(
+            F.count(F.lit(1)).alias("freq")),
+        "score_distribution": lambda: G.score_distribution(base),
+        "word_counts": lambda: TX.word_counts(base),
+        "word_freq_by_sentiment": lambda: TX.sentiment_word_counts(
+            base, fraction=TX.TEXT_SAMPLE_FRACTION, **st),
+        "app_avg_scores": lambda: G.app_avg_scores(base),
+    }
 
-    ``base``: cleaned reviews with review_length and sentiment;
-    ``gs``: games_sentiment; ``pct``: review_percentages.
-    """
+
+def outputs(base: DataFrame, sh: dict[str, DataFrame], rule: str = "equals_one",
+            threshold=None) -> dict[str, Callable[[], DataFrame]]:
+    """Every output table, lazily, from the cleaned reviews ``base`` and the
+    materialised shared tables ``sh`` (see ``shared_tables``)."""
     st = {"rule": rule, "threshold": threshold}
+    gm, lc, sc = sh["game_metrics"], sh["length_counts"], sh["score_distribution"]
+    wc, swc, app = sh["word_counts"], sh["word_freq_by_sentiment"], sh["app_avg_scores"]
 
-    def lengths() -> DataFrame:
-        return base.select("sentiment", "review_length")
+    def gs() -> DataFrame:
+        return G.games_sentiment_from_metrics(gm)
+
+    def pct() -> DataFrame:
+        return G.review_percentages_from_metrics(gm)
+
+    def features() -> DataFrame:
+        return base.select(*[c for c in NUMERIC_FEATURES if c in base.columns])
+
+    def length_hist(bins: int, by: str | None = None) -> Callable[[], DataFrame]:
+        return lambda: ST.histogram(lc, "review_length", bins, by=by, weight="freq")
 
     return {
         # tables the original job writes
-        "review_counts": lambda: G.review_counts(base),
-        "avg_scores": lambda: G.avg_scores(base),
-        "sentiment_counts": lambda: G.sentiment_counts(base, **st),
-        "top_games": lambda: G.top_games(base),
-        "score_distribution": lambda: G.score_distribution(base),
-        "app_avg_scores": lambda: G.app_avg_scores(base),
+        "review_counts": lambda: G.review_counts_from_metrics(gm),
+        "avg_scores": lambda: G.avg_scores_from_metrics(gm),
+        "sentiment_counts": lambda: G.sentiment_counts_from_metrics(gm),
+        "games_sentiment": gs,
+        "reviews_percentage": pct,
+        "top_games": lambda: G.top_games_from_metrics(gm),
+        "score_distribution": lambda: sc,
+        "app_avg_scores": lambda: app,
         "review_lengths": lambda: base.select("review_length"),
-        "sentiment_length": lengths,
-        "correlation_data": lambda: base.select(
-            *[c for c in ("review_length", "review_score", "review_votes") if c in base.columns]),
-        "word_counts": lambda: TX.word_counts(base),
+        "sentiment_length": lambda: base.select("sentiment", "review_length"),
+        "correlation_data": features,
+        "word_counts": lambda: wc,
         "score_profile": lambda: SC.score_profile(base),
         "global_sentiment_summary": lambda: SC.global_sentiment_summary(base),
         # data behind each chart
-        "top_apps_by_avg": lambda: G.top_apps_by_avg(base),
-        "histogram_score": lambda: ST.histogram(base, "review_score", 20),
-        "density_score": lambda: ST.density(base, "review_score"),
-        "histogram_length_50": lambda: ST.histogram(lengths(), "review_length", 50),
-        "histogram_length_15": lambda: ST.histogram(lengths(), "review_length", 15),
-        "histogram_length_30": lambda: ST.histogram(lengths(), "review_length", 30),
+        "length_counts": lambda: lc,
+        "top_apps_by_avg": lambda: G.top_apps_from_avg(app),
+        "histogram_score": lambda: ST.histogram(sc, "review_score", 20, weight="count"),
+        "density_score": lambda: ST.density(sc, "review_score", weight="count"),
+        "histogram_length_50": length_hist(50),
+        "histogram_length_15": length_hist(15),
+        "histogram_length_30": length_hist(30),
+        "histogram_length_by_sentiment_50": length_hist(50, by="sentiment"),
         "histogram_length_trimmed_20": lambda: ST.histogram(
-            ST.trim_upper_quantile(lengths(), "review_length", 0.95), "review_length", 20),
-        "histogram_length_by_sentiment_50": lambda: ST.histogram(lengths(), "review_length", 50,
-                                                                 by="sentiment"),
-        "density_length": lambda: ST.density(lengths(), "review_length"),
-        "density_length_by_sentiment": lambda: ST.density(lengths(), "review_length",
-                                                          by="sentiment", cut=2.0),
-        "describe_lengths": lambda: ST.describe(lengths(), "review_length").drop("group"),
+            ST.trim_upper_quantile(lc, "review_length", 0.95, weight="freq"),
+            "review_length", 20, weight="freq"),
+        "density_length": lambda: ST.density(lc, "review_length", weight="freq"),
+        "density_length_by_sentiment": lambda: ST.density(
+            lc, "review_length", by="sentiment", cut=2.0, weight="freq"),
+        "describe_lengths": lambda: ST.describe(lc, "review_length", weight="freq").drop("group"),
+        "box_stats_length": lambda: ST.box_stats(lc, "review_length", by="sentiment", weight="freq"),
         "sentiment_shares": lambda: ST.sentiment_shares(base, **st),
-        "box_stats_length": lambda: ST.box_stats(lengths(), "review_length", by="sentiment"),
-        "correlation_matrix": lambda: ST.correlation_matrix(
-            base.select(*[c for c in ("review_length", "review_score", "review_votes")
-                          if c in base.columns])),
-        "top_words": lambda: TX.top_words(TX.word_counts(base)),
+        "correlation_matrix": lambda: ST.correlation_matrix(features()),
+        "top_words": lambda: TX.top_words(wc),
         "cloud_weights_all": lambda: TX.cloud_weights(
-            TX.cleaned_word_freq(base, fraction=TX.TEXT_SAMPLE_FRACTION, **st), TX.CLOUD_WORDS_ALL),
+            TX.word_freq_from_counts(swc), TX.CLOUD_WORDS_ALL),
         "cloud_weights_positive": lambda: TX.cloud_weights(
-            TX.cleaned_word_freq(base, "positive", fraction=TX.TEXT_SAMPLE_FRACTION, **st),
-            TX.CLOUD_WORDS_BY_SENTIMENT),
+            TX.word_freq_from_counts(swc, "positive"), TX.CLOUD_WORDS_BY_SENTIMENT),
         "cloud_weights_negative": lambda: TX.cloud_weights(
-            TX.cleaned_word_freq(base, "negative", fraction=TX.TEXT_SAMPLE_FRACTION, **st),
-            TX.CLOUD_WORDS_BY_SENTIMENT),
-        "top_positive_games": lambda: G.top_positive_games(gs),
-        "bottom_positive_games": lambda: G.bottom_positive_games(gs),
-        "top_reviewed_games": lambda: G.top_reviewed_games(gs),
-        "popularity_points": lambda: G.popularity_points(gs),
-        "histogram_percentage_20": lambda: ST.histogram(pct, "percentage", 20, by="sentiment"),
-        "histogram_percentage_15": lambda: ST.histogram(pct, "percentage", 15, by="sentiment"),
-        "percentage_summary": lambda: G.percentage_summary(pct),
-        "box_stats_percentage": lambda: ST.box_stats(pct, "percentage", by="sentiment"),
-        "density_percentage": lambda: ST.density(pct, "percentage", by="sentiment", cut=2.0),
-        "low_positive_games": lambda: G.low_positive_games(pct),
-        "low_positive_extended": lambda: G.low_positive_extended(pct),
-        "low_positive_summary": lambda: G.low_positive_summary(pct),
-        "percentage_categories": lambda: G.percentage_categories(pct),
+            TX.word_freq_from_counts(swc, "negative"), TX.CLOUD_WORDS_BY_SENTIMENT),
+        "top_positive_games": lambda: G.top_positive_games(gs()),
+        "bottom_positive_games": lambda: G.bottom_positive_games(gs()),
+        "top_reviewed_games": lambda: G.top_reviewed_games(gs()),
+        "popularity_points": lambda: G.popularity_points(gs()),
+        "histogram_percentage_20": lambda: ST.histogram(pct(), "percentage", 20, by="sentiment"),
+        "histogram_percentage_15": lambda: ST.histogram(pct(), "percentage", 15, by="sentiment"),
+        "percentage_summary": lambda: G.percentage_summary(pct()),
+        "box_stats_percentage": lambda: ST.box_stats(pct(), "percentage", by="sentiment"),
+        "density_percentage": lambda: ST.density(pct(), "percentage", by="sentiment", cut=2.0),
+        "low_positive_games": lambda: G.low_positive_games(pct()),
+        "low_positive_extended": lambda: G.low_positive_extended(pct()),
+        "low_positive_summary": lambda: G.low_positive_summary(pct()),
+        "percentage_categories": lambda: G.percentage_categories(pct()),
     }
 
 
@@ -134,21 +166,17 @@ def run_all(spark: SparkSession, reviews: DataFrame | str, out_dir: str, *,
             only: list[str] | None = None, keep_intermediate: bool = False) -> list[str]:
     """Run the whole analysis; returns the names of the written tables.
 
-    The materialised cleaned table is deleted at the end unless
+    The materialised intermediates are deleted at the end unless
     ``keep_intermediate``.
     """
     raw = reviews if isinstance(reviews, DataFrame) else read_reviews(spark, reviews, input_format)
     out = out_dir.rstrip("/")
     base = materialize(prepare(raw, dedup, order_by, sample_fraction, rule), "cleaned")
-    write_table(C.cleaning_audit(raw, base), f"{out}/cleaning_audit", out_format)
-    gs_path, pct_path = f"{out}/games_sentiment", f"{out}/reviews_percentage"
     threshold = SC.score_threshold(base) if rule == "threshold" else None
-    write_table(G.games_sentiment(base, rule=rule, threshold=threshold), gs_path, out_format)
-    write_table(G.review_percentages(base, rule=rule, threshold=threshold), pct_path, out_format)
-    gs = spark.read.format(out_format).options(**_read_opts(out_format)).load(gs_path)
-    pct = spark.read.format(out_format).options(**_read_opts(out_format)).load(pct_path)
-    written = ["cleaning_audit", "games_sentiment", "reviews_percentage"]
-    for name, build in outputs(base, gs, pct, rule, threshold).items():
+    write_table(C.cleaning_audit(raw, base), f"{out}/cleaning_audit", out_format)
+    written = ["cleaning_audit"]
+    sh = {name: materialize(build(), name) for name, build in shared_tables(base, rule, threshold).items()}
+    for name, build in outputs(base, sh, rule, threshold).items():
         if only is not None and name not in only:
             continue
         write_table(build(), f"{out}/{name}", out_format)
@@ -163,14 +191,11 @@ def run_all(spark: SparkSession, reviews: DataFrame | str, out_dir: str, *,
         write_corpus(sampled, f"{out}/corpus", rule=rule, threshold=threshold)
         written.append("corpus")
     if not keep_intermediate:
-        drop_materialized(base)
+        for df in [base, *sh.values()]:
+            drop_materialized(df)
     return written
 
 
-def _read_opts(fmt: str) -> dict:
-    return {"header": "true", "inferSchema": "true"} if fmt == "csv" else {}
-
-
 def main(argv=None) -> None:
     from plaudit.session import build_session
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,8 @@ from plaudit.functions.sentiment import sentiment as sentiment_expr
 from plaudit.functions.text import clean_text
 from plaudit.session import checkpoint_root
 
+_MATERIALIZED: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
     """Write a result table; CSV gets a header like the original outputs."""
@@ -62,17 +65,6 @@ def write_corpus(df: DataFrame, path: str, rule: str = "equals_one", threshold=N
     out.write.mode(mode).partitionBy("sentiment").text(path)
 
 
-def drop_materialized(df: DataFrame) -> None:
-    """Delete the files behind a ``materialize``d DataFrame (job cleanup)."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for p in df.inputFiles()[:1]:
-        folder = jvm.org.apache.hadoop.fs.Path(p).getParent()
-        if "plaudit-" in folder.getName():
-            folder.getFileSystem(conf).delete(folder, True)
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as parquet under the shared checkpoint folder, read it back.
 
@@ -84,4 +76,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     root = checkpoint_root(spark).rstrip("/")
     path = f"{root}/plaudit-{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    _MATERIALIZED[out] = path
+    return out
+
+
+def drop_materialized(df: DataFrame) -> None:
+    """Delete the files behind a ``materialize``d DataFrame (job cleanup)."""
+    path = _MATERIALIZED.pop(df, None)
+    if path is None:
+        return
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from plaudit.operators import clean as C
 from plaudit.operators import games as G
-from plaudit.plans.job import outputs, run_all
+from plaudit.plans.job import outputs, run_all, shared_tables
 from plaudit.session import checkpoint_root
 from plaudit.sources import fixtures as FX
 
@@ -17,12 +17,11 @@ def test_run_all_writes_every_table(spark):
     out = tempfile.mkdtemp(prefix="plaudit-job-", dir="/tmp")
     raw = FX.reviews_r(spark, SF_SMALL)
     root = checkpoint_root(spark).replace("file:", "")
-    before = set(glob.glob(f"{root}/plaudit-cleaned-*/*.parquet"))
+    before = set(glob.glob(f"{root}/plaudit-*/*.parquet"))
     names = run_all(spark, raw, out)
-    assert set(glob.glob(f"{root}/plaudit-cleaned-*/*.parquet")) <= before  # intermediate removed
-    expected = {"cleaning_audit", "games_sentiment", "reviews_percentage", "corpus",
-                "score_scale_summary", "global_binary_summary"}
-    expected |= set(outputs(raw, raw, raw).keys())
+    assert set(glob.glob(f"{root}/plaudit-*/*.parquet")) <= before  # intermediates removed
+    expected = {"cleaning_audit", "corpus", "score_scale_summary", "global_binary_summary"}
+    expected |= set(outputs(raw, dict.fromkeys(shared_tables(raw), raw)).keys())
     assert set(names) == expected
     audit = spark.read.parquet(f"{out}/cleaning_audit").first()
     cleaned = C.clean_reviews(raw)
@@ -49,3 +48,48 @@ def test_run_all_reads_csv(spark, tmp_path):
     run_all(spark, csv, out, only=["review_counts"], write_text_corpus=False)
     n = spark.read.parquet(f"{out}/review_counts").agg(F.sum("review_count")).first()[0]
     assert n == C.clean_reviews(FX.reviews_e(spark, SF_SMALL)).count()
+
+
+def test_derived_outputs_equal_direct_operators(spark):
+    """The job derives outputs from small shared tables; each must equal the
+    operator applied to the cleaned reviews directly."""
+    from plaudit.operators import stats as ST
+    from plaudit.operators import text as TX
+
+    raw = FX.reviews_r(spark, "/root/testdata/sf0.01")
+    out = tempfile.mkdtemp(prefix="plaudit-job-", dir="/tmp")
+    names = ["histogram_length_50", "histogram_length_trimmed_20", "histogram_length_by_sentiment_50",
+             "describe_lengths", "box_stats_length", "density_length", "histogram_score",
+             "cloud_weights_positive", "cloud_weights_all", "top_apps_by_avg", "top_words",
+             "sentiment_counts", "avg_scores", "reviews_percentage", "top_positive_games"]
+    run_all(spark, raw, out, only=names, write_text_corpus=False)
+    cleaned = C.clean_reviews(raw)
+    lengths = C.sentiment_lengths(cleaned)
+    gs = G.games_sentiment(cleaned)
+    direct = {
+        "histogram_length_50": ST.histogram(lengths, "review_length", 50),
+        "histogram_length_trimmed_20": ST.histogram(
+            ST.trim_upper_quantile(lengths, "review_length", 0.95), "review_length", 20),
+        "histogram_length_by_sentiment_50": ST.histogram(lengths, "review_length", 50, by="sentiment"),
+        "describe_lengths": ST.describe(lengths, "review_length").drop("group"),
+        "box_stats_length": ST.box_stats(lengths, "review_length", by="sentiment"),
+        "density_length": ST.density(lengths, "review_length"),
+        "histogram_score": ST.histogram(cleaned, "review_score", 20),
+        "cloud_weights_positive": TX.cloud_weights(
+            TX.cleaned_word_freq(cleaned, "positive", fraction=0.1), 100),
+        "cloud_weights_all": TX.cloud_weights(TX.cleaned_word_freq(cleaned, fraction=0.1), 150),
+        "top_apps_by_avg": G.top_apps_by_avg(cleaned),
+        "top_words": TX.top_words(TX.word_counts(cleaned)),
+        "sentiment_counts": G.sentiment_counts(cleaned),
+        "avg_scores": G.avg_scores(cleaned),
+        "reviews_percentage": G.review_percentages(cleaned),
+        "top_positive_games": G.top_positive_games(gs),
+    }
+
+    def norm(rows):
+        return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in rows)
+
+    for name, df in direct.items():
+        got = spark.read.parquet(f"{out}/{name}")
+        assert got.columns == df.columns, name
+        assert norm(got.collect()) == norm(df.collect()), name
