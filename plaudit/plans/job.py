@@ -34,6 +34,7 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -159,13 +160,33 @@ def outputs(base: DataFrame, sh: dict[str, DataFrame], rule: str = "equals_one",
     }
 
 
+def _run_concurrently(tasks: dict[str, Callable[[], None]], parallelism: int) -> list[str]:
+    """Submit independent Spark jobs from ``parallelism`` driver threads.
+
+    The jobs share the cluster; small ones no longer wait for each other.
+    Any failure is raised after the running jobs finish.
+    """
+    if parallelism <= 1:
+        for task in tasks.values():
+            task()
+        return list(tasks)
+    with ThreadPoolExecutor(max_workers=parallelism, thread_name_prefix="plaudit") as pool:
+        futures = {name: pool.submit(task) for name, task in tasks.items()}
+        for f in futures.values():
+            f.result()
+    return list(tasks)
+
+
 def run_all(spark: SparkSession, reviews: DataFrame | str, out_dir: str, *,
             input_format: str = "csv", dedup: bool = True, order_by: str | None = None,
             sample_fraction: float = 1.0, rule: str = "equals_one",
             out_format: str = "parquet", write_text_corpus: bool = True,
-            only: list[str] | None = None, keep_intermediate: bool = False) -> list[str]:
+            only: list[str] | None = None, keep_intermediate: bool = False,
+            parallelism: int = 8) -> list[str]:
     """Run the whole analysis; returns the names of the written tables.
 
+    After the cleaned table and the shared aggregates are materialised, the
+    output writes are independent jobs submitted ``parallelism`` at a time.
     The materialised intermediates are deleted at the end unless
     ``keep_intermediate``.
     """
@@ -173,23 +194,36 @@ def run_all(spark: SparkSession, reviews: DataFrame | str, out_dir: str, *,
     out = out_dir.rstrip("/")
     base = materialize(prepare(raw, dedup, order_by, sample_fraction, rule), "cleaned")
     threshold = SC.score_threshold(base) if rule == "threshold" else None
-    write_table(C.cleaning_audit(raw, base), f"{out}/cleaning_audit", out_format)
-    written = ["cleaning_audit"]
-    sh = {name: materialize(build(), name) for name, build in shared_tables(base, rule, threshold).items()}
+
+    sh: dict[str, DataFrame] = {}
+
+    def share(name: str, build: Callable[[], DataFrame]) -> Callable[[], None]:
+        def task() -> None:
+            sh[name] = materialize(build(), name)
+        return task
+
+    _run_concurrently({n: share(n, b) for n, b in shared_tables(base, rule, threshold).items()},
+                      parallelism)
+
+    def write(build: Callable[[], DataFrame], name: str) -> Callable[[], None]:
+        return lambda: write_table(build(), f"{out}/{name}", out_format)
+
+    tasks: dict[str, Callable[[], None]] = {
+        "cleaning_audit": write(lambda: C.cleaning_audit(raw, base), "cleaning_audit")}
     for name, build in outputs(base, sh, rule, threshold).items():
-        if only is not None and name not in only:
-            continue
-        write_table(build(), f"{out}/{name}", out_format)
-        written.append(name)
+        if only is None or name in only:
+            tasks[name] = write(build, name)
     if only is None:
-        write_key_values(SC.score_profile(base), f"{out}/score_scale_summary")
-        write_key_values(SC.global_sentiment_summary(base), f"{out}/global_binary_summary",
-                         {"positive_ratio": "%.6f"})
-        written += ["score_scale_summary", "global_binary_summary"]
+        tasks["score_scale_summary"] = lambda: write_key_values(
+            SC.score_profile(base), f"{out}/score_scale_summary")
+        tasks["global_binary_summary"] = lambda: write_key_values(
+            SC.global_sentiment_summary(base), f"{out}/global_binary_summary",
+            {"positive_ratio": "%.6f"})
     if write_text_corpus:
-        sampled = C.sample_reviews(base, TX.TEXT_SAMPLE_FRACTION)
-        write_corpus(sampled, f"{out}/corpus", rule=rule, threshold=threshold)
-        written.append("corpus")
+        tasks["corpus"] = lambda: write_corpus(
+            C.sample_reviews(base, TX.TEXT_SAMPLE_FRACTION), f"{out}/corpus",
+            rule=rule, threshold=threshold)
+    written = _run_concurrently(tasks, parallelism)
     if not keep_intermediate:
         for df in [base, *sh.values()]:
             drop_materialized(df)
@@ -209,11 +243,12 @@ def main(argv=None) -> None:
     ap.add_argument("--order-by", default=None)
     ap.add_argument("--sentiment-rule", default="equals_one", choices=["equals_one", "threshold"])
     ap.add_argument("--master", default=None)
+    ap.add_argument("--parallelism", type=int, default=8, help="concurrent output jobs")
     a = ap.parse_args(argv)
     spark = build_session(a.master)
     names = run_all(spark, a.path, a.out, input_format=a.input_format, dedup=not a.no_dedup,
                     order_by=a.order_by, sample_fraction=a.sample_fraction,
-                    rule=a.sentiment_rule, out_format=a.format)
+                    rule=a.sentiment_rule, out_format=a.format, parallelism=a.parallelism)
     print(f"wrote {len(names)} tables to {a.out}")
 
 
