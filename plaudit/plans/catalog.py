@@ -281,6 +281,15 @@ def q_sentiment_counts_s(spark, sf):
     return _round(G.sentiment_counts(_s(spark, sf)), DP, "positive_ratio")
 
 
+@register("game_metrics", with_ctes(
+    f"""SELECT game, count(*) AS review_count, count(review_score) AS scored_count,
+  round(sum(review_score), {DP}) AS score_sum,
+  CAST(sum(CASE WHEN {POS_SQL} THEN 1 ELSE 0 END) AS BIGINT) AS positive
+FROM r GROUP BY game""", r=SQL_R))
+def q_game_metrics(spark, sf):
+    return _round(G.game_metrics(_r(spark, sf)), DP, "score_sum")
+
+
 def _games_sentiment_sql(src, min_reviews=G.MIN_GAME_REVIEWS, digits=DP):
     ratio = "CAST(positive AS DOUBLE) / total_reviews"
     if digits is not None:
@@ -523,6 +532,14 @@ def q_cleaned_corpus(spark, sf):
     return TX.cleaned_corpus(_rc(spark, sf))
 
 
+@register("sentiment_word_counts", with_ctes(
+    f"""SELECT sentiment, word, count(*) AS freq
+FROM (SELECT {SENT_SQL} AS sentiment, unnest({TOKENS_SQL}) AS word FROM c) w GROUP BY sentiment, word""",
+    c=sql_cleaned(SQL_R)))
+def q_sentiment_word_counts(spark, sf):
+    return TX.sentiment_word_counts(_rc(spark, sf))
+
+
 def _clean_freq_sql(sentiment, min_freq):
     where = f"WHERE {SENT_SQL} = '{sentiment}'" if sentiment else ""
     return with_ctes(
@@ -609,6 +626,17 @@ def q_describe_lengths(spark, sf):
     return _round(ST.describe_lengths(_rc(spark, sf)), DP, "mean", "std", "q25", "q50", "q75")
 
 
+@register("describe_lengths_from_counts", with_ctes(
+    f"""SELECT count(*) AS count, round(avg(v), {DP}) AS mean, round(stddev_samp(v), {DP}) AS std,
+  min(v) AS "min", round(quantile_cont(v, 0.25), {DP}) AS q25, round(quantile_cont(v, 0.5), {DP}) AS q50,
+  round(quantile_cont(v, 0.75), {DP}) AS q75, max(v) AS "max" FROM x""",
+    c=sql_cleaned(SQL_R), x=_LEN_SRC))
+def q_describe_lengths_from_counts(spark, sf):
+    lc = C.sentiment_lengths(_rc(spark, sf)).groupBy("review_length").agg(F.count(F.lit(1)).alias("freq"))
+    return _round(ST.describe(lc, "review_length", weight="freq").drop("group"), DP,
+                  "mean", "std", "q25", "q50", "q75")
+
+
 @register("trim_upper_quantile", with_ctes(
     "SELECT CAST(v AS INTEGER) AS review_length FROM x WHERE v <= (SELECT quantile_cont(v, 0.95) FROM x)",
     c=sql_cleaned(SQL_R), x=_LEN_SRC))
@@ -654,6 +682,12 @@ def _round_hist(df):
     return _round(df, DP, "lo", "hi")
 
 
+def _length_counts(spark, sf):
+    """(sentiment, review_length, freq): the job's shared length table."""
+    lengths = C.sentiment_lengths(_rc(spark, sf))
+    return lengths.groupBy("sentiment", "review_length").agg(F.count(F.lit(1)).alias("freq"))
+
+
 def _len_hist_query(bins, by_sentiment=False, trimmed=False):
     def q(spark, sf):
         df = C.sentiment_lengths(_rc(spark, sf))
@@ -672,6 +706,21 @@ register("histogram_length_trimmed_20", histogram_sql(
     20))(_len_hist_query(20, trimmed=True))
 
 
+@register("histogram_length_50_from_counts", histogram_sql(_len_src(False), 50))
+def q_histogram_length_50_from_counts(spark, sf):
+    """Same histogram from the folded (length, count) table with weights."""
+    return _round_hist(ST.histogram(_length_counts(spark, sf), "review_length", 50, weight="freq"))
+
+
+@register("histogram_length_trimmed_20_from_counts", histogram_sql(
+    f"SELECT * FROM ({_len_src(False)}) a WHERE v <= (SELECT quantile_cont(v, 0.95) FROM ({_len_src(False)}) b)",
+    20))
+def q_histogram_length_trimmed_20_from_counts(spark, sf):
+    lc = _length_counts(spark, sf)
+    trimmed = ST.trim_upper_quantile(lc, "review_length", 0.95, weight="freq")
+    return _round_hist(ST.histogram(trimmed, "review_length", 20, weight="freq"))
+
+
 @register("histogram_score", histogram_sql(f"SELECT 'all' AS grp, review_score AS v FROM ({SQL_OW}) o", 20))
 def q_histogram_score(spark, sf):
     return _round_hist(ST.histogram(FX.scores_ow(spark, sf), "review_score", 20))
@@ -742,6 +791,12 @@ def q_box_stats_length(spark, sf):
     return _round_box(ST.box_stats(C.sentiment_lengths(_rc(spark, sf)), "review_length", by="sentiment"))
 
 
+@register("box_stats_length_from_counts", box_sql(_len_src(True)))
+def q_box_stats_length_from_counts(spark, sf):
+    lc = _length_counts(spark, sf)
+    return _round_box(ST.box_stats(lc, "review_length", by="sentiment", weight="freq"))
+
+
 @register("box_stats_percentage", box_sql(_pct_src(SQL_S)))
 def q_box_stats_percentage(spark, sf):
     return _round_box(ST.box_stats(G.review_percentages(_s(spark, sf)), "percentage", by="sentiment"))
@@ -794,6 +849,12 @@ def q_density_score(spark, sf):
     return _round_density(ST.density(FX.scores_ow(spark, sf), "review_score"))
 
 
+@register("density_length_by_sentiment_from_counts", density_sql(_len_src(True), cut=2.0))
+def q_density_length_by_sentiment_from_counts(spark, sf):
+    lc = _length_counts(spark, sf)
+    return _round_density(ST.density(lc, "review_length", by="sentiment", cut=2.0, weight="freq"))
+
+
 def queries() -> dict[str, Query]:
     return {name: fn for name, (fn, _) in REGISTRY.items()}
 

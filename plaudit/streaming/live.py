@@ -40,16 +40,26 @@ def game_sentiment_stream(spark: SparkSession, folder: str, schema: T.StructType
 
 
 def start_game_sentiment(spark: SparkSession, folder: str, schema: T.StructType | str,
-                         sink_table: str, fmt: str = "parquet", dedup: bool = False,
-                         checkpoint: str | None = None,
-                         processing_time: str | None = None) -> StreamingQuery:
-    """Start the query; the current table is kept in the in-memory sink
-    ``sink_table`` (complete mode: each trigger re-emits the whole table,
-    one row per game)."""
+                         sink_table: str | None = None, fmt: str = "parquet", dedup: bool = False,
+                         checkpoint: str | None = None, processing_time: str | None = None,
+                         sink_path: str | None = None) -> StreamingQuery:
+    """Start the query (complete mode: each trigger emits the whole table,
+    one row per game).
+
+    ``sink_path`` rewrites a parquet table with the current counts after
+    every trigger (``foreachBatch``); otherwise the table is the in-memory
+    sink ``sink_table``, meant for tests and notebooks.
+    """
+    if (sink_table is None) == (sink_path is None):
+        raise ValueError("give exactly one of sink_table or sink_path")
     ckpt = checkpoint or f"{checkpoint_root(spark).rstrip('/')}/plaudit-stream-{uuid.uuid4().hex}"
     writer = (game_sentiment_stream(spark, folder, schema, fmt, dedup)
-              .writeStream.outputMode("complete").format("memory").queryName(sink_table)
-              .option("checkpointLocation", ckpt))
+              .writeStream.outputMode("complete").option("checkpointLocation", ckpt))
+    if sink_path is not None:
+        writer = writer.foreachBatch(
+            lambda batch, _epoch: batch.write.mode("overwrite").parquet(sink_path))
+    else:
+        writer = writer.format("memory").queryName(sink_table)
     if processing_time:
         writer = writer.trigger(processingTime=processing_time)
     return writer.start()

@@ -25,3 +25,19 @@ def test_stream_matches_batch(spark, tmp_path):
         q.stop()
     want = {tuple(r) for r in G.sentiment_counts(C.clean_reviews(e, dedup=False)).collect()}
     assert got == want and len(got) > 10
+
+
+def test_stream_to_parquet_table(spark, tmp_path):
+    e = FX.reviews_e(spark, SF_SMALL)
+    folder = str(tmp_path / "incoming")
+    e.write.parquet(f"{folder}/part1")
+    out = str(tmp_path / "table")
+    q = start_game_sentiment(spark, f"{folder}/*", e.schema, sink_path=out,
+                             checkpoint=str(tmp_path / "ckpt"))
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = {tuple(r) for r in spark.read.parquet(out).collect()}
+    want = {tuple(r) for r in G.sentiment_counts(C.clean_reviews(e, dedup=False)).collect()}
+    assert got == want
