@@ -16,6 +16,8 @@ Plan:
    * ``word_counts``    raw tokens             -> top words
    * ``word_freq_by_sentiment`` sampled cleaned tokens -> the three clouds
    * ``app_avg_scores``                         -> top apps
+   * ``score_profile``, ``global_sentiment_summary`` (one row each) -> the
+     tables and their ``key=value`` text forms
 
    so the large table is scanned about a dozen times in total (most scans
    read one or two narrow columns), instead of once per output table.
@@ -79,6 +81,8 @@ def shared_tables(base: DataFrame, rule: str = "equals_one",
         "word_freq_by_sentiment": lambda: TX.sentiment_word_counts(
             base, fraction=TX.TEXT_SAMPLE_FRACTION, **st),
         "app_avg_scores": lambda: G.app_avg_scores(base),
+        "score_profile": lambda: SC.score_profile(base),
+        "global_sentiment_summary": lambda: SC.global_sentiment_summary(base),
     }
 
 
@@ -116,8 +120,8 @@ def outputs(base: DataFrame, sh: dict[str, DataFrame], rule: str = "equals_one",
         "sentiment_length": lambda: base.select("sentiment", "review_length"),
         "correlation_data": features,
         "word_counts": lambda: wc,
-        "score_profile": lambda: SC.score_profile(base),
-        "global_sentiment_summary": lambda: SC.global_sentiment_summary(base),
+        "score_profile": lambda: sh["score_profile"],
+        "global_sentiment_summary": lambda: sh["global_sentiment_summary"],
         # data behind each chart
         "length_counts": lambda: lc,
         "top_apps_by_avg": lambda: G.top_apps_from_avg(app),
@@ -215,9 +219,9 @@ def run_all(spark: SparkSession, reviews: DataFrame | str, out_dir: str, *,
             tasks[name] = write(build, name)
     if only is None:
         tasks["score_scale_summary"] = lambda: write_key_values(
-            SC.score_profile(base), f"{out}/score_scale_summary")
+            sh["score_profile"], f"{out}/score_scale_summary")
         tasks["global_binary_summary"] = lambda: write_key_values(
-            SC.global_sentiment_summary(base), f"{out}/global_binary_summary",
+            sh["global_sentiment_summary"], f"{out}/global_binary_summary",
             {"positive_ratio": "%.6f"})
     if write_text_corpus:
         tasks["corpus"] = lambda: write_corpus(
