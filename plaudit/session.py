@@ -13,6 +13,15 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+def _default_driver_memory() -> str:
+    """60 % of physical memory, at most 16g (local mode runs in the driver)."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+    return f"{max(1, min(16, int(total * 0.6 / 2**30)))}g"
+
+
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
                   app_name: str = "plaudit") -> SparkSession:
     """Local session used by tests and bench; AQE on, UI off."""
@@ -26,7 +35,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("PLAUDIT_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("PLAUDIT_DRIVER_MEMORY", _default_driver_memory()))
     )
     if master:
         builder = builder.master(master)
