@@ -57,7 +57,7 @@ FROM events"""
 SQL_O5 = "SELECT CAST(substr(o_orderpriority, 1, 1) AS DOUBLE) AS review_score FROM orders"
 SQL_O10 = "SELECT l_quantity AS review_score FROM lineitem WHERE l_quantity <= 10"
 SQL_OW = "SELECT l_quantity AS review_score FROM lineitem"
-SQL_O0 = SQL_O5 + " WHERE 1 = 0"
+SQL_O0 = SQL_O5 + " WHERE o_totalprice < 0"  # empty, but data-dependent
 
 
 def sql_cleaned(src: str) -> str:

@@ -32,11 +32,14 @@ def duck(sf_dir: str):
     return con
 
 
+EXACT = os.environ.get("ORACLE_EXACT") == "1"
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "NaN"
-        return repr(round(v, 9))
+        return repr(v if EXACT else round(v, 9))
     if v is None:
         return "NULL"
     if hasattr(v, "item"):
