@@ -48,12 +48,17 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts.
 
-    Uses the cluster's ``spark.checkpoint.dir``. Only when that is unset (a
-    local test run) a scratch folder is created and registered.
+    Uses the cluster's ``spark.checkpoint.dir``. Only when that is unset and
+    the master is local (a test run) a scratch folder is created; on a
+    cluster an unset folder is an error, never a machine-local fallback.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: plaudit writes its lineage cuts there and "
+                "needs a folder every executor can read (for example on HDFS or S3)")
         root = tempfile.mkdtemp(prefix="plaudit-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
