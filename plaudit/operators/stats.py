@@ -31,7 +31,9 @@ from plaudit.functions.sentiment import sentiment as sentiment_expr
 
 # FIXED VALUES — plotting-library defaults the original charts rely on.
 BOX_WHISKER = 1.5          # boxplot whiskers at 1.5 IQR
-KDE_GRID = 200             # density curve evaluated on 200 points
+KDE_GRID = 200             # density curve over a histogram: 200 points, cut 0
+VIOLIN_GRID = 100          # violin density: 100 points ...
+VIOLIN_CUT = 2.0           # ... extended 2 bandwidths past the data
 DESCRIBE_PROBS = (0.25, 0.5, 0.75)
 DEGENERATE_HALF_WIDTH = 0.5  # numpy histogram range when min == max
 ALL = "all"                # group label when no grouping column is given

@@ -832,16 +832,19 @@ def q_density_length(spark, sf):
     return _round_density(ST.density(C.review_lengths(_rc(spark, sf)), "review_length"))
 
 
-@register("density_length_by_sentiment", density_sql(_len_src(True), cut=2.0))
+@register("density_length_by_sentiment",
+          density_sql(_len_src(True), grid=ST.VIOLIN_GRID, cut=ST.VIOLIN_CUT))
 def q_density_length_by_sentiment(spark, sf):
+    """Violin of length by sentiment."""
     return _round_density(ST.density(C.sentiment_lengths(_rc(spark, sf)), "review_length",
-                                     by="sentiment", cut=2.0))
+                                     by="sentiment", grid=ST.VIOLIN_GRID, cut=ST.VIOLIN_CUT))
 
 
-@register("density_percentage", density_sql(_pct_src(SQL_E), cut=2.0))
+@register("density_percentage", density_sql(_pct_src(SQL_E), grid=ST.VIOLIN_GRID, cut=ST.VIOLIN_CUT))
 def q_density_percentage(spark, sf):
+    """Violin of the per-game percentage by sentiment."""
     return _round_density(ST.density(G.review_percentages(_e(spark, sf)), "percentage",
-                                     by="sentiment", cut=2.0))
+                                     by="sentiment", grid=ST.VIOLIN_GRID, cut=ST.VIOLIN_CUT))
 
 
 @register("density_score", density_sql(f"SELECT 'all' AS grp, review_score AS v FROM ({SQL_OW}) o"))
@@ -849,10 +852,12 @@ def q_density_score(spark, sf):
     return _round_density(ST.density(FX.scores_ow(spark, sf), "review_score"))
 
 
-@register("density_length_by_sentiment_from_counts", density_sql(_len_src(True), cut=2.0))
+@register("density_length_by_sentiment_from_counts",
+          density_sql(_len_src(True), grid=ST.VIOLIN_GRID, cut=ST.VIOLIN_CUT))
 def q_density_length_by_sentiment_from_counts(spark, sf):
     lc = _length_counts(spark, sf)
-    return _round_density(ST.density(lc, "review_length", by="sentiment", cut=2.0, weight="freq"))
+    return _round_density(ST.density(lc, "review_length", by="sentiment", grid=ST.VIOLIN_GRID,
+                                     cut=ST.VIOLIN_CUT, weight="freq"))
 
 
 def queries() -> dict[str, Query]:

@@ -136,7 +136,8 @@ def outputs(base: DataFrame, sh: dict[str, DataFrame], rule: str = "equals_one",
             "review_length", 20, weight="freq"),
         "density_length": lambda: ST.density(lc, "review_length", weight="freq"),
         "density_length_by_sentiment": lambda: ST.density(
-            lc, "review_length", by="sentiment", cut=2.0, weight="freq"),
+            lc, "review_length", by="sentiment", grid=ST.VIOLIN_GRID, cut=ST.VIOLIN_CUT,
+            weight="freq"),
         "describe_lengths": lambda: ST.describe(lc, "review_length", weight="freq").drop("group"),
         "box_stats_length": lambda: ST.box_stats(lc, "review_length", by="sentiment", weight="freq"),
         "sentiment_shares": lambda: ST.sentiment_shares(base, **st),
@@ -156,7 +157,8 @@ def outputs(base: DataFrame, sh: dict[str, DataFrame], rule: str = "equals_one",
         "histogram_percentage_15": lambda: ST.histogram(pct(), "percentage", 15, by="sentiment"),
         "percentage_summary": lambda: G.percentage_summary(pct()),
         "box_stats_percentage": lambda: ST.box_stats(pct(), "percentage", by="sentiment"),
-        "density_percentage": lambda: ST.density(pct(), "percentage", by="sentiment", cut=2.0),
+        "density_percentage": lambda: ST.density(pct(), "percentage", by="sentiment",
+                                                 grid=ST.VIOLIN_GRID, cut=ST.VIOLIN_CUT),
         "low_positive_games": lambda: G.low_positive_games(pct()),
         "low_positive_extended": lambda: G.low_positive_extended(pct()),
         "low_positive_summary": lambda: G.low_positive_summary(pct()),

@@ -52,3 +52,19 @@ def test_gates_are_subqueries_not_driver_branches(spark):
     pct = G.review_percentages(FX.reviews_s(spark, SF_SMALL))
     text = plan(G.low_positive_games(pct))
     assert "Subquery" in text
+
+
+@pytest.mark.parametrize("name", ["review_counts_s", "sentiment_counts_s", "games_sentiment_s",
+                                  "review_percentages_s", "word_counts", "sentiment_word_counts",
+                                  "score_distribution", "app_avg_scores_s", "dedup_reviews",
+                                  "histogram_score", "density_score"])
+def test_aggregates_partially_before_every_shuffle(spark, name):
+    """A key holding a third of the rows must be pre-aggregated map-side:
+    every hash exchange on a grouping key sits on a partial aggregate."""
+    df = E.queries()[name](spark, SF_SMALL)
+    physical = df._jdf.queryExecution().executedPlan().toString()
+    lines = physical.splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line and i + 1 < len(lines):
+            below = "\n".join(lines[i + 1:i + 3])
+            assert "partial_" in below or "Aggregate" in below, f"{name}: exchange without map-side aggregate:\n{physical}"
