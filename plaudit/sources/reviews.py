@@ -44,8 +44,11 @@ def standardize_columns(df: DataFrame) -> DataFrame:
 
     ``Game Name`` becomes ``game``, else ``app_name`` does; ``Game ID``
     becomes ``game_id``, else ``app_id`` does — each only when the target name
-    is not present yet. Scores and votes become double and ids long through
-    ``try_cast`` (malformed values become null instead of failing the job).
+    is not present yet. Scores and votes become double through ``try_cast``
+    (malformed values become null instead of failing the job). Ids keep the
+    type they were read with: casting a non-numeric id to a number would turn
+    it into null and merge different games in the dedup; pass a schema (or
+    parquet input) for typed ids.
     """
     cols = set(df.columns)
     if "game" not in cols:
@@ -62,7 +65,6 @@ def standardize_columns(df: DataFrame) -> DataFrame:
     typed = {
         "review_score": "double",
         "review_votes": "double",
-        "game_id": "bigint",
     }
     dtypes = dict(df.dtypes)
     for name, target in typed.items():
