@@ -166,6 +166,49 @@ def outputs(base: DataFrame, sh: dict[str, DataFrame], rule: str = "equals_one",
     }
 
 
+# FIXED VALUES — file and column names of the original job's tabular outputs,
+# for ``run_all(original_layout=True)``: file -> (our table, column renames).
+ORIGINAL_LAYOUT = {
+    "rdd_review_counts": ("review_counts", {"review_count": "review_count_rdd"}),
+    "rdd_avg_scores": ("avg_scores", {"avg_review_score": "avg_review_score_rdd"}),
+    "rdd_sentiment_counts": ("sentiment_counts", {
+        "positive_reviews": "positive_reviews_rdd", "negative_reviews": "negative_reviews_rdd",
+        "total_reviews": "total_reviews_rdd", "positive_ratio": "positive_ratio_rdd"}),
+    "df_review_counts": ("review_counts", {"review_count": "review_count_df"}),
+    "df_avg_scores": ("avg_scores", {"avg_review_score": "avg_review_score_df"}),
+    "df_sentiment_counts": ("sentiment_counts", {
+        "positive_reviews": "positive_reviews_df", "negative_reviews": "negative_reviews_df",
+        "positive_ratio": "positive_ratio_df"}),
+    "top_games": ("top_games", {}),
+    "score_distribution": ("score_distribution", {}),
+    "app_avg_scores": ("app_avg_scores", {}),
+    "review_lengths": ("review_lengths", {}),
+    "sentiment_length": ("sentiment_length", {}),
+    "games_sentiment": ("games_sentiment", {}),
+    "reviews_percentage": ("reviews_percentage", {}),
+    "correlation_data": ("correlation_data", {}),
+    "word_counts": ("word_counts", {}),
+}
+
+
+def original_tables(outs: dict[str, Callable[[], DataFrame]]) -> dict[str, Callable[[], DataFrame]]:
+    """The original job's tabular outputs under its file and column names.
+
+    ``df_sentiment_counts`` has no total column there; ``score_distribution``
+    is (score, count) over all rows here instead of the first 500 000 raw
+    scores.
+    """
+    def build(table: str, renames: dict[str, str]) -> Callable[[], DataFrame]:
+        def make() -> DataFrame:
+            df = outs[table]()
+            cols = [F.col(c).alias(renames.get(c, c)) for c in df.columns
+                    if not (table == "sentiment_counts" and c == "total_reviews"
+                            and "total_reviews" not in renames)]
+            return df.select(*cols)
+        return make
+    return {name: build(t, r) for name, (t, r) in ORIGINAL_LAYOUT.items()}
+
+
 def _run_concurrently(tasks: dict[str, Callable[[], None]], parallelism: int) -> list[str]:
     """Submit independent Spark jobs from ``parallelism`` driver threads.
 
@@ -188,13 +231,15 @@ def run_all(spark: SparkSession, reviews: DataFrame | str, out_dir: str, *,
             sample_fraction: float = 1.0, rule: str = "equals_one",
             out_format: str = "parquet", write_text_corpus: bool = True,
             only: list[str] | None = None, keep_intermediate: bool = False,
-            parallelism: int = 8) -> list[str]:
+            parallelism: int = 8, original_layout: bool = False) -> list[str]:
     """Run the whole analysis; returns the names of the written tables.
 
     After the cleaned table and the shared aggregates are materialised, the
     output writes are independent jobs submitted ``parallelism`` at a time.
     The materialised intermediates are deleted at the end unless
-    ``keep_intermediate``.
+    ``keep_intermediate``. ``original_layout`` also writes the original job's
+    15 tabular files (header CSV, its file and column names) under
+    ``out_dir/original/``.
     """
     raw = reviews if isinstance(reviews, DataFrame) else read_reviews(spark, reviews, input_format)
     out = out_dir.rstrip("/")
@@ -216,9 +261,14 @@ def run_all(spark: SparkSession, reviews: DataFrame | str, out_dir: str, *,
 
     tasks: dict[str, Callable[[], None]] = {
         "cleaning_audit": write(lambda: C.cleaning_audit(raw, base), "cleaning_audit")}
-    for name, build in outputs(base, sh, rule, threshold).items():
+    outs = outputs(base, sh, rule, threshold)
+    for name, build in outs.items():
         if only is None or name in only:
             tasks[name] = write(build, name)
+    if original_layout:
+        for name, build in original_tables(outs).items():
+            tasks[f"original/{name}"] = (lambda b=build, n=name: write_table(
+                b(), f"{out}/original/{n}", "csv"))
     if only is None:
         tasks["score_scale_summary"] = lambda: write_key_values(
             sh["score_profile"], f"{out}/score_scale_summary")
@@ -250,11 +300,14 @@ def main(argv=None) -> None:
     ap.add_argument("--sentiment-rule", default="equals_one", choices=["equals_one", "threshold"])
     ap.add_argument("--master", default=None)
     ap.add_argument("--parallelism", type=int, default=8, help="concurrent output jobs")
+    ap.add_argument("--original-layout", action="store_true",
+                    help="also write the original 15 tables under out/original/")
     a = ap.parse_args(argv)
     spark = build_session(a.master)
     names = run_all(spark, a.path, a.out, input_format=a.input_format, dedup=not a.no_dedup,
                     order_by=a.order_by, sample_fraction=a.sample_fraction,
-                    rule=a.sentiment_rule, out_format=a.format, parallelism=a.parallelism)
+                    rule=a.sentiment_rule, out_format=a.format, parallelism=a.parallelism,
+                    original_layout=a.original_layout)
     print(f"wrote {len(names)} tables to {a.out}")
 
 

@@ -93,3 +93,17 @@ def test_derived_outputs_equal_direct_operators(spark):
         got = spark.read.parquet(f"{out}/{name}")
         assert got.columns == df.columns, name
         assert norm(got.collect()) == norm(df.collect()), name
+
+
+def test_original_layout(spark, tmp_path):
+    raw = FX.reviews_e(spark, SF_SMALL)
+    out = str(tmp_path / "out")
+    run_all(spark, raw, out, only=[], write_text_corpus=False, original_layout=True)
+    rdd = spark.read.option("header", True).csv(f"{out}/original/rdd_sentiment_counts")
+    assert rdd.columns == ["game", "positive_reviews_rdd", "negative_reviews_rdd",
+                           "total_reviews_rdd", "positive_ratio_rdd"]
+    dfs = spark.read.option("header", True).csv(f"{out}/original/df_sentiment_counts")
+    assert dfs.columns == ["game", "positive_reviews_df", "negative_reviews_df", "positive_ratio_df"]
+    counts = spark.read.option("header", True).csv(f"{out}/original/df_review_counts")
+    assert counts.columns == ["game", "review_count_df"]
+    assert counts.count() == G.review_counts(C.clean_reviews(raw)).count() > 0
