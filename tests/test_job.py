@@ -107,3 +107,28 @@ def test_original_layout(spark, tmp_path):
     counts = spark.read.option("header", True).csv(f"{out}/original/df_review_counts")
     assert counts.columns == ["game", "review_count_df"]
     assert counts.count() == G.review_counts(C.clean_reviews(raw)).count() > 0
+
+
+def test_outputs_never_rescan_the_raw_input(spark):
+    """After materialisation every output reads only the job's own parquet
+    intermediates, never the raw source tables."""
+    import io
+    import contextlib
+
+    from plaudit.plans.job import prepare
+    from plaudit.sources.sinks import drop_materialized, materialize
+
+    raw = FX.reviews_r(spark, SF_SMALL)
+    base = materialize(prepare(raw), "cleaned")
+    sh = {name: materialize(build(), name) for name, build in shared_tables(base).items()}
+    try:
+        for name, build in outputs(base, sh).items():
+            buf = io.StringIO()
+            with contextlib.redirect_stdout(buf):
+                build().explain("formatted")
+            text = buf.getvalue()
+            assert "documents.parquet" not in text and "labels.parquet" not in text, name
+            assert "plaudit-" in text, name
+    finally:
+        for df in [base, *sh.values()]:
+            drop_materialized(df)
