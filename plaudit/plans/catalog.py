@@ -581,6 +581,15 @@ def q_cloud_weights_sampled(spark, sf):
 # G: statistics
 # --------------------------------------------------------------------------
 
+def _corr_cell(a: str, b: str) -> str:
+    """Pairwise-complete Pearson r of columns ``a`` and ``b`` in SQL."""
+    both = f"{a} IS NOT NULL AND {b} IS NOT NULL AND NOT isnan({a}) AND NOT isnan({b})"
+    xa, xb = f"CASE WHEN {both} THEN {a} END", f"CASE WHEN {both} THEN {b} END"
+    r = (f"CASE WHEN stddev_pop({xa}) * stddev_pop({xb}) = 0 THEN NULL "
+         f"ELSE covar_pop({xa}, {xb}) / (stddev_pop({xa}) * stddev_pop({xb})) END")
+    return f"CASE WHEN ({r}) IS NULL THEN NULL ELSE least(greatest({r}, -1.0), 1.0) END"
+
+
 @register("correlation_matrix", with_ctes(
     f"""SELECT a.x, b.y, round(CASE
     WHEN a.x = 'review_length' AND b.y = 'review_length' THEN r_ll
@@ -592,28 +601,14 @@ def q_cloud_weights_sampled(spark, sf):
 FROM (SELECT unnest(['review_length', 'review_score', 'review_votes']) AS x) a
 CROSS JOIN (SELECT unnest(['review_length', 'review_score', 'review_votes']) AS y) b
 CROSS JOIN (SELECT
-    {{r('l', 'l')}} AS r_ll, {{r('s', 's')}} AS r_ss, {{r('v', 'v')}} AS r_vv,
-    {{r('l', 's')}} AS r_ls, {{r('l', 'v')}} AS r_lv, {{r('s', 'v')}} AS r_sv FROM m) k""",
+    {_corr_cell('l', 'l')} AS r_ll, {_corr_cell('s', 's')} AS r_ss, {_corr_cell('v', 'v')} AS r_vv,
+    {_corr_cell('l', 's')} AS r_ls, {_corr_cell('l', 'v')} AS r_lv, {_corr_cell('s', 'v')} AS r_sv
+  FROM m) k""",
     c=sql_cleaned(SQL_R),
     m="SELECT CAST(length(review_text) AS DOUBLE) AS l, review_score AS s, review_votes AS v FROM c"))
 def q_correlation_matrix(spark, sf):
     return _round(ST.correlation_matrix(C.correlation_data(_rc(spark, sf))), DP, "r")
 
-
-def _corr_cell(a: str, b: str) -> str:
-    both = f"{a} IS NOT NULL AND {b} IS NOT NULL AND NOT isnan({a}) AND NOT isnan({b})"
-    xa, xb = f"CASE WHEN {both} THEN {a} END", f"CASE WHEN {both} THEN {b} END"
-    r = (f"CASE WHEN stddev_pop({xa}) * stddev_pop({xb}) = 0 THEN NULL "
-         f"ELSE covar_pop({xa}, {xb}) / (stddev_pop({xa}) * stddev_pop({xb})) END")
-    return f"CASE WHEN ({r}) IS NULL THEN NULL ELSE least(greatest({r}, -1.0), 1.0) END"
-
-
-# Fill the correlation cells into the registered SQL.
-_fn, _sql = REGISTRY["correlation_matrix"]
-for _a, _b in [("l", "l"), ("s", "s"), ("v", "v"), ("l", "s"), ("l", "v"), ("s", "v")]:
-    _sql = _sql.replace(f"{{r('{_a}', '{_b}')}}", _corr_cell(_a, _b))
-REGISTRY["correlation_matrix"] = (_fn, _sql)
-
 _LEN_SRC = "SELECT CAST(length(review_text) AS DOUBLE) AS v FROM c"
 
 
