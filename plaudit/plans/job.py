@@ -167,7 +167,8 @@ def outputs(base: DataFrame, sh: dict[str, DataFrame], rule: str = "equals_one",
 
 
 # FIXED VALUES — file and column names of the original job's tabular outputs,
-# for ``run_all(original_layout=True)``: file -> (our table, column renames).
+# for ``run_all(original_layout=True)``: file -> (our table, column renames;
+# None = the column is not in the original file).
 ORIGINAL_LAYOUT = {
     "rdd_review_counts": ("review_counts", {"review_count": "review_count_rdd"}),
     "rdd_avg_scores": ("avg_scores", {"avg_review_score": "avg_review_score_rdd"}),
@@ -178,7 +179,7 @@ ORIGINAL_LAYOUT = {
     "df_avg_scores": ("avg_scores", {"avg_review_score": "avg_review_score_df"}),
     "df_sentiment_counts": ("sentiment_counts", {
         "positive_reviews": "positive_reviews_df", "negative_reviews": "negative_reviews_df",
-        "positive_ratio": "positive_ratio_df"}),
+        "total_reviews": None, "positive_ratio": "positive_ratio_df"}),
     "top_games": ("top_games", {}),
     "score_distribution": ("score_distribution", {}),
     "app_avg_scores": ("app_avg_scores", {}),
@@ -198,13 +199,11 @@ def original_tables(outs: dict[str, Callable[[], DataFrame]]) -> dict[str, Calla
     is (score, count) over all rows here instead of the first 500 000 raw
     scores.
     """
-    def build(table: str, renames: dict[str, str]) -> Callable[[], DataFrame]:
+    def build(table: str, renames: dict[str, str | None]) -> Callable[[], DataFrame]:
         def make() -> DataFrame:
             df = outs[table]()
-            cols = [F.col(c).alias(renames.get(c, c)) for c in df.columns
-                    if not (table == "sentiment_counts" and c == "total_reviews"
-                            and "total_reviews" not in renames)]
-            return df.select(*cols)
+            return df.select(*[F.col(c).alias(renames.get(c, c)) for c in df.columns
+                               if renames.get(c, c) is not None])
         return make
     return {name: build(t, r) for name, (t, r) in ORIGINAL_LAYOUT.items()}
 
