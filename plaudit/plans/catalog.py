@@ -312,6 +312,28 @@ def q_games_sentiment_s(spark, sf):
     return _round(G.games_sentiment(_s(spark, sf)), DP, "positive_ratio")
 
 
+SQL_O5G = """SELECT o_orderkey AS row_id, o_custkey AS game_id, concat('cust', CAST(o_custkey AS VARCHAR)) AS game,
+       o_orderstatus AS app_name, CAST('' AS VARCHAR) AS review_text,
+       CAST(substr(o_orderpriority, 1, 1) AS DOUBLE) AS review_score, o_totalprice AS review_votes
+FROM orders"""
+
+
+@register("games_sentiment_threshold", with_ctes(
+    f"""SELECT game, positive, negative, total_reviews, round(CAST(positive AS DOUBLE) / total_reviews, {DP}) AS positive_ratio
+FROM (SELECT game,
+        CAST(sum(CASE WHEN coalesce(review_score >= t.threshold, false) THEN 1 ELSE 0 END) AS BIGINT) AS positive,
+        CAST(sum(CASE WHEN coalesce(review_score >= t.threshold, false) THEN 0 ELSE 1 END) AS BIGINT) AS negative,
+        count(*) AS total_reviews
+      FROM r, ({_profile_sql("SELECT review_score FROM r")}) t GROUP BY game) g
+WHERE total_reviews >= {G.MIN_GAME_REVIEWS}""", r=SQL_O5G))
+def q_games_sentiment_threshold(spark, sf):
+    """Documented-intent rule: positive when score >= the profiled threshold
+    (4 on this five-point scale)."""
+    df = FX.reviews_o5(spark, sf)
+    return _round(G.games_sentiment(df, rule="threshold", threshold=SC.score_threshold(df)),
+                  DP, "positive_ratio")
+
+
 def _pct_sql(src, min_reviews=G.MIN_PERCENTAGE_TOTAL):
     return f"""SELECT game, sentiment, count, total_by_game,
        round(CAST(count AS DOUBLE) / total_by_game * 100, 2) AS percentage FROM (
@@ -325,6 +347,18 @@ def q_review_percentages(spark, sf):
     return G.review_percentages(_e(spark, sf))
 
 
+@register("review_percentages_with_zero_s", with_ctes(
+    f"""SELECT g.game, s.sentiment, coalesce(c.count, 0) AS count, g.total_by_game,
+  round(CAST(coalesce(c.count, 0) AS DOUBLE) / g.total_by_game * 100, 2) AS percentage
+FROM (SELECT game, count(*) AS total_by_game FROM r GROUP BY game HAVING count(*) >= {G.MIN_PERCENTAGE_TOTAL}) g
+CROSS JOIN (VALUES ('positive'), ('negative')) s(sentiment)
+LEFT JOIN (SELECT game, {SENT_SQL} AS sentiment, count(*) AS count FROM r GROUP BY 1, 2) c
+  ON c.game = g.game AND c.sentiment = s.sentiment""", r=SQL_S))
+def q_review_percentages_with_zero_s(spark, sf):
+    """Both sentiments for every game, 0 % rows included."""
+    return G.review_percentages(_s(spark, sf), include_zero=True)
+
+
 @register("review_percentages_s", _pct_sql(SQL_S))
 def q_review_percentages_s(spark, sf):
     return G.review_percentages(_s(spark, sf))

@@ -88,6 +88,21 @@ def scores_ow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select(F.col("l_quantity").alias("review_score"))
 
 
+def reviews_o5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O5G: orders as reviews of customers on a 1-5 scale (the priority
+    digit), for the score-threshold sentiment rule."""
+    o = table(spark, sf_dir, "orders")
+    return o.select(
+        F.col("o_orderkey").alias("row_id"),
+        F.col("o_custkey").alias("game_id"),
+        F.concat(F.lit("cust"), F.col("o_custkey").cast("string")).alias("game"),
+        F.col("o_orderstatus").alias("app_name"),
+        F.lit("").alias("review_text"),
+        F.expr("substr(o_orderpriority, 1, 1)").cast("double").alias("review_score"),
+        F.col("o_totalprice").alias("review_votes"),
+    )
+
+
 def scores_o0(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O5 restricted to orders with a negative price: none exist, but the
     filter depends on the data, so the whole table is still scanned."""
@@ -98,7 +113,7 @@ def scores_o0(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 VIEWS = {
     "R": reviews_r, "D": reviews_d, "S": reviews_s, "E": reviews_e,
-    "O5": scores_o5, "O10": scores_o10, "OW": scores_ow, "O0": scores_o0,
+    "O5": scores_o5, "O10": scores_o10, "OW": scores_ow, "O0": scores_o0, "O5G": reviews_o5,
 }
 
 
