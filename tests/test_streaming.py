@@ -41,3 +41,20 @@ def test_stream_to_parquet_table(spark, tmp_path):
     got = {tuple(r) for r in spark.read.parquet(out).collect()}
     want = {tuple(r) for r in G.sentiment_counts(C.clean_reviews(e, dedup=False)).collect()}
     assert got == want
+
+
+def test_stream_reads_quoted_csv(spark, tmp_path):
+    e = FX.reviews_e(spark, SF_SMALL)  # review_text is JSON: quotes and commas
+    folder = str(tmp_path / "incoming")
+    e.write.option("header", True).option("escape", '"').csv(f"{folder}/part1")
+    schema = ("row_id BIGINT, game_id BIGINT, game STRING, app_name STRING, review_text STRING, "
+              "review_score DOUBLE, review_votes DOUBLE")
+    q = start_game_sentiment(spark, f"{folder}/*", schema, "plaudit_stream_csv", fmt="csv",
+                             checkpoint=str(tmp_path / "ckpt"))
+    try:
+        q.processAllAvailable()
+        got = {tuple(r) for r in spark.table("plaudit_stream_csv").collect()}
+    finally:
+        q.stop()
+    want = {tuple(r) for r in G.sentiment_counts(C.clean_reviews(e, dedup=False)).collect()}
+    assert got == want
