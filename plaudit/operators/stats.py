@@ -76,7 +76,8 @@ def _attach(rows: DataFrame, per_group: DataFrame, by: str | None) -> DataFrame:
     if by is None:
         cols = [c for c in per_group.columns if c != "group"]
         one = per_group.select(F.struct(*cols).alias("_s")).scalar()
-        return rows.select("*", *[one.getField(c).alias(c) for c in cols])
+        # like the inner join: no summary row (e.g. filtered out) -> no rows
+        return rows.filter(one.isNotNull()).select("*", *[one.getField(c).alias(c) for c in cols])
     small = by in BOUNDED_GROUP_COLUMNS
     right = per_group.withColumnRenamed("group", "_g")
     right = F.broadcast(right) if small else right
