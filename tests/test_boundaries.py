@@ -86,3 +86,63 @@ def test_weighted_fold_equals_rows(spark, vals):
     assert a == b
     with pytest.raises(ValueError):
         ST.describe(folded, "v", weight="n", accuracy=100)
+
+
+def _games(spark, n_games, per_game=10):
+    rows = [(f"g{i:02d}", 1.0 if j == 0 else 0.0) for i in range(n_games) for j in range(per_game)]
+    return spark.createDataFrame(rows, "game string, review_score double")
+
+
+def test_top_reviewed_gate_at_ten_games(spark):
+    assert G.top_reviewed_games(G.games_sentiment(_games(spark, 10))).count() == 10
+    assert G.top_reviewed_games(G.games_sentiment(_games(spark, 9))).count() == 0
+
+
+def test_extended_label_cut(spark):
+    long_name = "x" * 31
+    rows = [(long_name, "positive", 1.0)] + [(f"g{i}", "positive", 2.0) for i in range(5)]
+    pct = spark.createDataFrame(rows, "game string, sentiment string, percentage double")
+    labels = {r.game: r.label for r in G.low_positive_extended(pct).collect()}
+    assert labels[long_name] == "x" * 30 + "..." and labels["g0"] == "g0"
+
+
+def test_empty_inputs(spark):
+    from plaudit.operators import clean as C
+    from plaudit.operators import scale as SC
+    from plaudit.operators import text as TX
+    empty = spark.createDataFrame([], "game string, review_text string, review_score double")
+    assert SC.global_sentiment_summary(empty).count() == 0  # not binary: no summary
+    assert C.cleaning_audit(empty, C.clean_reviews(empty)).first() == (0, 0)
+    assert TX.cloud_weights(TX.cleaned_word_freq(empty)).count() == 0
+    assert ST.histogram(empty, "review_score", 5).count() == 0
+    assert G.percentage_categories(G.review_percentages(empty)).count() == 0
+
+
+def test_dedup_without_game_id_uses_game(spark):
+    from plaudit.operators import clean as C
+    df = spark.createDataFrame([("a", "t", 1.0), ("a", "t", 0.0), ("b", "t", 1.0)],
+                               "game string, review_text string, review_score double")
+    assert C.dedup_key(df) == ["game", "review_text"]
+    assert C.clean_reviews(df).count() == 2
+
+
+def test_sample_default_key_ignores_added_columns(spark):
+    from plaudit.operators import clean as C
+    df = spark.createDataFrame([(i % 7, f"text {i}", 1.0) for i in range(2000)],
+                               "game_id long, review_text string, review_score double")
+    a = {(r.game_id, r.review_text) for r in C.sample_reviews(df, 0.2).collect()}
+    b = {(r.game_id, r.review_text) for r in C.sample_reviews(df.withColumn("extra", F.lit(1)), 0.2).collect()}
+    assert a == b and 300 < len(a) < 500
+
+
+def test_correlation_data_without_votes(spark):
+    from plaudit.operators import clean as C
+    df = spark.createDataFrame([("abc", 1.0)], "review_text string, review_score double")
+    assert C.correlation_data(df).columns == ["review_length", "review_score"]
+
+
+def test_raw_word_counts_keep_case_and_punctuation(spark):
+    from plaudit.operators import text as TX
+    df = spark.createDataFrame([("Good  game, good game!",)], "review_text string")
+    wc = {r.word: r["count"] for r in TX.word_counts(df).collect()}
+    assert wc == {"Good": 1, "game,": 1, "good": 1, "game!": 1}
