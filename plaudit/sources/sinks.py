@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
 import weakref
 
@@ -13,6 +14,7 @@ from plaudit.functions.text import clean_text
 from plaudit.session import checkpoint_root
 
 _MATERIALIZED: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+_LOCK = threading.Lock()  # run_all materialises from several driver threads
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
@@ -77,13 +79,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{root}/plaudit-{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     out = spark.read.parquet(path)
-    _MATERIALIZED[out] = path
+    with _LOCK:
+        _MATERIALIZED[out] = path
     return out
 
 
 def drop_materialized(df: DataFrame) -> None:
     """Delete the files behind a ``materialize``d DataFrame (job cleanup)."""
-    path = _MATERIALIZED.pop(df, None)
+    with _LOCK:
+        path = _MATERIALIZED.pop(df, None)
     if path is None:
         return
     spark = df.sparkSession
