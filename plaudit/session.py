@@ -23,8 +23,11 @@ def _default_driver_memory() -> str:
 
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
-                  app_name: str = "plaudit") -> SparkSession:
-    """Local session used by tests and bench; AQE on, UI off."""
+                  app_name: str = "plaudit", event_log_dir: str | None = None) -> SparkSession:
+    """Local session used by tests and bench; AQE on, UI off.
+
+    ``event_log_dir`` turns on Spark's event log there (stage and task times
+    without the web UI)."""
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -37,6 +40,9 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("PLAUDIT_DRIVER_MEMORY", _default_driver_memory()))
     )
+    if event_log_dir:
+        builder = (builder.config("spark.eventLog.enabled", "true")
+                   .config("spark.eventLog.dir", event_log_dir))
     if master:
         builder = builder.master(master)
     spark = builder.getOrCreate()
