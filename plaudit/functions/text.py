@@ -64,16 +64,31 @@ def raw_tokens(text="review_text") -> Column:
     return F.split(_col(text), WHITESPACE_RUN)
 
 
+def token_candidates(text="review_text") -> Column:
+    """Maximal runs of ASCII letters of the lower-cased text (null -> empty).
+
+    Replacing every non-letter, non-whitespace character by a space and then
+    splitting on whitespace leaves exactly these runs, so one split on
+    non-letters gives the same tokens in the same order, in a single regex
+    pass. Empty strings at the edges are removed by ``is_kept_token``.
+    """
+    return F.split(F.lower(F.coalesce(_col(text), F.lit(""))), NON_LETTER_RUN)
+
+
+def is_kept_token(token) -> Column:
+    """Longer than two characters and not a stop word (plain column
+    predicate: whole-stage code generation, ``INSET`` lookup)."""
+    t = _col(token)
+    return (F.length(t) >= MIN_TOKEN_LENGTH) & ~t.isin(*STOP_WORDS)
+
+
 def clean_tokens(text="review_text") -> Column:
-    # Replacing every non-letter, non-whitespace character by a space and then
-    # splitting on whitespace leaves exactly the maximal runs of ASCII letters
-    # of the lower-cased text, so one split on non-letters gives the same
-    # tokens in the same order, in a single regex pass.
-    pieces = F.split(F.lower(F.coalesce(_col(text), F.lit(""))), NON_LETTER_RUN)
-    return F.filter(
-        pieces,
-        lambda t: (F.length(t) >= MIN_TOKEN_LENGTH) & ~t.isin(*STOP_WORDS),
-    )
+    """The cleaned tokens as an array (for the cleaned text of a review).
+
+    Word frequencies explode ``token_candidates`` and filter with
+    ``is_kept_token`` instead: the array lambda here runs interpreted.
+    """
+    return F.filter(token_candidates(text), is_kept_token)
 
 
 def clean_text(text="review_text") -> Column:

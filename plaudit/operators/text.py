@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plaudit.functions.sentiment import sentiment as sentiment_expr
-from plaudit.functions.text import MIN_TOKEN_LENGTH, clean_text, clean_tokens, raw_tokens
+from plaudit.functions.text import (MIN_TOKEN_LENGTH, clean_text, is_kept_token, raw_tokens,
+                                   token_candidates)
 from plaudit.operators.clean import sample_reviews
 
 # FIXED VALUES — word-cloud settings of the original job.
@@ -50,7 +51,8 @@ def sentiment_word_counts(df: DataFrame, fraction: float | None = None, seed: in
     serves the per-sentiment and the overall word frequencies."""
     src = sample_reviews(df, fraction, sample_keys, seed) if fraction else df
     words = src.select(sentiment_expr("review_score", rule, threshold).alias("sentiment"),
-                       F.explode(clean_tokens("review_text")).alias("word"))
+                       F.explode(token_candidates("review_text")).alias("word"))
+    words = words.filter(is_kept_token("word"))
     return words.groupBy("sentiment", "word").agg(F.count(F.lit(1)).alias("freq"))
 
 
