@@ -72,12 +72,13 @@ def _attach(rows: DataFrame, per_group: DataFrame, by: str | None) -> DataFrame:
 
     Without grouping there is one group: its figures come in as one
     struct-valued scalar subquery instead of a (constant-key, i.e. cross) join.
+    ``per_group`` must then have its row whenever ``rows`` is not empty
+    (callers null out figures instead of filtering the summary).
     """
     if by is None:
         cols = [c for c in per_group.columns if c != "group"]
         one = per_group.select(F.struct(*cols).alias("_s")).scalar()
-        # like the inner join: no summary row (e.g. filtered out) -> no rows
-        return rows.filter(one.isNotNull()).select("*", *[one.getField(c).alias(c) for c in cols])
+        return rows.select("*", *[one.getField(c).alias(c) for c in cols])
     small = by in BOUNDED_GROUP_COLUMNS
     right = per_group.withColumnRenamed("group", "_g")
     right = F.broadcast(right) if small else right
@@ -272,8 +273,9 @@ def density(df: DataFrame, value: str, by: str | None = None, grid: int = KDE_GR
     """
     folded = fold(df, value, by, weight)
     m = _moments(folded, by)
-    m = m.withColumn("_bw", F.col("_std") * F.pow(F.col("_n").cast("double"), F.lit(-0.2)))
-    m = m.filter(F.col("_bw") > 0).select(
+    bw = F.col("_std") * F.pow(F.col("_n").cast("double"), F.lit(-0.2))
+    m = m.withColumn("_bw", F.when(bw > 0, bw))  # null: no spread, no curve
+    m = m.select(
         "group", "_n", "_bw",
         (F.col("_min") - cut * F.col("_bw")).alias("_gmin"),
         (F.col("_max") + cut * F.col("_bw")).alias("_gmax"))
@@ -285,5 +287,6 @@ def density(df: DataFrame, value: str, by: str | None = None, grid: int = KDE_GR
     contrib = F.col("freq") * F.exp(F.lit(-0.5) * z * z)
     pts = pts.select("group", "i", x.alias("x"), contrib.alias("_c"), "_n", "_bw")
     norm = F.max("_n") * F.max("_bw") * F.lit(math.sqrt(2 * math.pi))
-    return pts.groupBy("group", "i").agg(
+    out = pts.groupBy("group", "i").agg(
         F.max("x").alias("x"), (F.sum("_c") / norm).alias("density"))
+    return out.filter(F.col("density").isNotNull())
