@@ -135,6 +135,17 @@ def q_clean_reviews_d(spark, sf):
     return G.review_counts(C.clean_reviews(FX.reviews_d(spark, sf), order_by="row_id"))
 
 
+@register("clean_reviews_no_dedup", with_ctes(
+    """SELECT game, count(*) AS review_count FROM (
+  SELECT game, trim(review_text) AS review_text, review_score FROM d) c
+WHERE review_text IS NOT NULL AND length(review_text) > 0
+  AND review_score IS NOT NULL AND NOT isnan(review_score)
+GROUP BY game""", d=SQL_D))
+def q_clean_reviews_no_dedup(spark, sf):
+    """The original's --no-dedup run: cleaning filters only."""
+    return G.review_counts(C.clean_reviews(FX.reviews_d(spark, sf), dedup=False))
+
+
 @register("dedup_reviews", with_ctes(
     """SELECT row_id, game_id, game, app_name, review_text, review_score, review_votes FROM d
 QUALIFY row_number() OVER (PARTITION BY game_id, review_text ORDER BY row_id) = 1""", d=SQL_D))
