@@ -6,8 +6,42 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import simhash
+from . import decontam, quality, simhash
+
+
+# Words after lower-casing A-Z only; windows of 10 words, shorter items whole.
+OP5_SQL = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+iw AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+win AS (
+  SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, least(len(words), 10) AS k,
+    unnest([array_to_string(list_slice(words, i, i + least(len(words), 10) - 1), ' ')
+            for i in range(1, greatest(len(words) - 9, 1) + 1)]) AS win
+  FROM iw WHERE len(words) > 0),
+ks AS (SELECT DISTINCT k FROM win),
+grams AS (
+  SELECT doc_id, k, unnest(range(1, len(words) - k + 2)) AS i, words FROM w, ks WHERE len(words) >= k),
+hit AS (
+  SELECT g.doc_id, g.i, g.k, win.item FROM
+    (SELECT doc_id, i, k, array_to_string(list_slice(words, i, i + k - 1), ' ') AS win FROM grams) g
+    JOIN win ON win.k = g.k AND win.win = g.win),
+pos AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM
+    (SELECT doc_id, unnest(range(i, i + k)) AS p FROM (SELECT DISTINCT doc_id, i, k FROM hit)) GROUP BY doc_id),
+its AS (
+  SELECT doc_id, count(*) AS n, sha256(string_agg(item, ',' ORDER BY item)) AS h
+  FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(w.words) AS BIGINT) AS n_words, CAST(coalesce(pos.n, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(its.n, 0) AS BIGINT) AS n_items, coalesce(its.h, sha256('')) AS items_sha256,
+  coalesce(pos.n, 0) > 0 AS contaminated
+FROM w LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,11 +53,30 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document inside a 10-word window of a benchmark item."""
+    found = decontam.overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), window=10)
+    return found.select(
+        "doc_id", "n_words", F.size("hits").cast("long").alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", F.array_sort("items")).cast("binary"), 256).alias("items_sha256"),
+        (F.size("hits") > 0).alias("contaminated"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Compression quality score of each document; predicted at 0.7."""
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.fit(docs, _table(spark, sf_dir, "labels"))
+    return quality.score_documents(docs, model, threshold=0.7)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_simhash": op4_simhash,
+        "op5_decontamination": op5_decontamination,
+        "op7_quality": op7_quality,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_decontamination": OP5_SQL}
