@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, quality, simhash
+from . import decontam, mixing, quality, simhash
 
 
 # Words after lower-casing A-Z only; windows of 10 words, shorter items whole.
@@ -70,11 +70,21 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(docs, model, threshold=0.7)
 
 
+# Shares of the corpus's tokens that op9_mixing aims at.
+OP9_WEIGHTS = {"clean": 0.80, "low": 0.15, "toxic": 0.05}
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Domain posteriors, rate and copies of each document for OP9_WEIGHTS."""
+    return mixing.mix(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), OP9_WEIGHTS)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_simhash": op4_simhash,
         "op5_decontamination": op5_decontamination,
         "op7_quality": op7_quality,
+        "op9_mixing": op9_mixing,
     }
 
 
