@@ -6,6 +6,7 @@ from __future__ import annotations
 import uuid
 from contextlib import contextmanager
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -49,23 +50,20 @@ def no_text(col: str) -> Column:
 # Global order without one task holding it
 # --------------------------------------------------------------------------
 
-def range_bucket(df: DataFrame, key: str, buckets: int) -> Column:
-    """Column with the range bucket of ``key`` (0 .. buckets-1, nulls first).
+def range_bucket(df: DataFrame, key: str, name: str, buckets: int, on: DataFrame | None = None) -> DataFrame:
+    """Add ``name`` to ``on`` (default ``df``): the range bucket of the numeric
+    ``key``, ascending with it; nulls are alone in bucket -1.
 
-    The splitters are approximate quantiles over all rows, so every bucket
-    holds about the same number of rows; they are at most ``buckets`` numbers.
-    """
+    The splitters are approximate quantiles over all rows, at most ``buckets``
+    numbers, so the buckets hold about the same number of rows; rows are
+    placed by binary search."""
     steps = [i / buckets for i in range(1, buckets)]
-    if not steps:
-        return F.lit(0)
-    splits = df.agg(F.percentile_approx(key, F.array(*map(F.lit, steps)), 10000)).first()[0] or []
-    splits = sorted(set(splits))
-    if not splits:
-        return F.lit(0)
-    # width_bucket over an array is a search in the sorted splitters
-    array = F.array(*[F.lit(x) for x in splits])
-    return F.when(F.col(key).isNull(), F.lit(0)).otherwise(
-        F.size(F.filter(array, lambda s: s <= F.col(key)))).cast("int")
+    splits = df.agg(F.percentile_approx(key, F.array(*map(F.lit, steps)), 10 * buckets)).first()[0] if steps else []
+    splits = sorted({float(x) for x in splits or []})
+    out = (df if on is None else on).withColumn("_key", F.coalesce(F.col(key), F.lit(0)).cast("double"))
+    out = Bucketizer(splits=[-float("inf"), *splits, float("inf")] if splits else [-float("inf"), 0.0, float("inf")],
+                     inputCol="_key", outputCol=name).transform(out)
+    return out.withColumn(name, F.when(F.col(key).isNull(), -1).otherwise(F.col(name)).cast("int")).drop("_key")
 
 
 def running_offset(df: DataFrame, bucket: str, order: list[Column], value: Column, name: str) -> DataFrame:

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, mixing, quality, simhash
+from . import decontam, materialise, mixing, quality, simhash
 
 
 # Words after lower-casing A-Z only; windows of 10 words, shorter items whole.
@@ -79,12 +79,18 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), OP9_WEIGHTS)
 
 
+def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token shards of all documents in permuted order; the manifest of sequences."""
+    return materialise.materialise(_table(spark, sf_dir, "documents")).drop("folder")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_simhash": op4_simhash,
         "op5_decontamination": op5_decontamination,
         "op7_quality": op7_quality,
         "op9_mixing": op9_mixing,
+        "op10_training_order": op10_training_order,
     }
 
 

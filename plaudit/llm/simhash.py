@@ -238,3 +238,15 @@ def simhash_groups(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     fps = cut(fingerprints(docs, text, id_col, shingle), "simhash")
     return near_groups(fps, max_bits).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, text: str = "text", id_col: str = "doc_id", shingle: int = 3,
+             max_bits: int = 3) -> DataFrame:
+    """Rows of ``docs`` whose document is the smallest id of its near-duplicate
+    group, all columns kept. Repeated rows (same id and text) become one; rows
+    without an id belong to no group and stay."""
+    groups = simhash_groups(docs, text, id_col, shingle, max_bits)
+    keep = cut(groups.where("doc_id = component_id").select("doc_id").distinct(), "kept-ids")
+    known = (docs.join(keep, docs[id_col].cast("long") == keep["doc_id"], "left_semi")
+             .dropDuplicates([id_col, text]))
+    return known.unionByName(docs.where(F.col(id_col).isNull()))
