@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, materialise, mixing, quality, simhash
+from . import decontam, materialise, mixing, quality, simhash, suffixdedup
 
 
 # Words after lower-casing A-Z only; windows of 10 words, shorter items whole.
@@ -48,6 +48,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes inside a 100-byte string that also starts earlier are removed."""
+    out = suffixdedup.remove_repeats(_table(spark, sf_dir, "documents"), length=100)
+    return out.select(
+        "doc_id", F.length("text_bytes").cast("long").alias("n_bytes"),
+        (F.length("text_bytes") - F.length("kept_bytes")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash near-duplicates over 3-word shingles, at most 3 differing bits."""
     return simhash.simhash_groups(_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
@@ -86,6 +95,7 @@ def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_suffix_dedup": op2_suffix_dedup,
         "op4_simhash": op4_simhash,
         "op5_decontamination": op5_decontamination,
         "op7_quality": op7_quality,
