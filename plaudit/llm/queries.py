@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, materialise, mixing, quality, simhash, suffixdedup
+from . import decontam, materialise, mixing, quality, simhash, suffixdedup, warc
 
 
 # Words after lower-casing A-Z only; windows of 10 words, shorter items whole.
@@ -48,6 +48,25 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+OP1_SQL = """
+WITH p AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS n, sha1(coalesce(html, '')) AS d
+  FROM pages),
+g AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY d, n) ELSE page_id END AS keep FROM p)
+SELECT page_id, n AS payload_bytes, d AS payload_digest,
+  CASE WHEN page_id = keep THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> keep THEN keep END AS refers_to
+FROM g
+"""
+
+
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as WARC records and read back, payloads checked."""
+    path = warc.write_archives(_table(spark, sf_dir, "pages"), min_revisit=1000)
+    return warc.read_archives(spark, path, payload="verify").select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes inside a 100-byte string that also starts earlier are removed."""
     out = suffixdedup.remove_repeats(_table(spark, sf_dir, "documents"), length=100)
@@ -95,6 +114,7 @@ def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_warc": op1_warc,
         "op2_suffix_dedup": op2_suffix_dedup,
         "op4_simhash": op4_simhash,
         "op5_decontamination": op5_decontamination,
@@ -105,4 +125,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_decontamination": OP5_SQL}
+    return {"op1_warc": OP1_SQL, "op5_decontamination": OP5_SQL}
