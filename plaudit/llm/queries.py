@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, materialise, mixing, quality, simhash, suffixdedup, warc
+from . import decontam, materialise, mixing, quality, simhash, suffixdedup, warc, winnow
 
 
 # Words after lower-casing A-Z only; windows of 10 words, shorter items whole.
@@ -91,6 +91,16 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.size("hits") > 0).alias("contaminated"))
 
 
+def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Winnowing fingerprints of each text and its edited text."""
+    out = winnow.fingerprint_edits(_table(spark, sf_dir, "documents"), gram=5, window=8)
+    return out.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        winnow.as_text("fp").alias("fingerprint"), winnow.as_text("edited_fp").alias("edited_fingerprint"),
+        winnow.likeness("fp", "edited_fp").alias("near_edited"), winnow.likeness("fp", "next_fp").alias("near_next"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Compression quality score of each document; predicted at 0.7."""
     docs = _table(spark, sf_dir, "documents")
@@ -118,6 +128,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_suffix_dedup": op2_suffix_dedup,
         "op4_simhash": op4_simhash,
         "op5_decontamination": op5_decontamination,
+        "op6_winnowing": op6_winnowing,
         "op7_quality": op7_quality,
         "op9_mixing": op9_mixing,
         "op10_training_order": op10_training_order,
