@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, materialise, mixing, quality, simhash, suffixdedup, warc, winnow
+from . import decontam, linedup, materialise, mixing, pii, quality, simhash, suffixdedup, warc, winnow
 
 
 # Words after lower-casing A-Z only; windows of 10 words, shorter items whole.
@@ -76,6 +76,18 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept_bytes", 256).alias("kept_sha256"))
 
 
+# The pseudonyms of a release share one key; a deployment passes its own.
+OP3_KEY = "plaudit release key"
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with personal data replaced by format-preserving pseudonyms."""
+    out = pii.pseudonymise(_table(spark, sf_dir, "documents"), OP3_KEY)
+    return out.select(
+        "doc_id", "n_found", F.array_join(F.array_sort(F.array_distinct("found.kind")), ",").alias("kinds"), "text",
+        F.col("found.pseudonym").alias("pseudonyms"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash near-duplicates over 3-word shingles, at most 3 differing bits."""
     return simhash.simhash_groups(_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
@@ -108,6 +120,34 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(docs, model, threshold=0.7)
 
 
+OP8_SQL = r"""
+WITH u AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+    unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS i,
+    unnest(string_split(coalesce(text, ''), chr(10))) AS unit FROM documents),
+d AS (
+  SELECT doc_id, i, unit, length(unit) AS size,
+    trim(regexp_replace(translate(unit, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[ \t\r\n]+', ' ', 'g'), ' ') AS norm FROM u),
+r AS (
+  SELECT doc_id, i, unit, size, norm <> '' AND row_number() OVER (PARTITION BY md5(norm) ORDER BY doc_id, i) > 1 AS gone
+  FROM d)
+SELECT doc_id, CAST(count(*) AS INTEGER) AS n_units, CAST(count(*) FILTER (gone) AS INTEGER) AS n_removed,
+  CAST(coalesce(sum(size) FILTER (gone), 0) AS BIGINT) AS removed_chars,
+  sha256(coalesce(string_agg(unit, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM r GROUP BY doc_id
+"""
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that occur earlier in the corpus are removed."""
+    out = linedup.remove_repeated_lines(_table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id", "n_units", "n_removed",
+        F.aggregate("removed", F.lit(0).cast("long"), lambda s, r: s + r["length"]).alias("removed_chars"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 # Shares of the corpus's tokens that op9_mixing aims at.
 OP9_WEIGHTS = {"clean": 0.80, "low": 0.15, "toxic": 0.05}
 
@@ -126,14 +166,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc": op1_warc,
         "op2_suffix_dedup": op2_suffix_dedup,
+        "op3_pii": op3_pii,
         "op4_simhash": op4_simhash,
         "op5_decontamination": op5_decontamination,
         "op6_winnowing": op6_winnowing,
         "op7_quality": op7_quality,
+        "op8_line_dedup": op8_line_dedup,
         "op9_mixing": op9_mixing,
         "op10_training_order": op10_training_order,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": OP1_SQL, "op5_decontamination": OP5_SQL}
+    return {"op1_warc": OP1_SQL, "op5_decontamination": OP5_SQL, "op8_line_dedup": OP8_SQL}
