@@ -2,8 +2,9 @@
 
 ``DataFrame.sample(seed=...)`` draws per partition, so the same seed keeps
 different rows after a repartition. Hashing a key instead keeps a row exactly
-when ``pmod(xxhash64(seed, key...), 2**20) < fraction * 2**20``, whatever the
-partitioning, and needs no shuffle.
+when the first 20 bits of ``md5("seed|key|...")`` are below ``fraction *
+2**20``, whatever the partitioning, without a shuffle, and any SQL engine can
+repeat it. Null keys count as empty text.
 """
 
 from __future__ import annotations
@@ -19,5 +20,8 @@ BUCKETS = 1 << 20
 def hash_sample_predicate(keys: Sequence[str], fraction: float, seed: int = 42) -> Column:
     if not keys:
         raise ValueError("hash sampling needs at least one key column")
-    h = F.xxhash64(F.lit(int(seed)), *[F.col(k) for k in keys])
-    return F.pmod(h, F.lit(BUCKETS)) < F.lit(int(round(fraction * BUCKETS)))
+    parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
+    digest = F.md5(F.concat_ws("|", F.lit(str(int(seed))), *parts).cast("binary"))
+    limit = min(int(round(fraction * BUCKETS)), BUCKETS - 1)
+    # five lower-case hexadecimal digits compare as text like the number they are
+    return F.substring(digest, 1, 5) < F.lit(f"{limit:05x}")

@@ -26,23 +26,29 @@ def dedup_reviews(df: DataFrame, order_by: str | None = None,
                   keys: Sequence[str] | None = None) -> DataFrame:
     """One row per key; null keys compare equal.
 
-    Without ``order_by`` the survivor is arbitrary (``dropDuplicates``). With
-    it the survivor is the row with the smallest ``order_by`` value (ties by
-    the remaining columns), computed as ``min(struct(order_by, ...))`` per
-    key: an aggregate, so duplicates collapse map-side before the shuffle and
-    a key holding a third of the rows never lands whole in one task, unlike a
-    ``row_number`` window.
+    The survivor is the row with the smallest ``order_by`` value, ties by the
+    remaining columns; without ``order_by`` the smallest remaining columns in
+    their order. Either way it does not depend on the partition layout.
+
+    Computed as ``min(struct(...))`` per key: an aggregate, so duplicates
+    collapse map-side before the shuffle and a key holding a third of the rows
+    never lands whole in one task, unlike a ``row_number`` window. The grouping
+    leads with a hash of the key, so the sorts on either side of the shuffle
+    compare eight bytes where they can; the key itself still decides.
     """
     keys = list(keys) if keys else dedup_key(df)
     _require(df, *keys)
-    if order_by is None:
-        return df.dropDuplicates(keys)
-    _require(df, order_by)
-    rest = [c for c in df.columns if c not in keys and c != order_by]
-    best = F.min(F.struct(F.col(order_by), *[F.col(c) for c in rest])).alias("_best")
-    out = df.groupBy(*keys).agg(best)
+    if order_by is not None:
+        _require(df, order_by)
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
+    if order_by is not None:
+        rest.sort(key=lambda c: c != order_by)  # order_by first, the others as they are
+    best = F.min(F.struct(*[F.col(c) for c in rest])).alias("_best")
+    out = df.groupBy(F.xxhash64(*keys).alias("_key_hash"), *keys).agg(best)
     return out.select(*[F.col(k) for k in keys],
-                      *[F.col(f"_best.{c}").alias(c) for c in [order_by, *rest]]).select(*df.columns)
+                      *[F.col(f"_best.{c}").alias(c) for c in rest]).select(*df.columns)
 
 
 def clean_reviews(df: DataFrame, dedup: bool = True, order_by: str | None = None) -> DataFrame:
@@ -66,22 +72,17 @@ def clean_reviews(df: DataFrame, dedup: bool = True, order_by: str | None = None
 
 
 def sample_reviews(df: DataFrame, fraction: float, keys: Sequence[str] | None = None,
-                   seed: int = 42, method: str = "hash") -> DataFrame:
+                   seed: int = 42) -> DataFrame:
     """Keep about ``fraction`` of the rows.
 
-    ``fraction`` outside (0, 1) keeps everything, as in the original job.
-    ``method="hash"`` (default) keeps a row by a hash of ``keys``, stable
-    under any repartitioning and under added columns. Without ``keys`` the
-    review identity is used — the dedup key (game id or game, and text) —
-    or all columns when those are missing; rows sharing the key are kept or
-    dropped together. ``method="bernoulli"`` is ``DataFrame.sample``.
+    ``fraction`` outside (0, 1) keeps everything, as in the original job. A row
+    is kept by a hash of ``keys``, stable under any repartitioning and under
+    added columns. Without ``keys`` the review identity is used — the dedup key
+    (game id or game, and text) — or all columns when those are missing; rows
+    sharing the key are kept or dropped together.
     """
     if not 0 < fraction < 1:
         return df
-    if method == "bernoulli":
-        return df.sample(withReplacement=False, fraction=fraction, seed=seed)
-    if method != "hash":
-        raise ValueError(f"unknown sampling method {method!r}")
     if not keys:
         identity = dedup_key(df)
         keys = identity if all(k in df.columns for k in identity) else df.columns
@@ -95,14 +96,6 @@ def cleaning_audit(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
         "rows_before", after.alias("rows_after"))
 
 
-def with_review_length(df: DataFrame) -> DataFrame:
-    return df.withColumn("review_length", F.length(F.col("review_text")))
-
-
-def with_sentiment(df: DataFrame, rule: str = "equals_one", threshold=None) -> DataFrame:
-    return df.withColumn("sentiment", sentiment_expr("review_score", rule, threshold))
-
-
 def review_lengths(df: DataFrame) -> DataFrame:
     return df.select(F.length(F.col("review_text")).alias("review_length"))
 

@@ -11,7 +11,7 @@ gate is closed, and nothing is collected to the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plaudit.functions.sentiment import NEGATIVE, POSITIVE, is_positive
@@ -196,52 +196,59 @@ def bottom_positive_games(gs: DataFrame, n: int = TOP_N) -> DataFrame:
                       F.col("game").asc_nulls_last()).limit(n)
 
 
-def _gate(df: DataFrame, min_rows: int):
-    """Scalar-subquery Column: ``count(df) >= min_rows``."""
-    return df.select(F.count(F.lit(1)) >= F.lit(min_rows)).scalar()
+def _first_if(df: DataFrame, order: list, n: int, min_games: int | None, counted) -> DataFrame:
+    """First ``n`` rows in ``order``; with ``min_games`` none unless at
+    least that many of its rows are ``counted``. Rows that count come first in
+    the order, so the first ``max(n, min_games)`` rows decide: one pass, and
+    the windows run over those few rows."""
+    if min_games is None:
+        return df.orderBy(*order).limit(n)
+    few = df.orderBy(*order).limit(max(n, min_games))
+    enough = F.count_if(counted).over(Window.partitionBy()) >= min_games
+    rank = F.row_number().over(Window.orderBy(*order))
+    return (few.withColumn("_enough", enough & (rank <= n)).filter("_enough").drop("_enough"))
 
 
 def top_reviewed_games(gs: DataFrame, n: int = TOP_REVIEWED_N,
-                       min_games: int = TOP_REVIEWED_MIN_GAMES) -> DataFrame:
-    """Top games by total reviews, only when at least ``min_games`` games (E5)."""
-    ordered = gs.orderBy(F.col("total_reviews").desc(), F.col("game").asc_nulls_last()).limit(n)
-    return ordered.filter(_gate(gs, min_games))
+                       min_games: int | None = None) -> DataFrame:
+    """Top games by total reviews (E5); with ``min_games`` none for fewer games
+    (the original draws the chart from 10 on, ``TOP_REVIEWED_MIN_GAMES``)."""
+    order = [F.col("total_reviews").desc(), F.col("game").asc_nulls_last()]
+    return _first_if(gs, order, n, min_games, F.lit(True))
 
 
 def _positive_rows(pct: DataFrame) -> DataFrame:
     return pct.filter(F.col("sentiment") == POSITIVE)
 
 
-def _low_positive_gate(pct: DataFrame, max_pct: float = LOW_POSITIVE_MAX_PCT,
-                       min_games: int = LOW_POSITIVE_MIN_GAMES):
+def _lowest(pct: DataFrame, max_pct: float, n: int, min_games: int | None) -> DataFrame:
     low = _positive_rows(pct).filter(F.col("percentage") <= max_pct)
-    return _gate(low, min_games)
+    order = [F.col("percentage").asc(), F.col("game").asc_nulls_last()]
+    return _first_if(low, order, n, min_games, F.col("percentage") <= LOW_POSITIVE_MAX_PCT)
 
 
 def low_positive_games(pct: DataFrame, max_pct: float = LOW_POSITIVE_MAX_PCT,
-                       n: int = LOW_POSITIVE_N, min_games: int = LOW_POSITIVE_MIN_GAMES) -> DataFrame:
+                       n: int = LOW_POSITIVE_N, min_games: int | None = None) -> DataFrame:
     """Games whose positive share is at most ``max_pct``, lowest first, first
-    ``n`` — only when at least ``min_games`` qualify (E6)."""
-    low = _positive_rows(pct).filter(F.col("percentage") <= max_pct)
-    ordered = low.orderBy(F.col("percentage").asc(), F.col("game").asc_nulls_last()).limit(n)
-    return ordered.select("game", "percentage").filter(_gate(low, min_games))
+    ``n`` (E6). With ``min_games`` none unless that many games are at or under
+    10 % (the original draws the low-positive charts from 5 on,
+    ``LOW_POSITIVE_MIN_GAMES``); E7, E8 and G9 take the same argument."""
+    return _lowest(pct, max_pct, n, min_games).select("game", "percentage")
 
 
 def low_positive_extended(pct: DataFrame, max_pct: float = LOW_EXTENDED_MAX_PCT,
-                          n: int = LOW_EXTENDED_N) -> DataFrame:
+                          n: int = LOW_EXTENDED_N, min_games: int | None = None) -> DataFrame:
     """Wider list (<= 20 %, first 20) with a label cut to 30 characters plus
-    ``...``; shown under the same gate as ``low_positive_games`` (E7)."""
-    low = _positive_rows(pct).filter(F.col("percentage") <= max_pct)
-    ordered = low.orderBy(F.col("percentage").asc(), F.col("game").asc_nulls_last()).limit(n)
+    ``...`` (E7)."""
     label = F.when(F.length("game") > LABEL_MAX_CHARS,
                    F.concat(F.substring("game", 1, LABEL_MAX_CHARS), F.lit("..."))
                    ).otherwise(F.col("game"))
-    return ordered.select("game", label.alias("label"), "percentage").filter(_low_positive_gate(pct))
+    return _lowest(pct, max_pct, n, min_games).select("game", label.alias("label"), "percentage")
 
 
-def low_positive_summary(pct: DataFrame) -> DataFrame:
+def low_positive_summary(pct: DataFrame, min_games: int | None = None) -> DataFrame:
     """One row: games at <= 10 % and <= 5 % positive, the worst game and its
-    percentage (ties by name); empty when the gate is closed (E8)."""
+    percentage, ties by name (E8)."""
     pos = _positive_rows(pct)
     low = F.col("percentage") <= LOW_POSITIVE_MAX_PCT
     worst = F.min(F.when(low, F.struct(F.col("percentage"), F.col("game"))))
@@ -250,15 +257,16 @@ def low_positive_summary(pct: DataFrame) -> DataFrame:
         F.count_if(F.col("percentage") <= VERY_LOW_PCT).alias("n_le_5"),
         worst.alias("_worst"),
     )
+    if min_games is not None:
+        out = out.filter(F.col("n_le_10") >= min_games)
     return out.select("n_le_10", "n_le_5", F.col("_worst.game").alias("worst_game"),
-                      F.col("_worst.percentage").alias("worst_percentage")
-                      ).filter(_low_positive_gate(pct))
+                      F.col("_worst.percentage").alias("worst_percentage"))
 
 
-def percentage_categories(pct: DataFrame) -> DataFrame:
+def percentage_categories(pct: DataFrame, min_games: int | None = None) -> DataFrame:
     """Games per positive-percentage band (G9): right-closed bands over
     0,5,10,...,50,100, the first one also holding 0; every band is present
-    (count 0 when empty); empty when the low-positive gate is closed.
+    (count 0 when empty).
 
     A single global aggregate of nine conditional counts, unfolded to nine
     rows — no join against a label table.
@@ -271,17 +279,16 @@ def percentage_categories(pct: DataFrame) -> DataFrame:
         cond = ((p >= lo) if i == 0 else (p > lo)) & (p <= hi)
         counts.append(F.struct(F.lit(i).alias("ord"), F.lit(label).alias("category"),
                                F.count_if(cond).alias("n_games")))
-    out = _positive_rows(pct).agg(F.array(*counts).alias("_c")).select(F.inline("_c"))
-    return out.filter(_low_positive_gate(pct))
+    out = _positive_rows(pct).agg(F.array(*counts).alias("_c"),
+                                  F.count_if(p <= LOW_POSITIVE_MAX_PCT).alias("_low"))
+    if min_games is not None:
+        out = out.filter(F.col("_low") >= min_games)
+    return out.select(F.inline("_c"))
 
 
-def score_distribution(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """(review_score, count) over all rows (E9). ``max_rows`` reproduces the
-    original's first-N cap (an arbitrary subset) and is off by default."""
-    src = df.select("review_score")
-    if max_rows is not None:
-        src = src.limit(max_rows)
-    return src.groupBy("review_score").agg(F.count(F.lit(1)).alias("count"))
+def score_distribution(df: DataFrame) -> DataFrame:
+    """(review_score, count) over all rows."""
+    return df.groupBy("review_score").agg(F.count(F.lit(1)).alias("count"))
 
 
 def popularity_points(gs: DataFrame) -> DataFrame:

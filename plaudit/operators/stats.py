@@ -7,9 +7,8 @@ the map side — and compute moments, histograms, box statistics and densities
 from the folded table, whose size is the number of distinct values per
 group, not the number of rows. Per-group figures (n, mean, min, max,
 quartiles) are small aggregates over the folded rows, attached back with a
-null-safe join on the group: an explicit broadcast where the number of
-groups is known (no grouping, or the two sentiments), otherwise left to
-AQE's runtime size check. No window is used, so no task ever holds a whole
+null-safe join on the group, left to AQE's runtime size check, or one scalar
+subquery where there is no grouping. No window is used, so no task ever holds a whole
 group's values.
 
 Quantiles are exact (linear interpolation, as numpy/pandas). An exact
@@ -43,8 +42,6 @@ def _valid(c: Column) -> Column:
     return c.isNotNull() & ~F.isnan(c)
 
 
-BOUNDED_GROUP_COLUMNS = ("sentiment",)  # at most two values by construction
-
 
 def _base(df: DataFrame, value: str, by: str | None, weight: str | None = None) -> DataFrame:
     v = F.col(value).cast("double")
@@ -79,9 +76,7 @@ def _attach(rows: DataFrame, per_group: DataFrame, by: str | None) -> DataFrame:
         cols = [c for c in per_group.columns if c != "group"]
         one = per_group.select(F.struct(*cols).alias("_s")).scalar()
         return rows.select("*", *[one.getField(c).alias(c) for c in cols])
-    small = by in BOUNDED_GROUP_COLUMNS
     right = per_group.withColumnRenamed("group", "_g")
-    right = F.broadcast(right) if small else right
     return rows.join(right, rows["group"].eqNullSafe(right["_g"])).drop("_g")
 
 
@@ -194,13 +189,18 @@ def _bin_index(v: Column, lo: Column, hi: Column, bins: int) -> Column:
 
 
 def histogram(df: DataFrame, value: str, bins: int, by: str | None = None,
-              weight: str | None = None) -> DataFrame:
-    """Equal-width histogram over each group's own min..max.
+              weight: str | None = None, upper: float | None = None) -> DataFrame:
+    """Equal-width histogram over each group's own min..max (G5). With
+    ``upper`` the values over the whole table's ``upper`` quantile are left
+    out first (G4); the cut is made on the folded values, not on the rows.
 
     Output (group, bin, lo, hi, n) with every bin present (n = 0 when
     empty). When min = max the range is widened to min-0.5 .. max+0.5.
     """
     folded = fold(df, value, by, weight)
+    if upper is not None:
+        cut = folded.agg(F.percentile("value", F.lit(upper), F.col("freq")))
+        folded = folded.filter(F.col("value") <= cut.scalar())
     span = folded.groupBy("group").agg(F.min("value").alias("_min"), F.max("value").alias("_max"))
     same = F.col("_max") == F.col("_min")
     span = span.select(

@@ -4,7 +4,7 @@ Each entry maps a name to ``(spark_query, oracle_sql)``. ``spark_query`` takes
 ``(spark, sf_dir)`` and returns a DataFrame built from the review-shaped views
 of the provided tables (``plaudit.sources.fixtures``); ``oracle_sql`` is the
 same computation written independently in SQL for DuckDB over the raw tables,
-or ``None`` where SQL cannot express it (hash sampling). Floating results
+with the limits and names of the original written out there. Floating results
 whose last bits depend on summation order are rounded on both sides.
 """
 
@@ -22,6 +22,8 @@ from plaudit.operators import scale as SC
 from plaudit.operators import stats as ST
 from plaudit.operators import text as TX
 from plaudit.sources import fixtures as FX
+from plaudit.sources.reviews import read_reviews, standardize_columns
+from plaudit.sources.sinks import run_folder, write_corpus, write_key_values, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -119,6 +121,72 @@ def register(name: str, sql: str | None):
     return deco
 
 
+# --------------------------------------------------------------------------
+# A: readers and sinks, as round trips through the shared checkpoint folder
+# --------------------------------------------------------------------------
+
+@register("csv_round_trip", f"""SELECT CAST(game_id AS VARCHAR) AS game_id, game, app_name, review_text,
+  review_score, review_votes FROM ({SQL_R}) r""")
+def q_csv_round_trip(spark, sf):
+    """A1, A2: reviews written as CSV under the original header (quoted
+    newlines included), read and standardised."""
+    path = f"{run_folder(spark)}/reviews"
+    src = FX.reviews_r(spark, sf).select(
+        F.col("game_id").alias("Game ID"), "app_name", F.col("game").alias("Game Name"),
+        "review_text", "review_score", "review_votes")
+    (src.write.option("header", True).option("escape", '"').option("quoteAll", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    return standardize_columns(read_reviews(spark, path)).select(
+        "game_id", "game", "app_name", "review_text", "review_score", "review_votes")
+
+
+@register("split_csv_round_trip", f"""SELECT CAST(game_id AS VARCHAR) AS game_id, game, review_score
+FROM ({SQL_S}) s""")
+def q_split_csv_round_trip(spark, sf):
+    """A1: text without newlines, read by the splittable reader."""
+    path = f"{run_folder(spark)}/reviews"
+    src = _s(spark, sf).select(F.col("game_id").alias("app_id"), F.col("game").alias("Game Name"), "review_score")
+    write_table(src, path, "csv")
+    return standardize_columns(read_reviews(spark, path, multiline=False)).select("game_id", "game", "review_score")
+
+
+@register("table_sinks", with_ctes(
+    """SELECT 'csv' AS format, game, count(*) AS review_count FROM s GROUP BY game
+UNION ALL SELECT 'parquet', game, count(*) FROM s GROUP BY game""", s=SQL_S))
+def q_table_sinks(spark, sf):
+    """A3: a result table through the CSV and the parquet sink."""
+    folder = run_folder(spark)
+    counts = G.review_counts(_s(spark, sf)).select("game", "review_count")
+    parts = []
+    for fmt in ("csv", "parquet"):
+        write_table(counts, f"{folder}/{fmt}", fmt)
+        back = spark.read.schema(counts.schema).option("header", True).format(fmt).load(f"{folder}/{fmt}")
+        parts.append(back.select(F.lit(fmt).alias("format"), "game", "review_count"))
+    return parts[0].unionByName(parts[1])
+
+
+@register("corpus_sink", with_ctes(
+    f"SELECT {SENT_SQL} AS sentiment, array_to_string({TOKENS_SQL}, ' ') AS value FROM c", c=sql_cleaned(SQL_R)))
+def q_corpus_sink(spark, sf):
+    """A4: the cleaned corpus, one line per review, one folder per sentiment."""
+    path = f"{run_folder(spark)}/corpus"
+    write_corpus(_rc(spark, sf), path)
+    return spark.read.text(path).select("sentiment", "value")
+
+
+@register("key_value_sink", with_ctes(
+    """SELECT unnest([concat('min=', min(review_score)), concat('max=', max(review_score)),
+  concat('distinct=', count(DISTINCT review_score)),
+  concat('binary=', CASE WHEN count(DISTINCT review_score) <= 3 AND min(review_score) >= -1
+                          AND max(review_score) <= 1 THEN 'True' ELSE 'False' END),
+  concat('threshold=', CASE WHEN max(review_score) <= 5 THEN '4.0' ELSE '?' END)]) AS value FROM o""", o=SQL_O5))
+def q_key_value_sink(spark, sf):
+    """A5: the score profile as key=value lines."""
+    path = f"{run_folder(spark)}/summary"
+    write_key_values(SC.score_profile(FX.view(spark, sf, "O5")), path)
+    return spark.read.text(path)
+
+
 # --------------------------------------------------------------------------
 # B: cleaning, dedup, sampling, projections
 # --------------------------------------------------------------------------
@@ -167,7 +235,11 @@ def q_cleaning_audit(spark, sf):
     return C.cleaning_audit(raw, C.clean_reviews(raw))
 
 
-@register("sample_reviews", None)
+# 10 % of the rows by the first 20 bits of md5: 104858 = 0x1999a.
+SAMPLED_SQL = "substr(md5(concat('42|', CAST(row_id AS VARCHAR))), 1, 5) < '1999a'"
+
+
+@register("sample_reviews", f"SELECT row_id, game, review_score FROM ({SQL_S}) s WHERE {SAMPLED_SQL}")
 def q_sample_reviews(spark, sf):
     return C.sample_reviews(_s(spark, sf), 0.1, keys=["row_id"]).select("row_id", "game", "review_score")
 
@@ -226,8 +298,10 @@ def q_global_sentiment_summary(spark, sf):
 
 
 @register("global_sentiment_summary_wide", with_ctes(
-    "SELECT CAST(1 AS BIGINT) AS positive_count, CAST(1 AS BIGINT) AS negative_count, "
-    "CAST(1 AS DOUBLE) AS positive_ratio FROM o WHERE 1 = 0", o=SQL_OW))
+    f"""SELECT CAST(sum(CASE WHEN {POS_SQL} THEN 1 ELSE 0 END) AS BIGINT) AS positive_count,
+       CAST(count(*) - sum(CASE WHEN {POS_SQL} THEN 1 ELSE 0 END) AS BIGINT) AS negative_count,
+       round(CAST(sum(CASE WHEN {POS_SQL} THEN 1 ELSE 0 END) AS DOUBLE) / count(*), 6) AS positive_ratio
+FROM o HAVING count(DISTINCT review_score) <= 3 AND min(review_score) >= -1 AND max(review_score) <= 1""", o=SQL_OW))
 def q_global_sentiment_summary_wide(spark, sf):
     return SC.global_sentiment_summary(FX.scores_ow(spark, sf))
 
@@ -301,7 +375,7 @@ def q_game_metrics(spark, sf):
     return _round(G.game_metrics(_r(spark, sf)), DP, "score_sum")
 
 
-def _games_sentiment_sql(src, min_reviews=G.MIN_GAME_REVIEWS, digits=DP):
+def _games_sentiment_sql(src, min_reviews=10, digits=DP):
     ratio = "CAST(positive AS DOUBLE) / total_reviews"
     if digits is not None:
         ratio = f"round({ratio}, {digits})"
@@ -336,7 +410,7 @@ FROM (SELECT game,
         CAST(sum(CASE WHEN coalesce(review_score >= t.threshold, false) THEN 0 ELSE 1 END) AS BIGINT) AS negative,
         count(*) AS total_reviews
       FROM r, ({_profile_sql("SELECT review_score FROM r")}) t GROUP BY game) g
-WHERE total_reviews >= {G.MIN_GAME_REVIEWS}""", r=SQL_O5G))
+WHERE total_reviews >= 10""", r=SQL_O5G))
 def q_games_sentiment_threshold(spark, sf):
     """Documented-intent rule: positive when score >= the profiled threshold
     (4 on this five-point scale)."""
@@ -345,7 +419,7 @@ def q_games_sentiment_threshold(spark, sf):
                   DP, "positive_ratio")
 
 
-def _pct_sql(src, min_reviews=G.MIN_PERCENTAGE_TOTAL):
+def _pct_sql(src, min_reviews=5):
     return f"""SELECT game, sentiment, count, total_by_game,
        round(CAST(count AS DOUBLE) / total_by_game * 100, 2) AS percentage FROM (
   SELECT game, sentiment, count, CAST(sum(count) OVER (PARTITION BY game) AS BIGINT) AS total_by_game FROM (
@@ -361,7 +435,7 @@ def q_review_percentages(spark, sf):
 @register("review_percentages_with_zero_s", with_ctes(
     f"""SELECT g.game, s.sentiment, coalesce(c.count, 0) AS count, g.total_by_game,
   round(CAST(coalesce(c.count, 0) AS DOUBLE) / g.total_by_game * 100, 2) AS percentage
-FROM (SELECT game, count(*) AS total_by_game FROM r GROUP BY game HAVING count(*) >= {G.MIN_PERCENTAGE_TOTAL}) g
+FROM (SELECT game, count(*) AS total_by_game FROM r GROUP BY game HAVING count(*) >= 5) g
 CROSS JOIN (VALUES ('positive'), ('negative')) s(sentiment)
 LEFT JOIN (SELECT game, {SENT_SQL} AS sentiment, count(*) AS count FROM r GROUP BY 1, 2) c
   ON c.game = g.game AND c.sentiment = s.sentiment""", r=SQL_S))
@@ -417,7 +491,7 @@ def q_app_avg_scores_by_game(spark, sf):
 
 @register("top_apps_by_avg", with_ctes(
     f"""SELECT app_name, round(avg(review_score), {DP}) AS avg_review_score FROM s GROUP BY app_name
-ORDER BY avg(review_score) DESC NULLS LAST, app_name ASC NULLS LAST LIMIT {G.TOP_N}""", s=SQL_S))
+ORDER BY avg(review_score) DESC NULLS LAST, app_name ASC NULLS LAST LIMIT 10""", s=SQL_S))
 def q_top_apps_by_avg(spark, sf):
     return _round(G.top_apps_by_avg(_s(spark, sf)), DP, "avg_review_score")
 
@@ -428,7 +502,7 @@ def q_top_apps_by_avg(spark, sf):
 
 @register("top_games", with_ctes(
     f"""SELECT game, count(*) AS review_count FROM s GROUP BY game
-ORDER BY review_count DESC, game ASC NULLS LAST LIMIT {G.TOP_N}""", s=SQL_S))
+ORDER BY review_count DESC, game ASC NULLS LAST LIMIT 10""", s=SQL_S))
 def q_top_games(spark, sf):
     return G.top_games(_s(spark, sf))
 
@@ -439,96 +513,100 @@ def _gs_exact_sql(src):
 
 @register("top_positive_games", f"""SELECT game, positive, negative, total_reviews,
   round(positive_ratio, {DP}) AS positive_ratio FROM ({_gs_exact_sql(SQL_S)}) g
-ORDER BY positive_ratio DESC NULLS LAST, game ASC NULLS LAST LIMIT {G.TOP_N}""")
+ORDER BY positive_ratio DESC NULLS LAST, game ASC NULLS LAST LIMIT 10""")
 def q_top_positive_games(spark, sf):
     return _round(G.top_positive_games(G.games_sentiment(_s(spark, sf))), DP, "positive_ratio")
 
 
 @register("bottom_positive_games", f"""SELECT game, positive, negative, total_reviews,
   round(positive_ratio, {DP}) AS positive_ratio FROM ({_gs_exact_sql(SQL_S)}) g
-ORDER BY positive_ratio ASC NULLS LAST, game ASC NULLS LAST LIMIT {G.TOP_N}""")
+ORDER BY positive_ratio ASC NULLS LAST, game ASC NULLS LAST LIMIT 10""")
 def q_bottom_positive_games(spark, sf):
     return _round(G.bottom_positive_games(G.games_sentiment(_s(spark, sf))), DP, "positive_ratio")
 
 
 @register("top_reviewed_games", f"""SELECT game, positive, negative, total_reviews,
   round(positive_ratio, {DP}) AS positive_ratio FROM ({_gs_exact_sql(SQL_S)}) g
-WHERE (SELECT count(*) FROM ({_gs_exact_sql(SQL_S)}) x) >= {G.TOP_REVIEWED_MIN_GAMES}
-ORDER BY total_reviews DESC, game ASC NULLS LAST LIMIT {G.TOP_REVIEWED_N}""")
+WHERE (SELECT count(*) FROM ({_gs_exact_sql(SQL_S)}) x) >= 10
+ORDER BY total_reviews DESC, game ASC NULLS LAST LIMIT 20""")
 def q_top_reviewed_games(spark, sf):
-    return _round(G.top_reviewed_games(G.games_sentiment(_s(spark, sf))), DP, "positive_ratio")
+    return _round(G.top_reviewed_games(G.games_sentiment(_s(spark, sf)), min_games=10), DP, "positive_ratio")
 
 
 @register("top_reviewed_games_r", f"""SELECT game, positive, negative, total_reviews,
   round(positive_ratio, {DP}) AS positive_ratio FROM ({_gs_exact_sql(sql_cleaned(SQL_R))}) g
-WHERE (SELECT count(*) FROM ({_gs_exact_sql(sql_cleaned(SQL_R))}) x) >= {G.TOP_REVIEWED_MIN_GAMES}
-ORDER BY total_reviews DESC, game ASC NULLS LAST LIMIT {G.TOP_REVIEWED_N}""")
+WHERE (SELECT count(*) FROM ({_gs_exact_sql(sql_cleaned(SQL_R))}) x) >= 10
+ORDER BY total_reviews DESC, game ASC NULLS LAST LIMIT 20""")
 def q_top_reviewed_games_r(spark, sf):
+    return _round(G.top_reviewed_games(G.games_sentiment(_rc(spark, sf)), min_games=10), DP, "positive_ratio")
+
+
+@register("top_reviewed_games_ungated", f"""SELECT game, positive, negative, total_reviews,
+  round(positive_ratio, {DP}) AS positive_ratio FROM ({_gs_exact_sql(sql_cleaned(SQL_R))}) g
+ORDER BY total_reviews DESC, game ASC NULLS LAST LIMIT 20""")
+def q_top_reviewed_games_ungated(spark, sf):
     return _round(G.top_reviewed_games(G.games_sentiment(_rc(spark, sf))), DP, "positive_ratio")
 
 
-def _low_gate_sql(pct):
-    return (f"(SELECT count(*) FROM ({pct}) z WHERE sentiment = 'positive' "
-            f"AND percentage <= {G.LOW_POSITIVE_MAX_PCT}) >= {G.LOW_POSITIVE_MIN_GAMES}")
+def _low_gate_sql(pct, gated=True):
+    return "true" if not gated else (f"(SELECT count(*) FROM ({pct}) z WHERE sentiment = 'positive' "
+            f"AND percentage <= 10.0) >= 5")
 
 
-def _low_games_sql(src):
+def _low_games_sql(src, gated=True):
     pct = _pct_sql(src)
     return f"""SELECT game, percentage FROM ({pct}) p
-WHERE sentiment = 'positive' AND percentage <= {G.LOW_POSITIVE_MAX_PCT} AND {_low_gate_sql(pct)}
-ORDER BY percentage ASC, game ASC NULLS LAST LIMIT {G.LOW_POSITIVE_N}"""
+WHERE sentiment = 'positive' AND percentage <= 10.0 AND {_low_gate_sql(pct, gated)}
+ORDER BY percentage ASC, game ASC NULLS LAST LIMIT 15"""
 
 
-def _low_extended_sql(src):
+def _low_extended_sql(src, gated=True):
     pct = _pct_sql(src)
     return f"""SELECT game,
-  CASE WHEN length(game) > {G.LABEL_MAX_CHARS} THEN concat(substr(game, 1, {G.LABEL_MAX_CHARS}), '...')
+  CASE WHEN length(game) > 30 THEN concat(substr(game, 1, 30), '...')
        ELSE game END AS label, percentage
 FROM ({pct}) p
-WHERE sentiment = 'positive' AND percentage <= {G.LOW_EXTENDED_MAX_PCT} AND {_low_gate_sql(pct)}
-ORDER BY percentage ASC, game ASC NULLS LAST LIMIT {G.LOW_EXTENDED_N}"""
+WHERE sentiment = 'positive' AND percentage <= 20.0 AND {_low_gate_sql(pct, gated)}
+ORDER BY percentage ASC, game ASC NULLS LAST LIMIT 20"""
 
 
-def _low_summary_sql(src):
+def _low_summary_sql(src, gated=True):
     pct = _pct_sql(src)
-    return f"""SELECT count(*) FILTER (WHERE percentage <= {G.LOW_POSITIVE_MAX_PCT}) AS n_le_10,
-       count(*) FILTER (WHERE percentage <= {G.VERY_LOW_PCT}) AS n_le_5,
-       first(game ORDER BY percentage, game) FILTER (WHERE percentage <= {G.LOW_POSITIVE_MAX_PCT}) AS worst_game,
-       min(percentage) FILTER (WHERE percentage <= {G.LOW_POSITIVE_MAX_PCT}) AS worst_percentage
+    return f"""SELECT count(*) FILTER (WHERE percentage <= 10.0) AS n_le_10,
+       count(*) FILTER (WHERE percentage <= 5.0) AS n_le_5,
+       first(game ORDER BY percentage, game) FILTER (WHERE percentage <= 10.0) AS worst_game,
+       min(percentage) FILTER (WHERE percentage <= 10.0) AS worst_percentage
 FROM ({pct}) p WHERE sentiment = 'positive'
-HAVING {_low_gate_sql(pct)}"""
+HAVING {_low_gate_sql(pct, gated)}"""
 
 
-def _categories_sql(src):
+def _categories_sql(src, gated=True):
     pct = _pct_sql(src)
-    edges, labels = G.PERCENTAGE_CATEGORY_EDGES, G.PERCENTAGE_CATEGORY_LABELS
-    rows = ", ".join(f"({i}, '{lab}', {edges[i]}, {edges[i + 1]})" for i, lab in enumerate(labels))
+    rows = ", ".join(
+        f"({i}, '{lab}', {lo}, {hi})" for i, (lab, lo, hi) in enumerate((
+            ("0-5%", 0, 5), ("5-10%", 5, 10), ("10-15%", 10, 15), ("15-20%", 15, 20), ("20-25%", 20, 25),
+            ("25-30%", 25, 30), ("30-40%", 30, 40), ("40-50%", 40, 50), ("50%+", 50, 100))))
     return f"""SELECT CAST(c.ord AS INTEGER) AS ord, c.category,
   count(p.game) AS n_games
 FROM (VALUES {rows}) c(ord, category, lo, hi)
 LEFT JOIN (SELECT * FROM ({pct}) q WHERE sentiment = 'positive') p
   ON p.percentage <= c.hi AND (p.percentage > c.lo OR (c.ord = 0 AND p.percentage >= c.lo))
-WHERE {_low_gate_sql(pct)}
+WHERE {_low_gate_sql(pct, gated)}
 GROUP BY c.ord, c.category"""
 
 
-for _suffix, _src, _get in [("", SQL_S, _s), ("_e", SQL_E, _e)]:
-    def _mk_low(get):
-        return lambda spark, sf: G.low_positive_games(G.review_percentages(get(spark, sf)))
+# The original's gates (five low games) where ``min_games`` is given; the
+# ``_ungated`` queries are the defaults.
+for _suffix, _src, _get, _gate in [("", SQL_S, _s, 5), ("_e", SQL_E, _e, 5),
+                                   ("_ungated", SQL_S, _s, None), ("_e_ungated", SQL_E, _e, None)]:
+    for _name, _fn, _sql in [("low_positive_games", G.low_positive_games, _low_games_sql),
+                             ("low_positive_extended", G.low_positive_extended, _low_extended_sql),
+                             ("low_positive_summary", G.low_positive_summary, _low_summary_sql),
+                             ("percentage_categories", G.percentage_categories, _categories_sql)]:
+        def _mk_low(fn, get, gate):
+            return lambda spark, sf: fn(G.review_percentages(get(spark, sf)), min_games=gate)
 
-    def _mk_ext(get):
-        return lambda spark, sf: G.low_positive_extended(G.review_percentages(get(spark, sf)))
-
-    def _mk_sum(get):
-        return lambda spark, sf: G.low_positive_summary(G.review_percentages(get(spark, sf)))
-
-    def _mk_cat(get):
-        return lambda spark, sf: G.percentage_categories(G.review_percentages(get(spark, sf)))
-
-    register(f"low_positive_games{_suffix}", _low_games_sql(_src))(_mk_low(_get))
-    register(f"low_positive_extended{_suffix}", _low_extended_sql(_src))(_mk_ext(_get))
-    register(f"low_positive_summary{_suffix}", _low_summary_sql(_src))(_mk_sum(_get))
-    register(f"percentage_categories{_suffix}", _categories_sql(_src))(_mk_cat(_get))
+        register(f"{_name}{_suffix}", _sql(_src, _gate is not None))(_mk_low(_fn, _get, _gate))
 
 
 @register("score_distribution", with_ctes(
@@ -565,7 +643,7 @@ def q_word_counts(spark, sf):
     return TX.word_counts(_rc(spark, sf))
 
 
-@register("top_words", f"SELECT * FROM ({_RAW_WORDS_SQL}) x ORDER BY count DESC, word ASC LIMIT {TX.TOP_WORDS_N}")
+@register("top_words", f"SELECT * FROM ({_RAW_WORDS_SQL}) x ORDER BY count DESC, word ASC LIMIT 15")
 def q_top_words(spark, sf):
     return TX.top_words(TX.word_counts(_rc(spark, sf)))
 
@@ -597,9 +675,8 @@ def _cloud_sql(sentiment, min_freq, max_words):
   SELECT * FROM ({_clean_freq_sql(sentiment, min_freq)}) f ORDER BY freq DESC, word ASC LIMIT {max_words}) t"""
 
 
-for _sent, _minf, _maxw, _suffix in [(None, TX.MIN_FREQ_ALL, TX.CLOUD_WORDS_ALL, "all"),
-                                     ("positive", TX.MIN_FREQ_BY_SENTIMENT, TX.CLOUD_WORDS_BY_SENTIMENT, "positive"),
-                                     ("negative", TX.MIN_FREQ_BY_SENTIMENT, TX.CLOUD_WORDS_BY_SENTIMENT, "negative")]:
+for _sent, _minf, _maxw, _suffix in [(None, 5, 150, "all"), ("positive", 3, 100, "positive"),
+                                     ("negative", 3, 100, "negative")]:
     def _mk_freq(sent):
         return lambda spark, sf: TX.cleaned_word_freq(_rc(spark, sf), sentiment=sent)
 
@@ -613,13 +690,16 @@ for _sent, _minf, _maxw, _suffix in [(None, TX.MIN_FREQ_ALL, TX.CLOUD_WORDS_ALL,
              )(_mk_cloud(_sent, _maxw))
 
 
-@register("cloud_weights_sampled", None)
+@register("cloud_weights_sampled", with_ctes(f"""SELECT word, freq, round(freq / max(freq) OVER (), {DP}) AS weight
+FROM (SELECT word, count(*) AS freq FROM (SELECT unnest({TOKENS_SQL}) AS word FROM c WHERE {SAMPLED_SQL}) w
+      GROUP BY word HAVING count(*) >= 5 AND length(word) >= 3 ORDER BY freq DESC, word LIMIT 150) t""",
+    c=sql_cleaned(SQL_R)))
 def q_cloud_weights_sampled(spark, sf):
-    """Word-cloud weights over the 10 % hash sample of reviews, as the job
-    computes them (F4 -> F6 -> F7); sampling has no SQL equivalent."""
+    """Word-cloud weights over a 10 % hash sample of the reviews, the original
+    job's setting (F4 -> F6 -> F7)."""
     freq = TX.cleaned_word_freq(_rc(spark, sf), fraction=TX.TEXT_SAMPLE_FRACTION,
                                 sample_keys=["row_id"])
-    return TX.cloud_weights(freq, TX.CLOUD_WORDS_ALL)
+    return _round(TX.cloud_weights(freq, TX.CLOUD_WORDS_ALL), DP, "weight")
 
 
 # --------------------------------------------------------------------------
@@ -731,9 +811,8 @@ def _length_counts(spark, sf):
 def _len_hist_query(bins, by_sentiment=False, trimmed=False):
     def q(spark, sf):
         df = C.sentiment_lengths(_rc(spark, sf))
-        if trimmed:
-            df = ST.trim_upper_quantile(df, "review_length", 0.95)
-        return _round_hist(ST.histogram(df, "review_length", bins, by="sentiment" if by_sentiment else None))
+        return _round_hist(ST.histogram(df, "review_length", bins, by="sentiment" if by_sentiment else None,
+                                        upper=0.95 if trimmed else None))
     return q
 
 
@@ -757,8 +836,7 @@ def q_histogram_length_50_from_counts(spark, sf):
     20))
 def q_histogram_length_trimmed_20_from_counts(spark, sf):
     lc = _length_counts(spark, sf)
-    trimmed = ST.trim_upper_quantile(lc, "review_length", 0.95, weight="freq")
-    return _round_hist(ST.histogram(trimmed, "review_length", 20, weight="freq"))
+    return _round_hist(ST.histogram(lc, "review_length", 20, weight="freq", upper=0.95))
 
 
 @register("histogram_score", histogram_sql(f"SELECT 'all' AS grp, review_score AS v FROM ({SQL_OW}) o", 20))

@@ -2,11 +2,12 @@
 
 Plan:
 
-1. read + standardise + clean (+ optional sample) the reviews, add
-   ``review_length`` and ``sentiment``, and write the result once as parquet
-   under ``spark.checkpoint.dir`` (``materialize``). This is the only pass
-   over the raw input besides the audit count, and the only dedup shuffle;
-   an executor loss later re-reads files instead of recomputing them.
+1. parse CSV input once into parquet (a multi-line file is one task for as
+   long as it is CSV), clean (+ optional sample) it, add ``review_length``, and
+   write the result once as parquet under ``spark.checkpoint.dir``
+   (``materialize``): the only dedup shuffle; an executor loss later re-reads
+   files instead of recomputing them. Sentiment is a column over that table;
+   under the threshold rule its score profile is computed from it first.
 2. compute the small shared aggregates once, each from the columns it needs
    (parquet column pruning), and materialise them too:
 
@@ -14,7 +15,7 @@ Plan:
    * ``length_counts``  (sentiment, length, n) -> every length statistic
    * ``score_distribution`` (score, n)         -> score histogram and density
    * ``word_counts``    raw tokens             -> top words
-   * ``word_freq_by_sentiment`` sampled cleaned tokens -> the three clouds
+   * ``word_freq_by_sentiment`` cleaned tokens -> the three clouds
    * ``app_avg_scores``                         -> top apps
    * ``score_profile``, ``global_sentiment_summary`` (one row each) -> the
      tables and their ``key=value`` text forms
@@ -24,12 +25,13 @@ Plan:
 3. derive every output from those tables and write it to ``out_dir/<name>``.
 
 Nothing is collected to the driver: gates and thresholds are scalar
-subqueries inside the plans. The intermediates are deleted at the end.
+subqueries inside the plans. The intermediates are deleted at the end, also
+after a failure.
 
 Command line::
 
     python -m plaudit.plans.job --path reviews.csv --out out/ [--no-dedup]
-        [--sample-fraction 0.5] [--format parquet|csv]
+        [--sample-fraction 0.5] [--text-fraction 0.1] [--format parquet|csv]
 """
 
 from __future__ import annotations
@@ -48,28 +50,27 @@ from plaudit.operators import scale as SC
 from plaudit.operators import stats as ST
 from plaudit.operators import text as TX
 from plaudit.sources.reviews import read_reviews, standardize_columns
-from plaudit.sources.sinks import (drop_materialized, materialize, write_corpus,
+from plaudit.sources.sinks import (drop_folder, materialize, run_folder, write_corpus,
                                    write_key_values, write_table)
 
 NUMERIC_FEATURES = ("review_length", "review_score", "review_votes")
 
 
 def prepare(raw: DataFrame, dedup: bool = True, order_by: str | None = None,
-            sample_fraction: float = 1.0, rule: str = "equals_one") -> DataFrame:
-    """Standardised, cleaned reviews with ``review_length`` and ``sentiment``
-    (lazy; ``run_all`` materialises it)."""
+            sample_fraction: float = 1.0) -> DataFrame:
+    """Standardised, cleaned reviews with ``review_length`` (lazy; ``run_all``
+    materialises it)."""
     cleaned = C.clean_reviews(standardize_columns(raw), dedup=dedup, order_by=order_by)
     cleaned = C.sample_reviews(cleaned, sample_fraction)
-    threshold = SC.score_threshold(cleaned) if rule == "threshold" else None
-    return cleaned.select(
-        "*",
-        F.length("review_text").alias("review_length"),
-        sentiment_expr("review_score", rule, threshold).alias("sentiment"),
-    )
+    return cleaned.select("*", F.length("review_text").alias("review_length"))
 
 
-def shared_tables(base: DataFrame, rule: str = "equals_one",
-                  threshold=None) -> dict[str, Callable[[], DataFrame]]:
+def with_sentiment(base: DataFrame, rule: str = "equals_one", threshold=None) -> DataFrame:
+    return base.select("*", sentiment_expr("review_score", rule, threshold).alias("sentiment"))
+
+
+def shared_tables(base: DataFrame, rule: str = "equals_one", threshold=None,
+                  text_fraction: float = 1.0) -> dict[str, Callable[[], DataFrame]]:
     """The small aggregates the outputs are derived from (lazy)."""
     st = {"rule": rule, "threshold": threshold}
     return {
@@ -79,7 +80,7 @@ def shared_tables(base: DataFrame, rule: str = "equals_one",
         "score_distribution": lambda: G.score_distribution(base),
         "word_counts": lambda: TX.word_counts(base),
         "word_freq_by_sentiment": lambda: TX.sentiment_word_counts(
-            base, fraction=TX.TEXT_SAMPLE_FRACTION, **st),
+            base, fraction=text_fraction, **st),
         "app_avg_scores": lambda: G.app_avg_scores(base),
         "score_profile": lambda: SC.score_profile(base),
         "global_sentiment_summary": lambda: SC.global_sentiment_summary(base),
@@ -89,10 +90,11 @@ def shared_tables(base: DataFrame, rule: str = "equals_one",
 def outputs(base: DataFrame, sh: dict[str, DataFrame], rule: str = "equals_one",
             threshold=None) -> dict[str, Callable[[], DataFrame]]:
     """Every output table, lazily, from the cleaned reviews ``base`` and the
-    materialised shared tables ``sh`` (see ``shared_tables``)."""
+    materialised shared tables ``sh`` (see ``shared_tables``; those that the
+    chosen outputs don't need may be missing)."""
     st = {"rule": rule, "threshold": threshold}
-    gm, lc, sc = sh["game_metrics"], sh["length_counts"], sh["score_distribution"]
-    wc, swc, app = sh["word_counts"], sh["word_freq_by_sentiment"], sh["app_avg_scores"]
+    gm, lc, sc = sh.get("game_metrics"), sh.get("length_counts"), sh.get("score_distribution")
+    wc, swc, app = sh.get("word_counts"), sh.get("word_freq_by_sentiment"), sh.get("app_avg_scores")
 
     def gs() -> DataFrame:
         return G.games_sentiment_from_metrics(gm)
@@ -132,8 +134,7 @@ def outputs(base: DataFrame, sh: dict[str, DataFrame], rule: str = "equals_one",
         "histogram_length_30": length_hist(30),
         "histogram_length_by_sentiment_50": length_hist(50, by="sentiment"),
         "histogram_length_trimmed_20": lambda: ST.histogram(
-            ST.trim_upper_quantile(lc, "review_length", 0.95, weight="freq"),
-            "review_length", 20, weight="freq"),
+            lc, "review_length", 20, weight="freq", upper=0.95),
         "density_length": lambda: ST.density(lc, "review_length", weight="freq"),
         "density_length_by_sentiment": lambda: ST.density(
             lc, "review_length", by="sentiment", grid=ST.VIOLIN_GRID, cut=ST.VIOLIN_CUT,
@@ -225,35 +226,88 @@ def _run_concurrently(tasks: dict[str, Callable[[], None]], parallelism: int) ->
     return list(tasks)
 
 
+# Shared tables that an output is derived from; others read the cleaned table
+# alone. ``only`` builds no more than its outputs need.
+NEEDS = {
+    **dict.fromkeys(("review_counts", "avg_scores", "sentiment_counts", "games_sentiment", "reviews_percentage",
+                     "top_games", "top_positive_games", "bottom_positive_games", "top_reviewed_games",
+                     "popularity_points", "histogram_percentage_20", "histogram_percentage_15",
+                     "percentage_summary", "box_stats_percentage", "density_percentage", "low_positive_games",
+                     "low_positive_extended", "low_positive_summary", "percentage_categories"), "game_metrics"),
+    **dict.fromkeys(("length_counts", "histogram_length_50", "histogram_length_15", "histogram_length_30",
+                     "histogram_length_by_sentiment_50", "histogram_length_trimmed_20", "density_length",
+                     "density_length_by_sentiment", "describe_lengths", "box_stats_length"), "length_counts"),
+    **dict.fromkeys(("score_distribution", "histogram_score", "density_score"), "score_distribution"),
+    **dict.fromkeys(("word_counts", "top_words"), "word_counts"),
+    **dict.fromkeys(("cloud_weights_all", "cloud_weights_positive", "cloud_weights_negative"),
+                    "word_freq_by_sentiment"),
+    **dict.fromkeys(("app_avg_scores", "top_apps_by_avg"), "app_avg_scores"),
+    "score_profile": "score_profile", "score_scale_summary": "score_profile",
+    "global_sentiment_summary": "global_sentiment_summary", "global_binary_summary": "global_sentiment_summary",
+}
+
+
 def run_all(spark: SparkSession, reviews: DataFrame | str, out_dir: str, *,
             input_format: str = "csv", dedup: bool = True, order_by: str | None = None,
-            sample_fraction: float = 1.0, rule: str = "equals_one",
+            sample_fraction: float = 1.0, text_fraction: float = 1.0, rule: str = "equals_one",
             out_format: str = "parquet", write_text_corpus: bool = True,
             only: list[str] | None = None, keep_intermediate: bool = False,
             parallelism: int = 8, original_layout: bool = False) -> list[str]:
     """Run the whole analysis; returns the names of the written tables.
 
+    CSV input is parsed once into parquet, which every later read can split.
     After the cleaned table and the shared aggregates are materialised, the
     output writes are independent jobs submitted ``parallelism`` at a time.
-    The materialised intermediates are deleted at the end unless
-    ``keep_intermediate``. ``original_layout`` also writes the original job's
-    15 tabular files (header CSV, its file and column names) under
-    ``out_dir/original/``.
+    ``text_fraction`` is the share of the reviews that the word clouds and the
+    corpus use: all of them by default, 0.1 as in the original job. ``only``
+    names the outputs to write (of ``outputs``, the two summaries and, with
+    ``original_layout``, the original's files); tables that none of them needs
+    are not built. The intermediates lie in one run folder and are deleted at
+    the end, also after a failure, unless ``keep_intermediate``.
+    ``original_layout`` also writes the original job's 15 tabular files (header
+    CSV, its file and column names) under ``out_dir/original/``.
     """
-    raw = reviews if isinstance(reviews, DataFrame) else read_reviews(spark, reviews, input_format)
-    out = out_dir.rstrip("/")
-    base = materialize(prepare(raw, dedup, order_by, sample_fraction, rule), "cleaned")
-    threshold = SC.score_threshold(base) if rule == "threshold" else None
-
-    sh: dict[str, DataFrame] = {}
+    folder = run_folder(spark)
+    try:
+        return _run(spark, reviews, out_dir.rstrip("/"), folder, input_format, dedup, order_by, sample_fraction,
+                    text_fraction, rule, out_format, write_text_corpus, only, parallelism, original_layout)
+    finally:
+        if not keep_intermediate:
+            drop_folder(folder)
+
+
+def _run(spark: SparkSession, reviews: DataFrame | str, out: str, folder: str, input_format: str, dedup: bool,
+         order_by: str | None, sample_fraction: float, text_fraction: float, rule: str, out_format: str,
+         write_text_corpus: bool, only: list[str] | None, parallelism: int, original_layout: bool) -> list[str]:
+    if isinstance(reviews, DataFrame):
+        raw = reviews
+    else:
+        raw = read_reviews(spark, reviews, input_format)
+        if input_format == "csv":
+            raw = materialize(standardize_columns(raw), "raw", folder)
+    base = materialize(prepare(raw, dedup, order_by, sample_fraction), "cleaned", folder)
+    threshold, sh = None, {}
+    if rule == "threshold":
+        # one profile of the materialised table labels it and everything after
+        sh["score_profile"] = materialize(SC.score_profile(base), "score_profile", folder)
+        threshold = sh["score_profile"].select("threshold").scalar()
+    base = with_sentiment(base, rule, threshold)
+
+    def wanted(name: str) -> bool:
+        return only is None or name in only
+
+    layout = {n: t for n, (t, _) in ORIGINAL_LAYOUT.items() if original_layout and wanted(n)}
+    names = {n for n in NEEDS if wanted(n)} | set(layout.values())
+    needed = {NEEDS[n] for n in names if n in NEEDS}
+    shares = {n: b for n, b in shared_tables(base, rule, threshold, text_fraction).items()
+              if n in needed and n not in sh}
 
     def share(name: str, build: Callable[[], DataFrame]) -> Callable[[], None]:
         def task() -> None:
-            sh[name] = materialize(build(), name)
+            sh[name] = materialize(build(), name, folder)
         return task
 
-    _run_concurrently({n: share(n, b) for n, b in shared_tables(base, rule, threshold).items()},
-                      parallelism)
+    _run_concurrently({n: share(n, b) for n, b in shares.items()}, parallelism)
 
     def write(build: Callable[[], DataFrame], name: str) -> Callable[[], None]:
         return lambda: write_table(build(), f"{out}/{name}", out_format)
@@ -262,49 +316,45 @@ def run_all(spark: SparkSession, reviews: DataFrame | str, out_dir: str, *,
         "cleaning_audit": write(lambda: C.cleaning_audit(raw, base), "cleaning_audit")}
     outs = outputs(base, sh, rule, threshold)
     for name, build in outs.items():
-        if only is None or name in only:
+        if wanted(name):
             tasks[name] = write(build, name)
-    if original_layout:
-        for name, build in original_tables(outs).items():
+    for name, build in original_tables(outs).items():
+        if name in layout:
             tasks[f"original/{name}"] = (lambda b=build, n=name: write_table(
                 b(), f"{out}/original/{n}", "csv"))
-    if only is None:
+    if wanted("score_scale_summary"):
         tasks["score_scale_summary"] = lambda: write_key_values(
             sh["score_profile"], f"{out}/score_scale_summary")
+    if wanted("global_binary_summary"):
         tasks["global_binary_summary"] = lambda: write_key_values(
             sh["global_sentiment_summary"], f"{out}/global_binary_summary",
             {"positive_ratio": "%.6f"})
     if write_text_corpus:
         tasks["corpus"] = lambda: write_corpus(
-            C.sample_reviews(base, TX.TEXT_SAMPLE_FRACTION), f"{out}/corpus",
-            rule=rule, threshold=threshold)
-    written = _run_concurrently(tasks, parallelism)
-    if not keep_intermediate:
-        for df in [base, *sh.values()]:
-            drop_materialized(df)
-    return written
+            C.sample_reviews(base, text_fraction), f"{out}/corpus", rule=rule, threshold=threshold)
+    return _run_concurrently(tasks, parallelism)
 
 
 def main(argv=None) -> None:
-    from plaudit.session import build_session
-
     ap = argparse.ArgumentParser(description="Review analytics on Spark")
     ap.add_argument("--path", required=True)
     ap.add_argument("--out", required=True)
     ap.add_argument("--input-format", default="csv")
     ap.add_argument("--format", default="parquet")
     ap.add_argument("--sample-fraction", type=float, default=1.0)
+    ap.add_argument("--text-fraction", type=float, default=1.0,
+                    help="share of the reviews in the word clouds and the corpus (the original job: 0.1)")
     ap.add_argument("--no-dedup", action="store_true")
     ap.add_argument("--order-by", default=None)
     ap.add_argument("--sentiment-rule", default="equals_one", choices=["equals_one", "threshold"])
-    ap.add_argument("--master", default=None)
     ap.add_argument("--parallelism", type=int, default=8, help="concurrent output jobs")
     ap.add_argument("--original-layout", action="store_true",
                     help="also write the original 15 tables under out/original/")
     a = ap.parse_args(argv)
-    spark = build_session(a.master)
+    # Shuffle partitions, memory and master are the submitter's to set.
+    spark = SparkSession.builder.appName("plaudit").getOrCreate()
     names = run_all(spark, a.path, a.out, input_format=a.input_format, dedup=not a.no_dedup,
-                    order_by=a.order_by, sample_fraction=a.sample_fraction,
+                    order_by=a.order_by, sample_fraction=a.sample_fraction, text_fraction=a.text_fraction,
                     rule=a.sentiment_rule, out_format=a.format, parallelism=a.parallelism,
                     original_layout=a.original_layout)
     print(f"wrote {len(names)} tables to {a.out}")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import warnings
 
 from pyspark.sql import SparkSession
 
@@ -66,6 +67,9 @@ def checkpoint_root(spark: SparkSession) -> str:
                 "spark.checkpoint.dir is not set: plaudit writes its lineage cuts there and "
                 "needs a folder every executor can read (for example on HDFS or S3)")
         root = tempfile.mkdtemp(prefix="plaudit-ckpt-")
+    elif root.startswith("file:") and not sc.master.startswith("local"):
+        # a shared mount looks like this too, so the setting is followed
+        warnings.warn(f"spark.checkpoint.dir is {root}: every executor must see this folder", stacklevel=2)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root

@@ -8,9 +8,6 @@ from pyspark.sql import types as T
 
 REVIEW_COLUMNS = ("game_id", "game", "app_name", "review_text", "review_score", "review_votes")
 
-# Header the original job expects.
-CSV_HEADER = ("Game ID", "app_name", "Game Name", "review_text", "review_score", "review_votes")
-
 
 def read_reviews(spark: SparkSession, path: str, fmt: str = "csv",
                  schema: T.StructType | str | None = None,

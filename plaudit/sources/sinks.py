@@ -2,20 +2,16 @@
 
 from __future__ import annotations
 
-import threading
 import uuid
-import weakref
 
-from pyspark.sql import DataFrame
+import pyarrow.fs as pafs
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plaudit.functions.sentiment import sentiment as sentiment_expr
 from plaudit.functions.text import clean_text
 from plaudit.session import checkpoint_root
 
-_MATERIALIZED: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
-_LOCK = threading.Lock()  # run_all materialises from several driver threads
-
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
     """Write a result table; CSV gets a header like the original outputs."""
@@ -67,30 +63,29 @@ def write_corpus(df: DataFrame, path: str, rule: str = "equals_one", threshold=N
     out.write.mode(mode).partitionBy("sentiment").text(path)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as parquet under the shared checkpoint folder, read it back.
+def run_folder(spark: SparkSession) -> str:
+    """A fresh folder for one run's intermediates under the shared checkpoint
+    folder. Everything a run materialises lies in it, so an operator (or the
+    folder's retention rule) removes a run, also a failed one, as a whole."""
+    return f"{checkpoint_root(spark).rstrip('/')}/plaudit-run-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """Write ``df`` as parquet into ``folder`` (default: a fresh run folder)
+    and read it back.
 
     Cuts the lineage (an executor loss re-reads files instead of re-running
     the scan and dedup shuffle) and, unlike an RDD checkpoint, later readers
     get column pruning and filter pushdown from the parquet scan.
     """
     spark = df.sparkSession
-    root = checkpoint_root(spark).rstrip("/")
-    path = f"{root}/plaudit-{name}-{uuid.uuid4().hex}"
+    path = f"{folder or run_folder(spark)}/{name}"
     df.write.mode("error").parquet(path)
-    out = spark.read.parquet(path)
-    with _LOCK:
-        _MATERIALIZED[out] = path
-    return out
-
-
-def drop_materialized(df: DataFrame) -> None:
-    """Delete the files behind a ``materialize``d DataFrame (job cleanup)."""
-    with _LOCK:
-        path = _MATERIALIZED.pop(df, None)
-    if path is None:
-        return
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_folder(folder: str) -> None:
+    """Delete a run folder through its file system; nothing if it is gone."""
+    fs, path = pafs.FileSystem.from_uri(folder)
+    if fs.get_file_info(path).type != pafs.FileType.NotFound:
+        fs.delete_dir(path)

@@ -94,8 +94,12 @@ def _games(spark, n_games, per_game=10):
 
 
 def test_top_reviewed_gate_at_ten_games(spark):
-    assert G.top_reviewed_games(G.games_sentiment(_games(spark, 10))).count() == 10
-    assert G.top_reviewed_games(G.games_sentiment(_games(spark, 9))).count() == 0
+    ten, nine = (G.games_sentiment(_games(spark, k)) for k in (10, 9))
+    assert G.top_reviewed_games(ten, min_games=10).count() == 10
+    assert G.top_reviewed_games(nine, min_games=10).count() == 0
+    assert G.top_reviewed_games(nine).count() == 9  # no gate by default
+    assert [r.game for r in G.top_reviewed_games(ten, n=3, min_games=10).collect()] == ["g00", "g01", "g02"]
+    assert G.top_reviewed_games(nine, n=3, min_games=10).count() == 0
 
 
 def test_extended_label_cut(spark):
@@ -115,7 +119,9 @@ def test_empty_inputs(spark):
     assert C.cleaning_audit(empty, C.clean_reviews(empty)).first() == (0, 0)
     assert TX.cloud_weights(TX.cleaned_word_freq(empty)).count() == 0
     assert ST.histogram(empty, "review_score", 5).count() == 0
-    assert G.percentage_categories(G.review_percentages(empty)).count() == 0
+    none = G.review_percentages(empty)
+    assert G.percentage_categories(none, min_games=5).count() == 0
+    assert [r.n_games for r in G.percentage_categories(none).collect()] == [0] * 9
 
 
 def test_dedup_without_game_id_uses_game(spark):

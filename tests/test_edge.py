@@ -168,8 +168,15 @@ def test_low_positive_gate_and_categories(spark):
     assert summ.n_le_10 == 5 and summ.worst_game == "g1" and summ.worst_percentage == 5.0
     # fewer than five low games: everything gated empty
     closed = G.review_percentages(df.filter(~F.col("game").isin("g1", "g2")))
-    assert G.low_positive_games(closed).count() == 0
-    assert G.percentage_categories(closed).count() == 0
+    assert G.low_positive_games(closed, min_games=5).count() == 0
+    assert G.low_positive_extended(closed, min_games=5).count() == 0
+    assert G.low_positive_summary(closed, min_games=5).count() == 0
+    assert G.percentage_categories(closed, min_games=5).count() == 0
+    # no gate by default, an open gate changes nothing
+    assert G.low_positive_games(closed).count() == 3 and G.percentage_categories(closed).count() == 9
+    assert G.low_positive_games(pct, min_games=5).collect() == low
+    assert G.low_positive_games(pct, n=2, min_games=5).collect() == low[:2]
+    assert G.low_positive_extended(pct, min_games=5).count() == G.low_positive_extended(pct).count() == 6
 
 
 def test_box_stats_matches_numpy(spark):

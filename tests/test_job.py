@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from plaudit.operators import clean as C
 from plaudit.operators import games as G
-from plaudit.plans.job import outputs, run_all, shared_tables
+from plaudit.plans.job import ORIGINAL_LAYOUT, outputs, run_all, shared_tables
 from plaudit.session import checkpoint_root
 from plaudit.sources import fixtures as FX
 
@@ -17,9 +17,9 @@ def test_run_all_writes_every_table(spark):
     out = tempfile.mkdtemp(prefix="plaudit-job-", dir="/tmp")
     raw = FX.reviews_r(spark, SF_SMALL)
     root = checkpoint_root(spark).replace("file:", "")
-    before = set(glob.glob(f"{root}/plaudit-*/*.parquet"))
+    before = set(glob.glob(f"{root}/plaudit-run-*"))
     names = run_all(spark, raw, out)
-    assert set(glob.glob(f"{root}/plaudit-*/*.parquet")) <= before  # intermediates removed
+    assert set(glob.glob(f"{root}/plaudit-run-*")) <= before  # intermediates removed
     expected = {"cleaning_audit", "corpus", "score_scale_summary", "global_binary_summary"}
     expected |= set(outputs(raw, dict.fromkeys(shared_tables(raw), raw)).keys())
     assert set(names) == expected
@@ -29,6 +29,7 @@ def test_run_all_writes_every_table(spark):
     got = {tuple(r) for r in spark.read.parquet(f"{out}/review_counts").collect()}
     assert got == {tuple(r) for r in G.review_counts(cleaned).collect()}
     corpus = spark.read.text(f"{out}/corpus")
+    assert corpus.count() == cleaned.count()  # every review, no sample by default
     assert set(corpus.columns) == {"value", "sentiment"}
     assert spark.read.parquet(f"{out}/score_profile").first().binary
     lines = [r.value for r in spark.read.text(f"{out}/score_scale_summary").collect()]
@@ -76,8 +77,8 @@ def test_derived_outputs_equal_direct_operators(spark):
         "density_length": ST.density(lengths, "review_length"),
         "histogram_score": ST.histogram(cleaned, "review_score", 20),
         "cloud_weights_positive": TX.cloud_weights(
-            TX.cleaned_word_freq(cleaned, "positive", fraction=0.1), 100),
-        "cloud_weights_all": TX.cloud_weights(TX.cleaned_word_freq(cleaned, fraction=0.1), 150),
+            TX.cleaned_word_freq(cleaned, "positive"), 100),
+        "cloud_weights_all": TX.cloud_weights(TX.cleaned_word_freq(cleaned), 150),
         "top_apps_by_avg": G.top_apps_by_avg(cleaned),
         "top_words": TX.top_words(TX.word_counts(cleaned)),
         "sentiment_counts": G.sentiment_counts(cleaned),
@@ -98,7 +99,7 @@ def test_derived_outputs_equal_direct_operators(spark):
 def test_original_layout(spark, tmp_path):
     raw = FX.reviews_e(spark, SF_SMALL)
     out = str(tmp_path / "out")
-    run_all(spark, raw, out, only=[], write_text_corpus=False, original_layout=True)
+    run_all(spark, raw, out, only=list(ORIGINAL_LAYOUT), write_text_corpus=False, original_layout=True)
     rdd = spark.read.option("header", True).csv(f"{out}/original/rdd_sentiment_counts")
     assert rdd.columns == ["game", "positive_reviews_rdd", "negative_reviews_rdd",
                            "total_reviews_rdd", "positive_ratio_rdd"]
@@ -115,12 +116,13 @@ def test_outputs_never_rescan_the_raw_input(spark):
     import io
     import contextlib
 
-    from plaudit.plans.job import prepare
-    from plaudit.sources.sinks import drop_materialized, materialize
+    from plaudit.plans.job import prepare, with_sentiment
+    from plaudit.sources.sinks import drop_folder, materialize, run_folder
 
     raw = FX.reviews_r(spark, SF_SMALL)
-    base = materialize(prepare(raw), "cleaned")
-    sh = {name: materialize(build(), name) for name, build in shared_tables(base).items()}
+    folder = run_folder(spark)
+    base = with_sentiment(materialize(prepare(raw), "cleaned", folder))
+    sh = {name: materialize(build(), name, folder) for name, build in shared_tables(base).items()}
     try:
         for name, build in outputs(base, sh).items():
             buf = io.StringIO()
@@ -130,5 +132,58 @@ def test_outputs_never_rescan_the_raw_input(spark):
             assert "documents.parquet" not in text and "labels.parquet" not in text, name
             assert "plaudit-" in text, name
     finally:
-        for df in [base, *sh.values()]:
-            drop_materialized(df)
+        drop_folder(folder)
+
+
+def test_only_builds_what_it_needs(spark, monkeypatch):
+    from plaudit.plans import job
+
+    built = []
+    real = job.materialize
+    monkeypatch.setattr(job, "materialize", lambda df, name, folder: built.append(name) or real(df, name, folder))
+    out = tempfile.mkdtemp(prefix="plaudit-job-", dir="/tmp")
+    names = run_all(spark, FX.reviews_e(spark, SF_SMALL), out, only=["review_counts"], write_text_corpus=False,
+                    original_layout=True)
+    assert set(built) == {"cleaned", "game_metrics"} and set(names) == {"cleaning_audit", "review_counts"}
+    assert set(job.NEEDS.values()) == set(shared_tables(spark.range(1)))
+
+
+def test_failed_run_leaves_no_intermediates(spark, monkeypatch):
+    import pytest
+    from plaudit.plans import job
+
+    root = checkpoint_root(spark).replace("file:", "")
+    before = set(glob.glob(f"{root}/plaudit-run-*"))
+    monkeypatch.setattr(job, "write_table", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        run_all(spark, FX.reviews_e(spark, SF_SMALL), "/tmp/never", only=["review_counts"], write_text_corpus=False)
+    assert set(glob.glob(f"{root}/plaudit-run-*")) <= before
+
+
+def test_threshold_rule_labels_from_the_materialised_table(spark):
+    out = tempfile.mkdtemp(prefix="plaudit-job-", dir="/tmp")
+    raw = FX.reviews_d(spark, SF_SMALL).withColumn("review_score", (F.col("row_id") % 5 + 1).cast("double"))
+    run_all(spark, raw, out, dedup=False, rule="threshold", only=["sentiment_counts", "score_profile"],
+            write_text_corpus=False)
+    got = spark.read.parquet(f"{out}/sentiment_counts").agg(F.sum("positive_reviews")).first()[0]
+    assert got == C.clean_reviews(raw, dedup=False).where("review_score >= 4").count() > 0
+
+
+def test_command_line_keeps_the_submitters_settings(tmp_path):
+    """A session submitted with 37 shuffle partitions still has 37."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    (tmp_path / "in.csv").write_text(
+        'Game ID,app_name,Game Name,review_text,review_score,review_votes\n1,a,g,"good ""one"",\nyes",1,0\n')
+    code = (
+        "from pyspark.sql import SparkSession\n"
+        "s = (SparkSession.builder.master('local[2]').config('spark.sql.shuffle.partitions', '37')"
+        ".config('spark.ui.enabled', 'false').getOrCreate())\n"
+        "from plaudit.plans.job import main\n"
+        f"main(['--path', '{tmp_path}/in.csv', '--out', '{tmp_path}/out'])\n"
+        "print('partitions', s.conf.get('spark.sql.shuffle.partitions'))\n")
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300,
+                          cwd=Path(__file__).parents[1])
+    assert "partitions 37" in done.stdout, done.stderr[-2000:]

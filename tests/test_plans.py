@@ -9,6 +9,7 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 from plaudit.operators import clean as C
 from plaudit.operators import games as G
+from plaudit.plans import catalog
 from plaudit.sources import fixtures as FX
 
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "CartesianProduct",
@@ -22,7 +23,7 @@ def plan(df, mode="formatted"):
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_no_python_no_cartesian(spark, name):
     text = plan(E.queries()[name](spark, SF_SMALL))
     for node in FORBIDDEN:
@@ -48,10 +49,14 @@ def test_dedup_aggregates_partially_before_shuffle(spark):
     assert text.index("partial_min") > text.index("Exchange")  # formatted plan lists the partial step after
 
 
-def test_gates_are_subqueries_not_driver_branches(spark):
+def test_gates_need_no_second_pass(spark):
     pct = G.review_percentages(FX.reviews_s(spark, SF_SMALL))
-    text = plan(G.low_positive_games(pct))
-    assert "Subquery" in text
+    for df in (G.low_positive_games(pct, min_games=5), G.low_positive_games(pct, n=2, min_games=5),
+               G.low_positive_extended(pct, min_games=5), G.low_positive_summary(pct, min_games=5),
+               G.percentage_categories(pct, min_games=5)):
+        text = plan(df)
+        assert "Subquery" not in text
+        assert text.split("== Physical Plan ==")[1].count("lineitem.parquet") == 1
 
 
 @pytest.mark.parametrize("name", ["review_counts_s", "sentiment_counts_s", "games_sentiment_s",
