@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer, RegexTokenizer, UnivariateFeatureSelector
+from pyspark.ml.feature import CountVectorizerModel, RegexTokenizer, UnivariateFeatureSelector
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,7 +46,8 @@ def domain_of(quality: str = "quality", toxic: str = "toxic") -> Column:
 @dataclass
 class DomainModel:
     """Posteriors over ``domains``; without labelled rows of two domains all
-    mass is on the one seen, or spread evenly."""
+    mass is on the one seen, or spread evenly; without frequent words the
+    posteriors are the labels' shares."""
     domains: tuple[str, ...] = DOMAINS
     pipeline: PipelineModel | None = None
     constant: list[float] = field(default_factory=list)
@@ -91,16 +92,24 @@ def fit_domains(docs: DataFrame, labels: DataFrame, text: str = "text", id_col:
     got = {int(r["y"]): r["count"] for r in sample.groupBy("y").count().collect()}
     if len(got) < 2:
         return DomainModel(constant=[1.0 if y in got else 0.0 if got else 1 / k for y in range(k)])
+    # words in a fixed order and rows in a fixed order: the same sample gives
+    # the same model in every run
+    tokens = RegexTokenizer(inputCol=_TEXT, outputCol="_words", pattern=_BETWEEN, toLowercase=True)
+    vocabulary = [r["w"] for r in tokens.transform(sample).select(F.explode(F.array_distinct("_words")).alias("w"))
+                  .groupBy("w").count().where(F.col("count") >= 8)
+                  .orderBy(F.col("count").desc(), "w").limit(1 << 13).collect()]
+    if not vocabulary:
+        return DomainModel(constant=[counts.get(y, 0) / sum(counts.values()) for y in range(k)])
     weight = F.create_map(*[F.lit(x) for y, n in got.items() for x in (float(y), counts[y] / n)])
     model = Pipeline(stages=[
-        RegexTokenizer(inputCol=_TEXT, outputCol="_words", pattern=_BETWEEN, toLowercase=True),
-        CountVectorizer(inputCol="_words", outputCol="_vec", vocabSize=1 << 13, minDF=8, binary=True),
+        tokens,
+        CountVectorizerModel.from_vocabulary(vocabulary, inputCol="_words", outputCol="_vec", binary=True),
         UnivariateFeatureSelector(featuresCol="_vec", outputCol="_best", labelCol="y",
                                   selectionMode="numTopFeatures")
         .setFeatureType("categorical").setLabelType("categorical").setSelectionThreshold(256),
         LogisticRegression(featuresCol="_best", labelCol="y", weightCol="_w", family="multinomial",
                            regParam=1e-4, maxIter=40),
-    ]).fit(sample.withColumn("_w", weight[F.col("y")]).coalesce(4))
+    ]).fit(sample.withColumn("_w", weight[F.col("y")]).coalesce(1).sortWithinPartitions("id"))
     return DomainModel(pipeline=model)
 
 
@@ -116,12 +125,15 @@ def rate_column(steps: list[np.ndarray], p: str = "p") -> Column:
 
 def fit_rates(members: DataFrame, weights: dict[str, float], budget: float | None = None,
               keep: str | None = None, surplus: float = 1.0, max_steps: int = 60,
-              tolerance: float = 1e-4) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+              tolerance: float = 1e-4, progress: float = 0.02) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """Step vectors, expected totals reached and targets for ``members``
     (tokens, p). The targets are the shares ``weights`` of ``budget`` tokens;
     ``keep`` sets the budget so that this domain's target is ``surplus`` times
     its present expected total. Default budget: the present total. Domains
-    without any mass can't be met and are left out of the objective."""
+    without any mass can't be met and are left out of the objective. Ends when
+    every target is met within ``tolerance`` of the total, or when a step lowers
+    the objective by less than the share ``progress`` of it (targets out of
+    reach of nonnegative rates), or after ``max_steps``."""
     k = len(DOMAINS)
     mass = [F.col("tokens") * F.col("p")[i] for i in range(k)]
     first = members.agg(
@@ -143,9 +155,11 @@ def fit_rates(members: DataFrame, weights: dict[str, float], budget: float | Non
     sub = gram[np.ix_(there, there)]
     metric[np.ix_(there, there)] = np.linalg.inv(sub + 1e-9 * np.trace(sub) * np.eye(len(sub)))
     steps: list[np.ndarray] = []
+    loss = np.inf
     for _ in range(max_steps):
         off = (target - now) * there
-        if np.abs(off).max() <= tolerance * total:
+        before, loss = loss, off @ metric @ off
+        if np.abs(off).max() <= tolerance * total or loss > (1 - progress) * before:
             break
         steps.append(metric @ off)
         rate = rate_column(steps)
