@@ -38,8 +38,9 @@ def units(docs: DataFrame, text: str = "text", id_col: str = "doc_id", separator
 def repeated_units(found: DataFrame) -> DataFrame:
     """(doc, rid, pos) of the units of which an earlier occurrence exists."""
     rank = F.struct("doc", "pos", "rid")
-    first = (found.groupBy("digest").agg(F.min(rank).alias("first"), F.count("*").alias("n"))
-             .where("n > 1").select("digest", "first"))
+    # written, so that the join shuffles both sides and can split a hot digest
+    first = cut(found.groupBy("digest").agg(F.min(rank).alias("first"), F.count("*").alias("n"))
+                .where("n > 1").select("digest", "first"), "first-units")
     return (found.join(first, "digest").where(rank != F.col("first")).select("doc", "rid", "pos"))
 
 
