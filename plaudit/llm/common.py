@@ -50,6 +50,11 @@ def no_text(col: str) -> Column:
 # Global order without one task holding it
 # --------------------------------------------------------------------------
 
+def bucket_count(rows: int) -> int:
+    """Range buckets for ``rows`` rows: about a thousand rows each, 16 to 8192 buckets."""
+    return max(16, min(8192, rows // 1000))
+
+
 def range_bucket(df: DataFrame, key: str, name: str, buckets: int, on: DataFrame | None = None) -> DataFrame:
     """Add ``name`` to ``on`` (default ``df``): the range bucket of the numeric
     ``key``, ascending with it; nulls are alone in bucket -1.

@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, no_text, range_bucket, scratch_path
+from .common import bucket_count, cut, no_text, range_bucket, scratch_path
 
 # Fixed values of the public byte-level vocabularies: pre-split pattern and
 # the end-of-text id above their ranks.
@@ -167,12 +167,12 @@ def _chunker(target: int = 1 << 17):
 
 
 def stream_chunks(docs: DataFrame, vocabulary: str = VOCABULARY, text: str = "text", id_col: str = "doc_id",
-                  buckets: int = 256) -> DataFrame:
+                  buckets: int | None = None) -> DataFrame:
     """The token streams of the buckets as stored chunks (see ``_CHUNK``)."""
     tokens = tokenise(docs, vocabulary, text, id_col)
     # splitters from the id column alone, so that texts are tokenised once
     ids = docs.select(F.col(id_col).cast("long").alias("doc_id"))
-    dealt = range_bucket(ids, "doc_id", "bucket", buckets, on=tokens)
+    dealt = range_bucket(ids, "doc_id", "bucket", buckets or bucket_count(docs.count()), on=tokens)
     return cut(dealt.repartition("bucket").sortWithinPartitions("bucket", F.col("doc_id"), "blob")
                .select("bucket", "doc_id", "blob").mapInArrow(_chunker(), _CHUNK), "token-chunks")
 
@@ -264,7 +264,7 @@ def _manifest(rows: list[dict]) -> pa.RecordBatch:
 
 
 def materialise(docs: DataFrame, folder: str | None = None, vocabulary: str = VOCABULARY, layout: Layout = Layout(),
-                text: str = "text", id_col: str = "doc_id", buckets: int = 256) -> DataFrame:
+                text: str = "text", id_col: str = "doc_id", buckets: int | None = None) -> DataFrame:
     """Write the shards under ``folder`` (default: a fresh one in the shared
     checkpoint folder) and return the manifest, one row per sequence: slot,
     sequence, shard, byte_offset, n_tokens without padding, doc_ids, sha256 of

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import no_text, range_bucket
+from .common import bucket_count, no_text, range_bucket
 
 _LOW = (1 << 24) - 1
 
@@ -109,7 +109,7 @@ def _first_of_next(rows: DataFrame) -> DataFrame:
 
 
 def fingerprint_edits(docs: DataFrame, text: str = "text", id_col: str = "doc_id", gram: int = 5, window: int = 8,
-                      buckets: int = 256) -> DataFrame:
+                      buckets: int | None = None) -> DataFrame:
     """Per row: doc_id, text, edited (the last third of its code points, rounded
     down, replaced by as many of the next document's first), fp, edited_fp,
     next_fp. Null texts count as empty.
@@ -122,7 +122,7 @@ def fingerprint_edits(docs: DataFrame, text: str = "text", id_col: str = "doc_id
     rows = with_fingerprint(docs.select(F.col(id_col).cast("long").alias("doc_id"), no_text(text).alias("text")),
                             "text", "fp", gram, window)
     ids = docs.select(F.col(id_col).cast("long").alias("doc_id"))
-    rows = range_bucket(ids, "doc_id", "_b", buckets, on=rows)
+    rows = range_bucket(ids, "doc_id", "_b", buckets or bucket_count(docs.count()), on=rows)
     ahead = Window.partitionBy("_b").orderBy(F.col("doc_id").desc_nulls_last(), F.xxhash64("text"))
     seen = rows.withColumn("_next", F.lead(F.struct("text", "fp")).over(ahead))
     seen = (seen.join(_first_of_next(rows), "_b", "left")
