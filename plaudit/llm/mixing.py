@@ -74,21 +74,24 @@ def fit_domains(docs: DataFrame, labels: DataFrame, text: str = "text", id_col:
     """Multinomial logistic regression over the presence of the 256 words that
     tell the domains apart best (chi-squared),
     fitted on a bounded sample: at most ``per_domain`` labelled documents a
-    domain, each of at most ``max_chars`` characters, chosen by a hash of the
-    id and weighted back to the domains' shares of the labels."""
-    usable = (labels.select(F.col(id_col).cast("long").alias("id"), domain_of().alias("y"))
-              .where("id is not null and y is not null").where(~held_out("id"))
-              .groupBy("id").agg(F.min("y").alias("y"), F.max("y").alias("y2")).where("y = y2")
-              .select("id", "y", F.xxhash64("id", F.lit(seed)).alias("h")))
+    domain, chosen by a hash of the id among the labelled ids that ``docs``
+    holds with a text of 1 to ``max_chars`` characters, and weighted back to
+    the domains' shares of those ids."""
+    texts = (docs.select(F.col(id_col).cast("long").alias("id"), F.trim(no_text(text)).alias(_TEXT))
+             .where(F.length(_TEXT).between(1, max_chars)))
+    usable = cut(labels.select(F.col(id_col).cast("long").alias("id"), domain_of().alias("y"))
+                 .where("id is not null and y is not null").where(~held_out("id"))
+                 .groupBy("id").agg(F.min("y").alias("y"), F.max("y").alias("y2")).where("y = y2")
+                 .join(texts.select("id"), "id", "left_semi")
+                 .select("id", "y", F.xxhash64("id", F.lit(seed)).alias("h")), "domain-labels")
     counts = {int(r["y"]): r["count"] for r in usable.groupBy("y").count().collect()}  # a row a domain
     k = len(DOMAINS)
     picks = None
     for y in range(k):
         part = usable.where(F.col("y") == y).orderBy("h", "id").limit(per_domain)
         picks = part if picks is None else picks.unionByName(part)
-    sample = cut(docs.select(F.col(id_col).cast("long").alias("id"), F.trim(no_text(text)).alias(_TEXT))
-                 .where(F.length(_TEXT).between(1, max_chars))
-                 .join(F.broadcast(picks), "id").groupBy("id", "y").agg(F.min(_TEXT).alias(_TEXT)), "domain-sample")
+    sample = cut(texts.join(F.broadcast(picks), "id").groupBy("id", "y").agg(F.min(_TEXT).alias(_TEXT)),
+                 "domain-sample")
     got = {int(r["y"]): r["count"] for r in sample.groupBy("y").count().collect()}
     if len(got) < 2:
         return DomainModel(constant=[1.0 if y in got else 0.0 if got else 1 / k for y in range(k)])

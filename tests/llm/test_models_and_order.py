@@ -141,6 +141,23 @@ def test_mixing_accuracy_on_held_out_labels(spark):
     assert (best == got.y).mean() > 0.9
 
 
+def test_domains_learn_from_the_documents_that_are_there(spark):
+    """Most labels of one domain have no document left: the bound is filled from
+    those that have one, and the priors are the shares of the documents."""
+    labels = spark.range(1000).select(F.col("id").alias("doc_id"), F.expr("if(id < 500, 1, 0)").alias("quality"),
+                                      F.lit(0).alias("toxic"))
+    here = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 4 != 2]
+    clean, low = [i for i in here if i < 500], [i for i in here if i >= 500][:20]
+    alone = spark.createDataFrame([(i, str(i)) for i in clean + low], "doc_id long, text string")
+    n = len(clean) + len(low)  # no frequent word: the posteriors are the priors
+    assert np.allclose(mixing.fit_domains(alone, labels).constant, [len(clean) / n, len(low) / n, 0])
+    told = spark.createDataFrame([(i, f"{'fine' if i < 500 else 'poor'} words {i}") for i in clean + low]
+                                 + [(low[-1] + 1, "poor " * 9000)], "doc_id long, text string")
+    model = mixing.fit_domains(told, labels, per_domain=10)
+    p = {r.doc_id: r.p for r in model.apply(told).select("_row.doc_id", "p").collect()}
+    assert all(p[i][0] > 0.9 for i in clean) and all(p[i][1] > 0.9 for i in low)
+
+
 def test_permutation():
     for n in (1, 2, 3, 17, 256, 4097):
         perm = materialise.Permutation(n, b"key")
