@@ -6,16 +6,18 @@ token totals ``sum_d r_d * tokens_d * p_dk`` meet the targets of the domains:
 
     minimise 1/2 (A r - t)' M (A r - t),  r >= 0,   A_kd = tokens_d * p_dk
 
-by projected gradient from r = 1. The gradient of a document depends on its
-posteriors only, so one step adds ``p_d . s`` for a vector s of one number a
-domain and clips at zero. A step is one global sum over the documents; the
-state is the list of step vectors, and a document's rate is the fold of its
-posteriors over that list. With M the inverse of the domains' Gram matrix the
-Lipschitz constant is 1.
+Of the rates that reach the minimum those nearest to 1 are taken (squared
+distance weighted by tokens), as the limit of a small weight ``ridge`` on the
+distance. They have the form ``r_d = max(0, 1 + p_d . s)`` with one number a
+domain in s, found by Newton steps on the convex dual in s; a step is one
+global sum over the documents, and the state is s alone. Any s whose products
+with all posteriors are at most 0 bounds the minimum from below, which tells
+how far the totals can be from the best ones.
 """
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -126,19 +128,32 @@ def rate_column(steps: list[np.ndarray], p: str = "p") -> Column:
         F.lit(0.0), r + sum((F.col(p)[i] * s[i] for i in range(1, k)), F.col(p)[0] * s[0])))
 
 
-def fit_rates(members: DataFrame, weights: dict[str, float], budget: float | None = None,
-              keep: str | None = None, surplus: float = 1.0, max_steps: int = 60,
-              tolerance: float = 1e-4, progress: float = 0.02) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Step vectors, expected totals reached and targets for ``members``
-    (tokens, p). The targets are the shares ``weights`` of ``budget`` tokens;
-    ``keep`` sets the budget so that this domain's target is ``surplus`` times
-    its present expected total. Default budget: the present total. Domains
-    without any mass can't be met and are left out of the objective. Ends when
-    every target is met within ``tolerance`` of the total, or when a step lowers
-    the objective by less than the share ``progress`` of it (targets out of
-    reach of nonnegative rates), or after ``max_steps``."""
-    k = len(DOMAINS)
-    mass = [F.col("tokens") * F.col("p")[i] for i in range(k)]
+@dataclass
+class _Aim:
+    """Totals of the domains at rate 1, their targets, the Gram matrix of the
+    domains with mass (``there``) and its inverse, zero for the others."""
+    now: np.ndarray
+    target: np.ndarray
+    there: np.ndarray
+    gram: np.ndarray
+    metric: np.ndarray
+
+    @property
+    def total(self) -> float:
+        return self.now.sum()
+
+
+def _masses() -> list[Column]:
+    return [F.col("tokens") * F.col("p")[i] for i in range(len(DOMAINS))]
+
+
+def _aim(members: DataFrame, weights: dict[str, float], budget: float | None, keep: str | None,
+         surplus: float) -> _Aim:
+    """The targets are the shares ``weights`` of ``budget`` tokens; ``keep``
+    sets the budget so that this domain's target is ``surplus`` times its
+    present expected total. Default budget: the present total. Domains without
+    any mass can't be met and are left out of the objective."""
+    k, mass = len(DOMAINS), _masses()
     first = members.agg(
         *[F.coalesce(F.sum(m), F.lit(0.0)).alias(f"a{i}") for i, m in enumerate(mass)],
         *[F.coalesce(F.sum(mass[i] * F.col("p")[j]), F.lit(0.0)).alias(f"g{i}{j}")
@@ -150,25 +165,121 @@ def fit_rates(members: DataFrame, weights: dict[str, float], budget: float | Non
     if keep is not None and share[DOMAINS.index(keep)] > 0:
         budget = surplus * now[DOMAINS.index(keep)] / share[DOMAINS.index(keep)]
     target = share * (total if budget is None else budget)
-    if total <= 0:
-        return [], now, target
-    gram = np.array([[first[f"g{i}{j}"] for j in range(k)] for i in range(k)])
     there = now > 1e-9 * total
-    metric = np.zeros((k, k))
-    sub = gram[np.ix_(there, there)]
-    metric[np.ix_(there, there)] = np.linalg.inv(sub + 1e-9 * np.trace(sub) * np.eye(len(sub)))
+    gram, metric = np.zeros((k, k)), np.zeros((k, k))
+    if total > 0:
+        on = np.ix_(there, there)
+        gram[on] = np.array([[first[f"g{i}{j}"] for j in range(k)] for i in range(k)])[on]
+        gram[on] += 1e-9 * np.trace(gram) * np.eye(there.sum())
+        metric[on] = np.linalg.inv(gram[on])
+    return _Aim(now, target, there, gram, metric)
+
+
+def fit_rates(members: DataFrame, weights: dict[str, float], budget: float | None = None,
+              keep: str | None = None, surplus: float = 1.0, max_steps: int = 60,
+              tolerance: float = 1e-4) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Step vectors of the plain projected gradient from rate 1, expected totals
+    reached and targets for ``members`` (tokens, p). Ends when every target is
+    met within ``tolerance`` of the total or after ``max_steps``; it is slow
+    where rates are clipped, see ``best_rates``."""
+    aim, mass = _aim(members, weights, budget, keep, surplus), _masses()
     steps: list[np.ndarray] = []
-    loss = np.inf
-    for _ in range(max_steps):
-        off = (target - now) * there
-        before, loss = loss, off @ metric @ off
-        if np.abs(off).max() <= tolerance * total or loss > (1 - progress) * before:
+    now = aim.now
+    while aim.total > 0 and len(steps) < max_steps:
+        off = (aim.target - now) * aim.there
+        if np.abs(off).max() <= tolerance * aim.total:
             break
-        steps.append(metric @ off)
-        rate = rate_column(steps)
-        sums = members.agg(*[F.sum(m * rate).alias(f"a{i}") for i, m in enumerate(mass)]).first()
-        now = np.array([sums[f"a{i}"] for i in range(k)])
-    return steps, now, target
+        steps.append(aim.metric @ off)
+        sums = members.agg(*[F.sum(m * rate_column(steps)).alias(f"a{i}") for i, m in enumerate(mass)]).first()
+        now = np.array([sums[f"a{i}"] for i in range(len(mass))])
+    return steps, now, aim.target
+
+
+@dataclass
+class _Point:
+    """What one pass tells about ``s``: totals, Gram matrix of the documents
+    with a positive rate, sum of tokens times squared rate, largest p . s."""
+    s: np.ndarray
+    now: np.ndarray
+    active: np.ndarray
+    square: float
+    most: float
+
+
+def _points(members: DataFrame, tries: list[np.ndarray]) -> list[_Point]:
+    k, mass, found = len(DOMAINS), _masses(), []
+    for n, s in enumerate(tries):
+        rate = rate_column([s])
+        found += [*[F.sum(m * rate).alias(f"a{n}_{i}") for i, m in enumerate(mass)],
+                  *[F.sum(F.when(rate > 0, mass[i] * F.col("p")[j]).otherwise(0.0)).alias(f"g{n}_{i}_{j}")
+                    for i in range(k) for j in range(i, k)],
+                  F.sum(F.col("tokens") * rate * rate).alias(f"q{n}"),
+                  F.max(F.when(F.col("tokens") > 0, sum((F.col("p")[i] * float(s[i]) for i in range(1, k)),
+                                                        F.col("p")[0] * float(s[0])))).alias(f"m{n}")]
+    row = members.agg(*found).first()
+    return [_Point(s, np.array([row[f"a{n}_{i}"] for i in range(k)]),
+                   np.array([[row[f"g{n}_{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)]),
+                   row[f"q{n}"], row[f"m{n}"]) for n, s in enumerate(tries)]
+
+
+@dataclass
+class Rates:
+    """``steps`` for ``rate_column``, the totals reached and the targets;
+    ``unmet`` has what is missing (or, negative, too much) of the targets that
+    are off by more than the tolerance, ``settled`` says that the totals are
+    within the tolerance of the targets or of the best that rates >= 0 reach."""
+    steps: list[np.ndarray]
+    now: np.ndarray
+    target: np.ndarray
+    unmet: dict[str, float]
+    settled: bool
+
+
+def best_rates(members: DataFrame, weights: dict[str, float], budget: float | None = None, keep: str | None = None,
+               surplus: float = 1.0, tolerance: float = 1e-4, max_passes: int = 100) -> Rates:
+    """Rates for ``members`` (tokens, p) whose totals are within ``tolerance``
+    of the total of the targets (those of ``_aim``), or, out of reach, of the
+    totals at the minimum of the objective; unmet targets are logged.
+
+    The ridge is lowered until that holds. Each Newton step tries four lengths
+    in its pass and takes the one with the lowest dual value."""
+    aim = _aim(members, weights, budget, keep, surplus)
+    steps, now, settled = [], aim.now, True
+    if aim.total > 0:
+        on = np.ix_(aim.there, aim.there)
+        within = tolerance * aim.total
+        ridge, at, passes = 1e-4, _points(members, [np.zeros(len(DOMAINS))])[0], 1
+
+        def value(x: _Point) -> float:
+            return x.square / 2 + ridge * (x.s @ aim.gram @ x.s) / 2 - aim.target @ x.s
+
+        def best(x: _Point) -> bool:
+            off = (aim.target - x.now) * aim.there
+            if np.abs(off).max() <= within:
+                return True
+            low = np.where(aim.there, ridge * (x.s - max(0.0, x.most)), 0.0)  # p . low <= 0 for every document
+            gap = (off @ aim.metric @ off) / 2 - (low @ aim.target - low @ aim.gram @ low / 2)
+            return np.sqrt(2 * max(0.0, gap) * np.diag(aim.gram).max()) <= within
+
+        while not (settled := best(at)) and passes < max_passes:
+            slope = (at.now + ridge * (aim.gram @ at.s) - aim.target) * aim.there
+            move = np.zeros(len(DOMAINS))
+            move[aim.there] = -np.linalg.solve((at.active + ridge * aim.gram)[on], slope[aim.there])
+            new = min(_points(members, [at.s + f * move for f in (1.0, 0.3, 0.1, 0.01)]), key=value)
+            passes += 1
+            flat = value(at) - value(new) <= 1e-12 * abs(value(at))
+            at = at if value(new) > value(at) else new
+            if flat or np.abs((at.now + ridge * (aim.gram @ at.s) - aim.target) * aim.there).max() <= within / 100:
+                if not (settled := best(at)):
+                    ridge /= 10
+        steps, now = [at.s] if at.s.any() else [], at.now
+    off = aim.target - now
+    unmet = {d: float(x) for d, x in zip(DOMAINS, off) if abs(x) > tolerance * aim.total}
+    if unmet or not settled:
+        logging.getLogger(__name__).warning(
+            "mixing targets %s, tokens missing (negative: too many): %s",
+            "out of reach" if settled else "not reached in %d passes" % max_passes, unmet)
+    return Rates(steps, now, aim.target, unmet, settled)
 
 
 def copies_column(rate: Column, key: list[Column], seed: int = 5) -> Column:
@@ -186,7 +297,7 @@ def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float], text: str
     members = cut(model.apply(docs, text).select(
         F.col(f"{_ROW}.`{id_col}`").alias("doc_id"),
         F.xxhash64(F.col(f"{_ROW}.`{text}`")).alias("h"), "tokens", "p"), "members")
-    steps, _, _ = fit_rates(members, weights, budget, keep, surplus)
+    steps = best_rates(members, weights, budget, keep, surplus).steps
     return (members.withColumn("rate", rate_column(steps))
             .withColumn("copies", copies_column(F.col("rate"), [F.col("doc_id"), F.col("h")]))
             .select("doc_id", "tokens", *[F.col("p")[i].alias(f"p_{d}") for i, d in enumerate(DOMAINS)],
@@ -199,7 +310,7 @@ def mixed_documents(docs: DataFrame, labels: DataFrame, weights: dict[str, float
     """The rows of ``docs``, each as often as its ``copies`` say."""
     model = fit_domains(docs, labels, text, id_col)
     members = model.apply(docs, text)
-    steps, _, _ = fit_rates(cut(members.select("tokens", "p"), "members"), weights, budget, keep, surplus)
+    steps = best_rates(cut(members.select("tokens", "p"), "members"), weights, budget, keep, surplus).steps
     copies = copies_column(rate_column(steps), [F.col(f"{_ROW}.`{id_col}`"), F.xxhash64(F.col(f"{_ROW}.`{text}`"))])
     return (members.withColumn("_n", copies).where("_n > 0")
             .withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(f"{_ROW}.*"))

@@ -116,6 +116,50 @@ def test_rates_meet_targets(spark):
         assert (np.abs(off).max() <= 1e-4 * tokens.sum()) == met and (rate.min() == 0) == (not met)
 
 
+def nnls(a, b):
+    """Lawson and Hanson's active set method."""
+    x, on = np.zeros(a.shape[1]), np.zeros(a.shape[1], bool)
+    while (w := np.where(on, -np.inf, a.T @ (b - a @ x))).max() > 1e-9 * np.abs(a.T @ b).max():
+        on[w.argmax()] = True
+        while True:
+            z = np.zeros_like(x)
+            z[on] = np.linalg.lstsq(a[:, on], b, rcond=None)[0]
+            if z[on].min() > 0:
+                break
+            down = on & (z <= 0)
+            x += (x[down] / (x[down] - z[down])).min() * (z - x)
+            on &= x > 1e-12
+        x = z
+    return x
+
+
+def test_best_rates_against_nnls(spark):
+    """Within reach, with clipping, out of reach, a domain without mass: the
+    objective is that of the nonnegative optimum."""
+    rng = np.random.default_rng(2)
+    p = rng.dirichlet([3, 1, 1], 400)
+    p[:, 2] = np.where(np.arange(400) < 300, p[:, 2], 0)
+    p /= p.sum(1, keepdims=True)
+    tokens = rng.integers(1, 500, 400)
+    tight = np.clip(p, 0.1, None) / np.clip(p, 0.1, None).sum(1, keepdims=True)
+    none = p * [1, 1, 0] / (p * [1, 1, 0]).sum(1, keepdims=True)
+    for q, weights, met in ((p, {"clean": .6, "low": .2, "toxic": .2}, True),
+                            (p, {"clean": .9, "low": .08, "toxic": .02}, True),
+                            (tight, {"clean": .97, "low": .01, "toxic": .02}, False),
+                            (none, {"clean": .8, "low": .1, "toxic": .1}, False)):
+        df = spark.createDataFrame([(int(t), [float(x) for x in y]) for t, y in zip(tokens, q)],
+                                   "tokens long, p array<double>").coalesce(1)
+        got = mixing.best_rates(df, weights)
+        rate = np.array([r.r for r in df.select(mixing.rate_column(got.steps).alias("r")).collect()])
+        a = (q * tokens[:, None]).T
+        assert rate.min() >= 0 and np.allclose(got.now, a @ rate)
+        assert got.settled and (not got.unmet) == met
+        on = a.sum(1) > 0
+        half = np.linalg.cholesky(np.linalg.inv(a[on] @ q[:, on])).T
+        best = nnls(half @ a[on], half @ got.target[on])
+        assert np.abs(a @ best - a @ rate)[on].max() <= 2e-4 * tokens.sum()
+
+
 def test_mixing_query_and_edges(spark, docs, labels, edge, empty):
     out = queries.op9_mixing(spark, SF).toPandas()
     assert len(out) == docs.count() and (out.rate >= 0).all()
