@@ -12,7 +12,11 @@ when the job commits, so a lost or repeated task leaves nothing to be read.
 files whose members carry lengths; a range starts at the first member in it.
 Only the head of a member is inflated to parse its headers; predicates on the
 record type and the header columns are applied there, and a record that fails,
-or whose payload nobody wants, is skipped by its length.
+or whose payload nobody wants, is skipped by its length. Length and digest of
+the payload may be missing in the headers of other writers and are then taken
+from the payload, so predicates on them are left to Spark. The payload of a
+response is its HTTP body, of a revisit null, of any other record its block. A
+damaged or cut off record is an error.
 
 Options: ``path``; ``payload`` (``true``: return payloads, ``verify``: check
 them against their digest without returning them, ``false``: leave them
@@ -44,6 +48,8 @@ SCHEMA = ("record_id string, record_type string, target_uri string, page_id long
 _ARROW = pa.schema([("record_id", pa.string()), ("record_type", pa.string()), ("target_uri", pa.string()),
                     ("page_id", pa.int64()), ("refers_to", pa.int64()), ("payload_bytes", pa.int64()),
                     ("payload_digest", pa.string()), ("payload", pa.binary())])
+# Columns that headers may not hold; predicates on them are left to Spark.
+_FROM_PAYLOAD = ("payload_bytes", "payload_digest", "payload")
 # Fixed values of the formats.
 _VERSION = b"WARC/1.1\r\n"
 _SAME = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -188,23 +194,32 @@ class _Inflater:
         return bool(raw)
 
     def headers(self) -> bytes | None:
+        """None for an empty member, which some writers append."""
         while b"\r\n\r\n" not in self.out:
             if not self._more():
-                return None
+                if self.z.eof and not self.out.strip():
+                    return None
+                raise ValueError(f"the member at byte {self.at} has no end of its headers")
         head, _, self.out = self.out.partition(b"\r\n\r\n")
         return head
 
     def block(self, size: int) -> bytes:
         while len(self.out) < size and self._more():
             pass
+        if len(self.out) < size:
+            raise ValueError(f"the record at byte {self.at} ends after {len(self.out)} of {size} bytes")
         return self.out[:size]
 
     def end(self) -> int:
         """Where the next member starts, inflating on only if no length is known."""
         if self.known is not None:
+            if self.at + self.known > self.f.size():
+                raise ValueError(f"the member at byte {self.at} is cut off")
             return self.at + self.known
         while self._more():
             self.out = b""
+        if not self.z.eof:
+            raise ValueError(f"the member at byte {self.at} is cut off")
         return self.at + self.read - len(self.z.unused_data)
 
 
@@ -220,11 +235,13 @@ class WarcReader(DataSourceReader):
     def pushFilters(self, filters: list[Filter]):
         for f in filters:
             name = f.attribute[0] if len(getattr(f, "attribute", ())) == 1 else None
-            if isinstance(f, IsNotNull) and name and name != "payload":
+            if name is None or name in _FROM_PAYLOAD:
+                yield f
+            elif isinstance(f, IsNotNull):
                 self.tests.append((name, None))
-            elif isinstance(f, EqualTo) and name and name != "payload":
+            elif isinstance(f, EqualTo):
                 self.tests.append((name, {f.value}))
-            elif isinstance(f, In) and name and name != "payload":
+            elif isinstance(f, In):
                 self.tests.append((name, set(f.value)))
             else:
                 yield f
@@ -249,20 +266,22 @@ class WarcReader(DataSourceReader):
 
     def _fill(self, row: dict, block: bytes) -> None:
         body = block
-        if block[:5] == b"HTTP/":
+        if row["record_type"] == "response" and block[:5] == b"HTTP/":
             body = block.partition(b"\r\n\r\n")[2]
         if row["payload_bytes"] is None:
             row["payload_bytes"] = len(body)
         sha = hashlib.sha1(body).hexdigest()
         if row["payload_digest"] is None:
             row["payload_digest"] = sha
+        elif row["record_type"] == "request":
+            pass  # the header's digest is that of the HTTP body alone
         elif len(row["payload_digest"]) == 40 and (sha, len(body)) != (row["payload_digest"], row["payload_bytes"]):
             raise ValueError(f"payload of {row['record_id']} does not match its digest")
         if self.payload == "true":
             row["payload"] = body
 
     def _wants(self, row: dict) -> bool:
-        return self.payload != "false" and row["record_type"] in ("response", "resource")
+        return self.payload != "false" and row["record_type"] != "revisit"
 
     def _gzip(self, f, start: int, end: int) -> Iterator[dict]:
         at = start
@@ -286,7 +305,8 @@ class WarcReader(DataSourceReader):
             member = _Inflater(f, at, known)
             block = member.headers()
             if block is None:
-                return
+                at = member.end()
+                continue
             headers = _headers(block)
             row = _row(headers)
             if self._passes(row):
@@ -304,9 +324,13 @@ class WarcReader(DataSourceReader):
                 buffer += more
             head, mark, _ = buffer.partition(b"\r\n\r\n")
             if not mark:
+                if head.strip():
+                    raise ValueError(f"the record at byte {at} has no end of its headers")
                 return
             headers = _headers(head)
             size, body = int(headers.get("content-length", 0)), at + len(head) + 4
+            if body + size > end:
+                raise ValueError(f"the record at byte {at} ends after {end - body} of {size} bytes")
             row = _row(headers)
             if self._passes(row):
                 if self._wants(row):

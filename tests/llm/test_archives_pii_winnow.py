@@ -1,10 +1,12 @@
 """WARC round trip, PII pseudonyms, winnowing."""
 
+import base64
 import gzip
 import hashlib
 import re
 from pathlib import Path
 
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -60,6 +62,56 @@ def test_warc_plain_and_foreign_files(spark, tmp_path):
     assert sorted(r.page_id for r in got) == sorted([*range(5)] * 2) and {bytes(r.payload) for r in got} == {b"abc"}
 
 
+def _foreign(kind, block, digest=None, **more):
+    """A record as other writers make it: no payload length, seldom a payload digest."""
+    head = {"WARC-Type": kind, "WARC-Record-ID": f"<urn:uuid:{kind}>", "WARC-Date": "2024-01-01T00:00:00Z",
+            "WARC-Block-Digest": "sha1:" + "A" * 32, **more, "Content-Length": str(len(block))}
+    if digest:
+        head["WARC-Payload-Digest"] = "sha1:" + base64.b32encode(hashlib.sha1(digest).digest()).decode()
+    return b"WARC/1.0\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head.items()).encode() + b"\r\n" + block + b"\r\n\r\n"
+
+
+def test_warc_headers_of_other_writers(spark, tmp_path):
+    """Predicates keep what the unfiltered read returns; every record type has its block."""
+    get = b"GET / HTTP/1.1\r\nHost: x\r\n\r\n"
+    blocks = {"warcinfo": b"software: x\r\n", "request": get, "metadata": b"fetchTimeMs: 7\r\n",
+              "conversion": b"HTTP/1.1 is\r\n\r\na protocol", "resource": b"plain"}
+    raw = [_foreign(k, b, b"" if k == "request" else None) for k, b in blocks.items()]
+    raw.append(_foreign("response", b"HTTP/1.1 200 OK\r\nX: y\r\n\r\nbody"))
+    raw.append(_foreign("revisit", b"HTTP/1.1 200 OK\r\n\r\n", b"body"))
+    (tmp_path / "a.warc").write_bytes(b"".join(raw))
+    (tmp_path / "b.warc.gz").write_bytes(b"".join(map(gzip.compress, raw)) + gzip.compress(b""))
+    back = warc.read_archives(spark, str(tmp_path))
+    rows = back.collect()
+    want = blocks | {"response": b"body", "revisit": None}
+    assert len(rows) == 14 and all(r.payload == want[r.record_type] for r in rows)
+    assert all(r.payload_bytes == len(r.payload) for r in rows if r.payload is not None)
+    sha = hashlib.sha1(b"body").hexdigest()
+    for where, keep in (("payload_bytes > 0", lambda r: r.payload_bytes), ("payload_bytes = 4", lambda r: r.payload_bytes == 4),
+                        ("payload_bytes in (4, 5)", lambda r: r.payload_bytes in (4, 5)),
+                        (f"payload_digest = '{sha}'", lambda r: r.payload_digest == sha)):
+        n = back.where(where).count()
+        assert n == sum(1 for r in rows if keep(r)) and n > 0
+
+
+def test_warc_broken_records_are_errors(spark, tmp_path):
+    whole = _foreign("resource", bytes(range(256)) * 40)
+    rows = [{"record_type": "response", "target_uri": "u", "page_id": 1, "refers_to": None, "payload_bytes": 3,
+             "payload_digest": hashlib.sha1(b"abc").hexdigest(), "payload": b"abc"}]
+    member = warc._member(warc.record_bytes(rows[0]))
+    for i, (name, data) in enumerate([
+            ("a.warc", whole + whole[:60]), ("a.warc", whole + whole[:900]), ("a.warc.gz", gzip.compress(whole)[:-300]),
+            ("a.warc.gz", gzip.compress(whole) + gzip.compress(whole[:60])),
+            ("a.warc.gz", gzip.compress(whole) + gzip.compress(whole[:900])), ("a.warc.gz", member + member[:-4])]):
+        folder = tmp_path / str(i)
+        folder.mkdir()
+        (folder / name).write_bytes(data)
+        reader = warc.WarcReader({"path": str(folder)})
+        with pytest.raises(ValueError):
+            for part in reader.partitions():
+                list(reader.read(part))
+
+
 def test_warc_empty_table(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet").where("page_id < 0")
     assert warc.read_archives(spark, warc.write_archives(pages)).count() == 0
