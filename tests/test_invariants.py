@@ -6,7 +6,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_ORACLE, SF_SMALL
+from paths import SF_ORACLE, SF_SMALL
 from plaudit.functions.sampling import BUCKETS
 from plaudit.operators import clean as C
 from plaudit.operators import games as G

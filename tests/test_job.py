@@ -5,7 +5,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from plaudit.operators import clean as C
 from plaudit.operators import games as G
 from plaudit.plans.job import ORIGINAL_LAYOUT, outputs, run_all, shared_tables

@@ -4,7 +4,7 @@ import hashlib
 
 from pyspark.sql import functions as F
 
-from conftest import SF_ORACLE, SF_SMALL
+from paths import SF_ORACLE, SF_SMALL
 from plaudit.functions.text import STOP_WORDS
 from plaudit.operators import clean as C
 from plaudit.operators import scale as SC

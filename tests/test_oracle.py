@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_ORACLE
+from paths import SF_ORACLE
 from oracle import compare
 
 SQL = E.oracle_sql()

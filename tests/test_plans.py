@@ -6,7 +6,7 @@ import io
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from plaudit.operators import clean as C
 from plaudit.operators import games as G
 from plaudit.plans import catalog
