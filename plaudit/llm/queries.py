@@ -122,25 +122,31 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP8_SQL = r"""
 WITH u AS (
-  SELECT doc_id, coalesce(text, '') AS text,
-    unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS i,
-    unnest(string_split(coalesce(text, ''), chr(10))) AS unit FROM documents),
+  SELECT doc_id, unnest(range(1, len(parts) + 1)) AS i, unnest(parts) AS unit FROM (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^.!?。！？\n]+[.!?。！？\n]*|[.!?。！？\n]+') AS parts FROM documents)),
 d AS (
   SELECT doc_id, i, unit, length(unit) AS size,
     trim(regexp_replace(translate(unit, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
       '[ \t\r\n]+', ' ', 'g'), ' ') AS norm FROM u),
 r AS (
-  SELECT doc_id, i, unit, size, norm <> '' AND row_number() OVER (PARTITION BY md5(norm) ORDER BY doc_id, i) > 1 AS gone
-  FROM d)
-SELECT doc_id, CAST(count(*) AS INTEGER) AS n_units, CAST(count(*) FILTER (gone) AS INTEGER) AS n_removed,
-  CAST(coalesce(sum(size) FILTER (gone), 0) AS BIGINT) AS removed_chars,
-  sha256(coalesce(string_agg(unit, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
-FROM r GROUP BY doc_id
+  SELECT doc_id, i, greatest(length(norm) - length(replace(norm, ' ', '')) + 1, length(norm) // 12) AS words,
+    row_number() OVER (PARTITION BY md5(norm) ORDER BY doc_id, i) > 1 AS repeated,
+    row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k
+  FROM d WHERE norm <> ''),
+runs AS (SELECT *, k - row_number() OVER (PARTITION BY doc_id, repeated ORDER BY i) AS run FROM r),
+gone AS (
+  SELECT doc_id, i FROM runs WHERE repeated
+  QUALIFY sum(words) OVER (PARTITION BY doc_id, run) >= 25)
+SELECT x.doc_id, CAST(count(d.i) AS INTEGER) AS n_units, CAST(count(gone.i) AS INTEGER) AS n_removed,
+  CAST(coalesce(sum(d.size) FILTER (gone.i IS NOT NULL), 0) AS BIGINT) AS removed_chars,
+  sha256(coalesce(string_agg(d.unit, '' ORDER BY d.i) FILTER (gone.i IS NULL), '')) AS kept_sha256
+FROM documents x LEFT JOIN d ON d.doc_id = x.doc_id LEFT JOIN gone ON gone.doc_id = d.doc_id AND gone.i = d.i
+GROUP BY x.doc_id
 """
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines that occur earlier in the corpus are removed."""
+    """Runs of at least 25 words of sentences and lines that occur earlier are removed."""
     out = linedup.remove_repeated_lines(_table(spark, sf_dir, "documents"))
     return out.select(
         "doc_id", "n_units", "n_removed",

@@ -129,34 +129,59 @@ def test_suffix_shifted_copies_and_overfull_buckets(spark):
     check_spans(df, data, bucket_bytes=4000, bound=1500)
 
 
-def test_line_query_matches_brute_force_and_edges(spark, edge, empty):
-    seen, want = {}, {}
+def brute_lines(rows, min_words):
+    """Kept text per row; a unit ends after sentence ends and line breaks."""
     norm = lambda u: re.sub("[ \t\r\n]+", " ", re.sub("[A-Z]", lambda m: m[0].lower(), u)).strip(" ")
-    rows = [(r.doc_id if r.doc_id is not None else 1 << 62, r.text or "") for r in edge.collect()]
+    cut = lambda t: re.split(r"(?<=[.!?。！？\n])(?![.!?。！？\n])", t)
+    seen = {}
     for doc, text in rows:
-        for i, u in enumerate(text.split("\n")):
+        for i, u in enumerate(cut(text)):
             if norm(u):
                 seen[norm(u)] = min(seen.get(norm(u), (doc, i)), (doc, i))
+    out = []
     for doc, text in rows:
-        keep = [u for i, u in enumerate(text.split("\n")) if not norm(u) or seen[norm(u)] == (doc, i)]
-        want.setdefault(doc, []).append("\n".join(keep))
-    got = {}
-    for r in linedup.remove_repeated_lines(edge).collect():
-        got.setdefault(r.doc_id if r.doc_id is not None else 1 << 62, []).append(r.text)
-        assert len(r.removed) == r.n_removed
-    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+        parts = [p for p in cut(text) if p]
+        kinds = "".join("_" if not norm(u) else "x" if seen[norm(u)] != (doc, i) else "." for i, u in enumerate(parts))
+        gone = set()
+        for m in re.finditer("x[x_]*", kinds):
+            run = [i for i in range(*m.span()) if kinds[i] == "x"]
+            if sum(max(norm(parts[i]).count(" ") + 1, len(norm(parts[i])) // 12) for i in run) >= min_words:
+                gone.update(run)
+        out.append((doc, "".join(u for i, u in enumerate(parts) if i not in gone)))
+    return sorted(out)
+
+
+def test_line_query_matches_brute_force_and_edges(spark, docs, edge, empty):
+    last = 1 << 62
+    for df, words in ((edge, 1), (edge, 25), (docs, 25), (docs, 1)):
+        rows = [(r.doc_id if r.doc_id is not None else last, r.text or "") for r in df.collect()]
+        out = linedup.remove_repeated_lines(df, min_words=words).collect()
+        assert all(len(r.removed) == r.n_removed for r in out)
+        assert sorted((r.doc_id if r.doc_id is not None else last, r.text) for r in out) == brute_lines(rows, words)
     assert linedup.remove_repeated_lines(empty).count() == 0
 
 
 def test_line_offsets_point_at_the_removed_units(spark):
     df = spark.createDataFrame([(1, "Same line\nown\n\nSAME  line"), (2, "é\nsame line\nown two")], "doc_id long, text string")
     text = {r.doc_id: r.text for r in df.collect()}
-    out = {r.doc_id: r for r in linedup.remove_repeated_lines(df).collect()}
+    out = {r.doc_id: r for r in linedup.remove_repeated_lines(df, min_words=1).collect()}
     assert [text[1][x.start:x.start + x.length] for x in out[1].removed] == ["SAME  line"]
-    assert [text[2][x.start:x.start + x.length] for x in out[2].removed] == ["same line"]
+    assert [text[2][x.start:x.start + x.length] for x in out[2].removed] == ["same line\n"]
     assert out[2].text == "é\nown two"
 
 
+def test_repeats_inside_lines_and_everyday_phrases(spark):
+    """A passage that starts inside a line goes, short repeats and texts without blanks follow the run rule."""
+    passage = " ".join(f"word{i}" for i in range(20)) + ". " + " ".join(f"more{i}" for i in range(20)) + "!"
+    han = "天地玄黄宇宙洪荒日月盈昃辰宿列张" * 20 + "。"
+    rows = [(1, "Start here. " + passage + " Own end."), (2, "Another start? Yes. " + passage + "\nThat was it."),
+            (3, "Yes. Short one. Yes. "), (4, han + "甲。"), (5, "乙。" + han)]
+    got = {r.doc_id: r.text for r in linedup.remove_repeated_lines(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] == rows[0][1] and got[3] == rows[2][1] and got[4] == rows[3][1]
+    assert got[2] == "Another start? Yes.That was it." and got[5] == "乙。"
+
+
 def test_hot_line_and_hot_fingerprint(spark):
     """A third of all rows under one key."""
     rows = spark.range(3000).select(
