@@ -51,13 +51,16 @@ def no_text(col: str) -> Column:
 # --------------------------------------------------------------------------
 
 def bucket_count(rows: int) -> int:
-    """Range buckets for ``rows`` rows: about a thousand rows each, 16 to 8192 buckets."""
-    return max(16, min(8192, rows // 1000))
+    """Range buckets for ``rows`` rows: about a thousand rows each up to 8192
+    buckets, then at most 200 000 rows each."""
+    return max(16, min(8192, rows // 1000), rows // 200_000)
 
 
-def range_bucket(df: DataFrame, key: str, name: str, buckets: int, on: DataFrame | None = None) -> DataFrame:
+def range_bucket(df: DataFrame, key: str, name: str, buckets: int, on: DataFrame | None = None,
+                 no_key: Column | None = None) -> DataFrame:
     """Add ``name`` to ``on`` (default ``df``): the range bucket of the numeric
-    ``key``, ascending with it; nulls are alone in bucket -1.
+    ``key``, ascending with it. Nulls are alone in the negative buckets, spread
+    over as many by the hash ``no_key``, or in bucket -1 without one.
 
     The splitters are approximate quantiles over all rows, at most ``buckets``
     numbers, so the buckets hold about the same number of rows; rows are
@@ -68,7 +71,8 @@ def range_bucket(df: DataFrame, key: str, name: str, buckets: int, on: DataFrame
     out = (df if on is None else on).withColumn("_key", F.coalesce(F.col(key), F.lit(0)).cast("double"))
     out = Bucketizer(splits=[-float("inf"), *splits, float("inf")] if splits else [-float("inf"), 0.0, float("inf")],
                      inputCol="_key", outputCol=name).transform(out)
-    return out.withColumn(name, F.when(F.col(key).isNull(), -1).otherwise(F.col(name)).cast("int")).drop("_key")
+    null = F.lit(-1) if no_key is None else -1 - F.pmod(no_key, F.lit(buckets))
+    return out.withColumn(name, F.when(F.col(key).isNull(), null).otherwise(F.col(name)).cast("int")).drop("_key")
 
 
 def running_offset(df: DataFrame, bucket: str, order: list[Column], value: Column, name: str) -> DataFrame:

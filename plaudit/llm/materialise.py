@@ -20,6 +20,8 @@ from __future__ import annotations
 import array
 import base64
 import hashlib
+import heapq
+import re
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -52,9 +54,51 @@ class Layout:
         return 2 * self.length
 
 
-def encoding(ranks: bytes) -> tiktoken.Encoding:
-    table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
-    return tiktoken.Encoding("file", pat_str=SPLIT_PATTERN, mergeable_ranks=table, special_tokens={})
+def token_ranks(vocabulary: bytes) -> dict[bytes, int]:
+    return {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
+
+
+def encoding(vocabulary: bytes) -> tiktoken.Encoding:
+    return tiktoken.Encoding("file", pat_str=SPLIT_PATTERN, mergeable_ranks=token_ranks(vocabulary), special_tokens={})
+
+
+# Runs of white space that the pre-split pattern can't match in its bounded stack.
+_LONG_SPACE = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]{20000,}")
+
+
+def merge_runs(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Token ids of one pre-split piece by the merge rules: the pair of lowest
+    rank, the leftmost of equal ones, is merged first. A heap over a linked
+    list, so time is n log n in the piece's length."""
+    left, right = list(range(-1, len(piece) - 1)), list(range(1, len(piece) + 1))
+    part = [piece[i:i + 1] for i in range(len(piece))]
+    heap = [(ranks[p], i, 2) for i in range(len(piece) - 1) if (p := piece[i:i + 2]) in ranks]
+    heapq.heapify(heap)
+    while heap:
+        _, i, size = heapq.heappop(heap)
+        j = right[i]
+        if not part[i] or j == len(piece) or len(part[i]) + len(part[j]) != size:
+            continue  # one of the two has been merged since
+        part[i], part[j], right[i] = part[i] + part[j], b"", right[j]
+        if right[i] < len(piece):
+            left[right[i]] = i
+        for a, b in ((left[i], i), (i, right[i])):
+            if a >= 0 and b < len(piece) and (whole := part[a] + part[b]) in ranks:
+                heapq.heappush(heap, (ranks[whole], a, len(whole)))
+    return [ranks[p] for p in part if p]
+
+
+def encode(enc: tiktoken.Encoding, ranks: dict[bytes, int], text: str) -> list[int]:
+    """Token ids of a whole text. The pattern takes a run of white space as one
+    piece, without its last sign where a word follows; long runs are cut out
+    at just these places and merged apart, so the ids are those of the text."""
+    ids, at = [], 0
+    for run in _LONG_SPACE.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        ids += enc.encode_ordinary(text[at:run.start()])
+        ids += merge_runs(text[run.start():end].encode(), ranks)
+        at = end
+    return ids + enc.encode_ordinary(text[at:])
 
 
 # --------------------------------------------------------------------------
@@ -109,14 +153,14 @@ def tokenise(docs: DataFrame, vocabulary: str = VOCABULARY, text: str = "text",
     uint16 under zstandard. Null and empty texts have the end id alone. The
     vocabulary file is read on the driver and sent to the tasks."""
     with open(vocabulary, "rb") as f:
-        ranks = f.read()
+        body = f.read()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, pack = encoding(ranks), zstandard.ZstdCompressor(level=3)
+        enc, ranks, pack = encoding(body), token_ranks(body), zstandard.ZstdCompressor(level=3)
         for batch in batches:
             sizes, blobs = [], []
             for t in batch.column(1):
-                ids = array.array("H", enc.encode_ordinary(t.as_py()))
+                ids = array.array("H", encode(enc, ranks, t.as_py()))
                 ids.append(END_OF_TEXT)
                 sizes.append(len(ids))
                 blobs.append(pack.compress(ids.tobytes()))
@@ -135,11 +179,10 @@ def _chunker(target: int = 1 << 17):
         """Rows in (bucket, doc_id) order to chunks of about ``target`` tokens
         with their start in the bucket's stream. A document may span chunks."""
         pack, unpack = zstandard.ZstdCompressor(level=6), zstandard.ZstdDecompressor()
-        now, start, parts, ids, sizes = None, 0, [], [], []
+        now, start, held, parts, ids, sizes = None, 0, 0, [], [], []
 
         def flush() -> pa.RecordBatch:
-            n = sum(sizes)
-            row = {"bucket": now, "start": start, "n": n, "blob": pack.compress(b"".join(parts)),
+            row = {"bucket": now, "start": start, "n": held, "blob": pack.compress(b"".join(parts)),
                    "ids": list(ids), "sizes": list(sizes)}
             return pa.RecordBatch.from_pylist([row], schema=pa.schema(
                 [("bucket", pa.int32()), ("start", pa.int64()), ("n", pa.int64()), ("blob", pa.binary()),
@@ -150,17 +193,17 @@ def _chunker(target: int = 1 << 17):
                 if bucket != now:
                     if sizes:
                         yield flush()
-                    now, start, parts, ids, sizes = bucket, 0, [], [], []
+                    now, start, held, parts, ids, sizes = bucket, 0, 0, [], [], []
                 raw = unpack.decompress(blob)
                 for at in range(0, len(raw), 2 * target):
                     piece = raw[at:at + 2 * target]
                     parts.append(piece)
                     ids.append(doc)
                     sizes.append(len(piece) // 2)
-                    if sum(sizes) >= target:
+                    held += len(piece) // 2
+                    if held >= target:
                         yield flush()
-                        start += sum(sizes)
-                        parts, ids, sizes = [], [], []
+                        start, held, parts, ids, sizes = start + held, 0, [], [], []
         if sizes:
             yield flush()
     return run
@@ -172,7 +215,8 @@ def stream_chunks(docs: DataFrame, vocabulary: str = VOCABULARY, text: str = "te
     tokens = tokenise(docs, vocabulary, text, id_col)
     # splitters from the id column alone, so that texts are tokenised once
     ids = docs.select(F.col(id_col).cast("long").alias("doc_id"))
-    dealt = range_bucket(ids, "doc_id", "bucket", buckets or bucket_count(docs.count()), on=tokens)
+    dealt = range_bucket(ids, "doc_id", "bucket", buckets or bucket_count(docs.count()), on=tokens,
+                         no_key=F.xxhash64("blob"))
     return cut(dealt.repartition("bucket").sortWithinPartitions("bucket", F.col("doc_id"), "blob")
                .select("bucket", "doc_id", "blob").mapInArrow(_chunker(), _CHUNK), "token-chunks")
 
@@ -278,10 +322,14 @@ def materialise(docs: DataFrame, folder: str | None = None, vocabulary: str = VO
     for r in totals:
         base[r["bucket"]] = total
         total += r["n"]
-    perm = Permutation(-(-total // layout.length), layout.key)
+    count = -(-total // layout.length)
+    perm = Permutation(count, layout.key)
     pieces = chunks.mapInArrow(_pieces(layout, base, perm), "slot long, seq long, at int, blob binary, ids array<long>")
-    shard: Column = F.floor(F.col("slot") / layout.per_shard)
-    return cut(pieces.repartition(shard).sortWithinPartitions("slot", "at")
+    # shards go to the tasks in ranges, 16 a task or enough for every core
+    shards = -(-count // layout.per_shard)
+    tasks = max(1, min(shards, max(int(spark.conf.get("spark.sql.shuffle.partitions")), shards // 16)))
+    task: Column = F.floor(F.floor(F.col("slot") / layout.per_shard) * tasks / max(1, shards)).cast("int")
+    return cut(pieces.repartitionById(tasks, task).sortWithinPartitions("slot", "at")
                .mapInArrow(_writer(layout, folder), _MANIFEST), "manifest").withColumn("folder", F.lit(folder))
 
 

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bucket_count, no_text, range_bucket
+from .common import bucket_count, cut, no_text, range_bucket
 
 _LOW = (1 << 24) - 1
 
@@ -97,15 +97,18 @@ def likeness(a: str, b: str) -> Column:
     return F.when(any_ == 0, F.lit(1.0)).otherwise(both / any_)
 
 
-def _first_of_next(rows: DataFrame) -> DataFrame:
+def _first_of_next(rows: DataFrame, gram: int, window: int) -> DataFrame:
     """(_b, _over): for each bucket the first row of the next lower one, the
-    topmost after the lowest. One row a bucket."""
-    top = (rows.groupBy("_b").agg(
-        F.max_by(F.struct("text", "fp"), F.struct(F.col("doc_id"), -F.xxhash64("text").cast("decimal(20,0)")))
-        .alias("_first")))
+    topmost after the lowest. The first row of a bucket is chosen by its id,
+    and only these are fingerprinted; the order of the buckets is that of
+    their numbers, without texts."""
+    first = (rows.groupBy("_b").agg(
+        F.max_by("text", F.struct(F.col("doc_id"), -F.xxhash64("text").cast("decimal(20,0)"))).alias("text")))
+    heads = cut(with_fingerprint(first, "text", "fp", gram, window), "bucket-heads")
     order = Window.orderBy(F.col("_b").desc())
-    whole = Window.orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return top.select("_b", F.coalesce(F.lead("_first").over(order), F.first("_first").over(whole)).alias("_over"))
+    follows = heads.select("_b", F.coalesce(
+        F.lead("_b").over(order), heads.agg(F.max("_b")).scalar()).alias("_n"))
+    return follows.join(heads.select(F.col("_b").alias("_n"), F.struct("text", "fp").alias("_over")), "_n").select("_b", "_over")
 
 
 def fingerprint_edits(docs: DataFrame, text: str = "text", id_col: str = "doc_id", gram: int = 5, window: int = 8,
@@ -119,13 +122,13 @@ def fingerprint_edits(docs: DataFrame, text: str = "text", id_col: str = "doc_id
     text, rows without an id come last. The order is cut into range buckets: a
     window looks one row ahead inside a bucket, and one row a bucket hands the
     first row of the next bucket over."""
-    rows = with_fingerprint(docs.select(F.col(id_col).cast("long").alias("doc_id"), no_text(text).alias("text")),
-                            "text", "fp", gram, window)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), no_text(text).alias("text"))
     ids = docs.select(F.col(id_col).cast("long").alias("doc_id"))
-    rows = range_bucket(ids, "doc_id", "_b", buckets or bucket_count(docs.count()), on=rows)
+    rows = range_bucket(ids, "doc_id", "_b", buckets or bucket_count(docs.count()), on=rows,
+                        no_key=F.xxhash64("text"))
     ahead = Window.partitionBy("_b").orderBy(F.col("doc_id").desc_nulls_last(), F.xxhash64("text"))
-    seen = rows.withColumn("_next", F.lead(F.struct("text", "fp")).over(ahead))
-    seen = (seen.join(_first_of_next(rows), "_b", "left")
+    seen = with_fingerprint(rows, "text", "fp", gram, window).withColumn("_next", F.lead(F.struct("text", "fp")).over(ahead))
+    seen = (seen.join(_first_of_next(rows, gram, window), "_b", "left")
             .withColumn("_next", F.coalesce("_next", "_over")))
     third = F.floor(F.length("text") / 3).cast("int")
     seen = seen.select(
