@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import no_text
+from .common import cut, no_text
 
 
 @dataclass(frozen=True)
@@ -92,22 +92,22 @@ def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 1e-3,
 def _sample(docs: DataFrame, labels: DataFrame, label: str, text: str, id_col: str,
             bounds: SampleBounds, seed: int) -> tuple[dict[int, list[bytes]], dict[int, int]]:
     """Texts of the sampled rows by label, in hash order, and the number of
-    usable labelled ids. Ids labelled both ways teach nothing and are left out."""
-    usable = (labels.select(F.col(id_col).cast("long").alias("id"), F.col(label).cast("int").alias("y"))
-              .where("id is not null and y in (0, 1)").where(~held_out("id"))
-              .groupBy("id").agg(F.min("y").alias("y"), F.max("y").alias("y2")).where("y = y2")
-              .select("id", "y", F.xxhash64("id", F.lit(seed)).alias("h")))
-    counts = {r["y"]: r["count"] for r in usable.groupBy("y").count().collect()}  # two rows
-    # twice as many ids as needed, as long texts and missing documents fall out
-    picks = [usable.where(F.col("y") == y).orderBy("h", "id").limit(2 * bounds.per_class) for y in (0, 1)]
+    usable labelled ids: those that ``docs`` holds with a text of 1 to
+    ``max_bytes`` bytes. Ids labelled both ways teach nothing and are left out."""
     texts = (docs.select(F.col(id_col).cast("long").alias("id"), no_text(text).cast("binary").alias("t"))
-             .where(F.length("t").between(1, bounds.max_bytes))
-             .join(F.broadcast(picks[0].unionByName(picks[1])), "id")
-             .groupBy("id", "y", "h").agg(F.min("t").alias("t")))
+             .where(F.length("t").between(1, bounds.max_bytes)))
+    usable = cut(labels.select(F.col(id_col).cast("long").alias("id"), F.col(label).cast("int").alias("y"))
+                 .where("id is not null and y in (0, 1)").where(~held_out("id"))
+                 .groupBy("id").agg(F.min("y").alias("y"), F.max("y").alias("y2")).where("y = y2")
+                 .join(texts.select("id"), "id", "left_semi")
+                 .select("id", "y", F.xxhash64("id", F.lit(seed)).alias("h")), "quality-labels")
+    counts = {r["y"]: r["count"] for r in usable.groupBy("y").count().collect()}  # two rows
+    picks = [usable.where(F.col("y") == y).orderBy("h", "id").limit(bounds.per_class) for y in (0, 1)]
+    rows = (texts.join(F.broadcast(picks[0].unionByName(picks[1])), "id")
+            .groupBy("id", "y", "h").agg(F.min("t").alias("t")).collect())  # per_class rows a label at most
     found: dict[int, list[bytes]] = {0: [], 1: []}
-    for y in (0, 1):
-        rows = texts.where(F.col("y") == y).orderBy("h", "id").limit(bounds.per_class).select("t").collect()
-        found[y] = [bytes(r["t"]) for r in rows]
+    for r in sorted(rows, key=lambda r: (r["h"], r["id"])):
+        found[r["y"]].append(bytes(r["t"]))
     return found, counts
 
 
