@@ -6,13 +6,17 @@ token totals ``sum_d r_d * tokens_d * p_dk`` meet the targets of the domains:
 
     minimise 1/2 (A r - t)' M (A r - t),  r >= 0,   A_kd = tokens_d * p_dk
 
-Of the rates that reach the minimum those nearest to 1 are taken (squared
-distance weighted by tokens), as the limit of a small weight ``ridge`` on the
-distance. They have the form ``r_d = max(0, 1 + p_d . s)`` with one number a
-domain in s, found by Newton steps on the convex dual in s; a step is one
-global sum over the documents, and the state is s alone. Any s whose products
-with all posteriors are at most 0 bounds the minimum from below, which tells
-how far the totals can be from the best ones.
+by projected gradient steps from rate 1. M is the inverse Gram matrix of the
+domains, so the gradient of a document is ``p_d . M (A r - t)`` and a step size
+of 1 is safe. A pass is one global sum over the documents; it tries longer
+steps, and steps scaled by the Gram matrix of the documents with a positive
+rate, and takes the best. Only k numbers a step are kept on the driver, and the
+rates so far are written to the shared folder every few steps.
+
+Any s whose products with all posteriors are at most 0 bounds the minimum from
+below, which tells how far the totals can be from the best ones, and ends the
+steps. Targets far out of reach press nearly all rates to 0, where gradient
+steps crawl; the minimum is then finished by Newton steps on the dual.
 """
 
 from __future__ import annotations
@@ -118,13 +122,14 @@ def fit_domains(docs: DataFrame, labels: DataFrame, text: str = "text", id_col:
     return DomainModel(pipeline=model)
 
 
-def rate_column(steps: list[np.ndarray], p: str = "p") -> Column:
-    """Rate of a document from its posteriors: 1, then a clipped step each."""
-    k = len(DOMAINS)
+def rate_column(steps: list[np.ndarray], p: str = "p", start: Column | None = None) -> Column:
+    """Rate of a document from its posteriors: ``start`` (default 1), then a
+    clipped step each."""
+    k, start = len(DOMAINS), F.lit(1.0) if start is None else start
     if not steps:
-        return F.lit(1.0)
+        return start
     path = F.array(*[F.array(*[F.lit(float(x)) for x in s]) for s in steps])
-    return F.aggregate(path, F.lit(1.0), lambda r, s: F.greatest(
+    return F.aggregate(path, start, lambda r, s: F.greatest(
         F.lit(0.0), r + sum((F.col(p)[i] * s[i] for i in range(1, k)), F.col(p)[0] * s[0])))
 
 
@@ -175,26 +180,6 @@ def _aim(members: DataFrame, weights: dict[str, float], budget: float | None, ke
     return _Aim(now, target, there, gram, metric)
 
 
-def fit_rates(members: DataFrame, weights: dict[str, float], budget: float | None = None,
-              keep: str | None = None, surplus: float = 1.0, max_steps: int = 60,
-              tolerance: float = 1e-4) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Step vectors of the plain projected gradient from rate 1, expected totals
-    reached and targets for ``members`` (tokens, p). Ends when every target is
-    met within ``tolerance`` of the total or after ``max_steps``; it is slow
-    where rates are clipped, see ``best_rates``."""
-    aim, mass = _aim(members, weights, budget, keep, surplus), _masses()
-    steps: list[np.ndarray] = []
-    now = aim.now
-    while aim.total > 0 and len(steps) < max_steps:
-        off = (aim.target - now) * aim.there
-        if np.abs(off).max() <= tolerance * aim.total:
-            break
-        steps.append(aim.metric @ off)
-        sums = members.agg(*[F.sum(m * rate_column(steps)).alias(f"a{i}") for i, m in enumerate(mass)]).first()
-        now = np.array([sums[f"a{i}"] for i in range(len(mass))])
-    return steps, now, aim.target
-
-
 @dataclass
 class _Point:
     """What one pass tells about ``s``: totals, Gram matrix of the documents
@@ -206,20 +191,29 @@ class _Point:
     most: float
 
 
-def _points(members: DataFrame, tries: list[np.ndarray]) -> list[_Point]:
-    k, mass, found = len(DOMAINS), _masses(), []
+def _along(s: np.ndarray) -> Column:
+    """p . s of a document with tokens."""
+    return F.when(F.col("tokens") > 0, sum((F.col("p")[i] * float(s[i]) for i in range(1, len(DOMAINS))),
+                                           F.col("p")[0] * float(s[0])))
+
+
+def _points(members: DataFrame, tries: list[np.ndarray], before: Column | None = None,
+            beside: np.ndarray | None = None) -> tuple[list[_Point], float]:
+    """One pass: each of ``tries`` as a step from the rates ``before`` (default
+    1), and the largest p . ``beside``."""
+    k, mass = len(DOMAINS), _masses()
+    found = [F.max(_along(tries[0] if beside is None else beside)).alias("beside")]
     for n, s in enumerate(tries):
-        rate = rate_column([s])
+        rate = rate_column([s], start=before)
         found += [*[F.sum(m * rate).alias(f"a{n}_{i}") for i, m in enumerate(mass)],
                   *[F.sum(F.when(rate > 0, mass[i] * F.col("p")[j]).otherwise(0.0)).alias(f"g{n}_{i}_{j}")
                     for i in range(k) for j in range(i, k)],
                   F.sum(F.col("tokens") * rate * rate).alias(f"q{n}"),
-                  F.max(F.when(F.col("tokens") > 0, sum((F.col("p")[i] * float(s[i]) for i in range(1, k)),
-                                                        F.col("p")[0] * float(s[0])))).alias(f"m{n}")]
+                  F.max(_along(s)).alias(f"m{n}")]
     row = members.agg(*found).first()
     return [_Point(s, np.array([row[f"a{n}_{i}"] for i in range(k)]),
                    np.array([[row[f"g{n}_{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)]),
-                   row[f"q{n}"], row[f"m{n}"]) for n, s in enumerate(tries)]
+                   row[f"q{n}"], row[f"m{n}"]) for n, s in enumerate(tries)], row["beside"]
 
 
 @dataclass
@@ -235,51 +229,96 @@ class Rates:
     settled: bool
 
 
-def best_rates(members: DataFrame, weights: dict[str, float], budget: float | None = None, keep: str | None = None,
-               surplus: float = 1.0, tolerance: float = 1e-4, max_passes: int = 100) -> Rates:
+def fit_rates(members: DataFrame, weights: dict[str, float], budget: float | None = None, keep: str | None = None,
+              surplus: float = 1.0, tolerance: float = 1e-4, max_steps: int = 24, rewrite: int = 6) -> Rates:
     """Rates for ``members`` (tokens, p) whose totals are within ``tolerance``
     of the total of the targets (those of ``_aim``), or, out of reach, of the
-    totals at the minimum of the objective; unmet targets are logged.
+    totals at the minimum of the objective; unmet targets are logged too.
 
-    The ridge is lowered until that holds. Each Newton step tries four lengths
-    in its pass and takes the one with the lowest dual value."""
+    Projected gradient from rate 1; ``max_steps`` without an end go on in
+    ``_finish``. The rates are written every ``rewrite`` steps, so that a pass
+    evaluates few of them."""
     aim = _aim(members, weights, budget, keep, surplus)
-    steps, now, settled = [], aim.now, True
-    if aim.total > 0:
-        on = np.ix_(aim.there, aim.there)
-        within = tolerance * aim.total
-        ridge, at, passes = 1e-4, _points(members, [np.zeros(len(DOMAINS))])[0], 1
-
-        def value(x: _Point) -> float:
-            return x.square / 2 + ridge * (x.s @ aim.gram @ x.s) / 2 - aim.target @ x.s
-
-        def best(x: _Point) -> bool:
-            off = (aim.target - x.now) * aim.there
-            if np.abs(off).max() <= within:
-                return True
-            low = np.where(aim.there, ridge * (x.s - max(0.0, x.most)), 0.0)  # p . low <= 0 for every document
-            gap = (off @ aim.metric @ off) / 2 - (low @ aim.target - low @ aim.gram @ low / 2)
-            return np.sqrt(2 * max(0.0, gap) * np.diag(aim.gram).max()) <= within
-
-        while not (settled := best(at)) and passes < max_passes:
-            slope = (at.now + ridge * (aim.gram @ at.s) - aim.target) * aim.there
-            move = np.zeros(len(DOMAINS))
-            move[aim.there] = -np.linalg.solve((at.active + ridge * aim.gram)[on], slope[aim.there])
-            new = min(_points(members, [at.s + f * move for f in (1.0, 0.3, 0.1, 0.01)]), key=value)
-            passes += 1
-            flat = value(at) - value(new) <= 1e-12 * abs(value(at))
-            at = at if value(new) > value(at) else new
-            if flat or np.abs((at.now + ridge * (aim.gram @ at.s) - aim.target) * aim.there).max() <= within / 100:
-                if not (settled := best(at)):
-                    ridge /= 10
-        steps, now = [at.s] if at.s.any() else [], at.now
+    within, on = tolerance * aim.total, np.ix_(aim.there, aim.there)
+    steps, recent, now, active, length, floor = [], [], aim.now, aim.gram, 1.0, 0.0
+    state, start = members.select("tokens", "p"), None
+
+    def loss(totals: np.ndarray) -> float:
+        off = (aim.target - totals) * aim.there
+        return off @ aim.metric @ off / 2
+
+    def done() -> bool:
+        if np.abs((aim.target - now) * aim.there).max() <= within:
+            return True
+        return np.sqrt(2 * max(0.0, loss(now) - floor) * np.diag(aim.gram).max()) <= within
+
+    settled = aim.total <= 0 or done()
+    while not settled and len(steps) < max_steps:
+        off = (aim.target - now) * aim.there
+        slope, scaled = aim.metric @ off, np.zeros(len(DOMAINS))
+        scaled[aim.there] = np.linalg.solve(
+            active[on] + 1e-9 * np.trace(active) * np.eye(aim.there.sum()), off[aim.there])
+        tries = [slope * length * f for f in (1, 4, 16)] + [scaled * f for f in (1, 0.3, 0.05)]
+        found, most = _points(state, tries, rate_column(recent, start=start), slope)
+        low = np.where(aim.there, slope - max(0.0, most), 0.0)  # p . low <= 0 for every document
+        floor = max(floor, low @ aim.target - low @ aim.gram @ low / 2)
+        best = min(range(len(tries)), key=lambda i: loss(found[i].now))
+        if loss(found[best].now) >= loss(now):
+            if settled := done():  # by the new bound
+                break
+            length /= 16
+            if length < 1e-6:
+                break
+            continue
+        length *= (0.5, 2, 8)[best] if best < 3 else 1
+        steps.append(tries[best])
+        recent.append(tries[best])
+        now, active = found[best].now, found[best].active
+        settled = done()
+        if len(recent) == rewrite and not settled:
+            state = cut(state.select("tokens", "p", rate_column(recent, start=start).alias("r")), "rates")
+            recent, start = [], F.col("r")
+    if not settled:
+        steps, now, settled = _finish(members, aim, within)
     off = aim.target - now
-    unmet = {d: float(x) for d, x in zip(DOMAINS, off) if abs(x) > tolerance * aim.total}
+    unmet = {d: float(x) for d, x in zip(DOMAINS, off) if abs(x) > within}
     if unmet or not settled:
-        logging.getLogger(__name__).warning(
-            "mixing targets %s, tokens missing (negative: too many): %s",
-            "out of reach" if settled else "not reached in %d passes" % max_passes, unmet)
-    return Rates(steps, now, aim.target, unmet, settled)
+        logging.getLogger(__name__).warning("mixing targets %s, tokens missing (negative: too many): %s",
+                                            "out of reach" if settled else "not reached", unmet)
+    return Rates(steps, now, aim.target, unmet, bool(settled))
+
+
+def _finish(members: DataFrame, aim: _Aim, within: float, max_passes: int = 100) -> tuple[list[np.ndarray], np.ndarray, bool]:
+    """(steps, totals, settled): the minimum as the limit of a small weight
+    ``ridge`` on the distance of the rates from 1. They have the form
+    ``r_d = max(0, 1 + p_d . s)``, found by Newton steps on the convex dual in
+    s; each pass tries four lengths."""
+    on = np.ix_(aim.there, aim.there)
+    ridge, at, passes = 1e-4, _points(members, [np.zeros(len(DOMAINS))])[0][0], 1
+
+    def value(x: _Point) -> float:
+        return x.square / 2 + ridge * (x.s @ aim.gram @ x.s) / 2 - aim.target @ x.s
+
+    def best(x: _Point) -> bool:
+        off = (aim.target - x.now) * aim.there
+        if np.abs(off).max() <= within:
+            return True
+        low = np.where(aim.there, ridge * (x.s - max(0.0, x.most)), 0.0)  # p . low <= 0 for every document
+        gap = (off @ aim.metric @ off) / 2 - (low @ aim.target - low @ aim.gram @ low / 2)
+        return np.sqrt(2 * max(0.0, gap) * np.diag(aim.gram).max()) <= within
+
+    while not (settled := best(at)) and passes < max_passes:
+        slope = (at.now + ridge * (aim.gram @ at.s) - aim.target) * aim.there
+        move = np.zeros(len(DOMAINS))
+        move[aim.there] = -np.linalg.solve((at.active + ridge * aim.gram)[on], slope[aim.there])
+        new = min(_points(members, [at.s + f * move for f in (1.0, 0.3, 0.1, 0.01)])[0], key=value)
+        passes += 1
+        flat = value(at) - value(new) <= 1e-12 * abs(value(at))
+        at = at if value(new) > value(at) else new
+        if flat or np.abs((at.now + ridge * (aim.gram @ at.s) - aim.target) * aim.there).max() <= within / 100:
+            if not (settled := best(at)):
+                ridge /= 10
+    return [at.s] if at.s.any() else [], at.now, settled
 
 
 def copies_column(rate: Column, key: list[Column], seed: int = 5) -> Column:
@@ -297,7 +336,7 @@ def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float], text: str
     members = cut(model.apply(docs, text).select(
         F.col(f"{_ROW}.`{id_col}`").alias("doc_id"),
         F.xxhash64(F.col(f"{_ROW}.`{text}`")).alias("h"), "tokens", "p"), "members")
-    steps = best_rates(members, weights, budget, keep, surplus).steps
+    steps = fit_rates(members.select("tokens", "p"), weights, budget, keep, surplus).steps
     return (members.withColumn("rate", rate_column(steps))
             .withColumn("copies", copies_column(F.col("rate"), [F.col("doc_id"), F.col("h")]))
             .select("doc_id", "tokens", *[F.col("p")[i].alias(f"p_{d}") for i, d in enumerate(DOMAINS)],
@@ -309,8 +348,9 @@ def mixed_documents(docs: DataFrame, labels: DataFrame, weights: dict[str, float
                     surplus: float = 1.0) -> DataFrame:
     """The rows of ``docs``, each as often as its ``copies`` say."""
     model = fit_domains(docs, labels, text, id_col)
-    members = model.apply(docs, text)
-    steps = best_rates(cut(members.select("tokens", "p"), "members"), weights, budget, keep, surplus).steps
-    copies = copies_column(rate_column(steps), [F.col(f"{_ROW}.`{id_col}`"), F.xxhash64(F.col(f"{_ROW}.`{text}`"))])
+    # the rows are written with their posteriors: the classifier runs once
+    members = cut(model.apply(docs, text).withColumn("h", F.xxhash64(F.col(f"{_ROW}.`{text}`"))), "members")
+    steps = fit_rates(members.select("tokens", "p"), weights, budget, keep, surplus).steps
+    copies = copies_column(rate_column(steps), [F.col(f"{_ROW}.`{id_col}`"), F.col("h")])
     return (members.withColumn("_n", copies).where("_n > 0")
             .withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(f"{_ROW}.*"))

@@ -1,5 +1,6 @@
 """Quality, decontamination, mixing, materialisation and the pipeline."""
 
+import hashlib
 import re
 import zlib
 
@@ -42,6 +43,13 @@ def test_quality_edges(spark, docs, labels, edge, empty):
     assert quality.fit(docs, labels.unionByName(labels)) == model
 
 
+def test_quality_learns_from_the_documents_that_are_there(spark, docs, labels):
+    """Labels without a document neither fill the bound nor move the prior."""
+    ghosts = spark.range(10**6, 10**6 + 3000).select(F.col("id").alias("doc_id"), F.lit(0).alias("quality"), F.lit(0).alias("toxic"))
+    bounds = quality.SampleBounds(per_class=40)
+    assert quality.fit(docs, labels.unionByName(ghosts), bounds=bounds) == quality.fit(docs, labels, bounds=bounds)
+
+
 def _words(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
 
@@ -92,30 +100,6 @@ def test_decontamination_query(spark, docs, benchmark):
         assert (r.n_words, r.n_hit, r.n_items, r.contaminated) == (n, len(hits), len(items), bool(hits))
 
 
-def test_rates_meet_targets(spark):
-    """Against numpy on the same members: targets within reach are met, targets
-    that need clipping are approached by the same projected gradient."""
-    rng = np.random.default_rng(2)
-    p = rng.dirichlet([3, 1, 1], 400)
-    tokens = rng.integers(1, 500, 400)
-    df = spark.createDataFrame([(int(t), [float(x) for x in q]) for t, q in zip(tokens, p)],
-                               "tokens long, p array<double>").coalesce(1)
-    a = (p * tokens[:, None]).T
-    metric = np.linalg.inv(a @ p)
-    for weights, met in (({"clean": .6, "low": .2, "toxic": .2}, True), ({"clean": .9, "low": .08, "toxic": .02}, False)):
-        steps, now, target = mixing.fit_rates(df, weights, max_steps=12)
-        rate, loss = np.ones(400), []
-        for s in steps:
-            off = target - a @ rate
-            loss.append(off @ metric @ off)
-            assert np.allclose(s, metric @ off, rtol=1e-3, atol=1e-6)
-            rate = np.maximum(0, rate + p @ s)
-        off = target - a @ rate
-        assert np.allclose(now, a @ rate) and rate.min() >= 0
-        assert (np.diff([*loss, off @ metric @ off]) < 0).all()
-        assert (np.abs(off).max() <= 1e-4 * tokens.sum()) == met and (rate.min() == 0) == (not met)
-
-
 def nnls(a, b):
     """Lawson and Hanson's active set method."""
     x, on = np.zeros(a.shape[1]), np.zeros(a.shape[1], bool)
@@ -133,7 +117,7 @@ def nnls(a, b):
     return x
 
 
-def test_best_rates_against_nnls(spark):
+def test_rates_against_nnls(spark):
     """Within reach, with clipping, out of reach, a domain without mass: the
     objective is that of the nonnegative optimum."""
     rng = np.random.default_rng(2)
@@ -149,7 +133,7 @@ def test_best_rates_against_nnls(spark):
                             (none, {"clean": .8, "low": .1, "toxic": .1}, False)):
         df = spark.createDataFrame([(int(t), [float(x) for x in y]) for t, y in zip(tokens, q)],
                                    "tokens long, p array<double>").coalesce(1)
-        got = mixing.best_rates(df, weights)
+        got = mixing.fit_rates(df, weights)
         rate = np.array([r.r for r in df.select(mixing.rate_column(got.steps).alias("r")).collect()])
         a = (q * tokens[:, None]).T
         assert rate.min() >= 0 and np.allclose(got.now, a @ rate)
@@ -211,14 +195,51 @@ def test_permutation():
     assert (materialise.Permutation(4097, b"a").slots(x) != materialise.Permutation(4097, b"b").slots(x)).any()
 
 
+def slow_slot(seq, n, key, rounds=8):
+    """The keyed permutation in plain integers: Feistel rounds, walked into 0 .. n-1."""
+    half = max(1, (max(n - 1, 1).bit_length() + 1) // 2)
+    keys = [int.from_bytes(hashlib.sha256(key + bytes([i])).digest()[:8], "little") for i in range(rounds)]
+    low, full = (1 << half) - 1, (1 << 64) - 1
+    while True:
+        a, b = seq >> half, seq & low
+        for k in keys:
+            x = b ^ k
+            x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & full
+            x = (x ^ x >> 27) * 0x94D049BB133111EB & full
+            a, b = b, a ^ ((x ^ x >> 31) & low)
+        seq = a << half | b
+        if seq < n:
+            return seq
+
+
+def test_long_white_space_encodes_like_the_whole_text():
+    body = open(materialise.VOCABULARY, "rb").read()
+    enc, ranks = materialise.encoding(body), materialise.token_ranks(body)
+    for text in (" " * 60000 + "x", "a" + " \n" * 30000, "\n" * 40000 + "a b", "k" + "\t" * 25000 + " ", "a" + " " * 30001 + "b"):
+        assert materialise.encode(enc, ranks, text) == enc.encode_ordinary(text)
+
+
+def test_many_empty_documents_and_many_without_an_id(spark):
+    import time
+    t0 = time.time()
+    m = materialise.materialise(spark.range(200000).select(F.col("id").alias("doc_id"), F.lit("").alias("text")), buckets=2)
+    assert m.agg(F.sum("n_tokens")).first()[0] == 200000 and time.time() - t0 < 60
+    rows = spark.range(5000).select(F.lit(None).cast("long").alias("doc_id"), F.md5(F.col("id").cast("string")).alias("text"))
+    chunks = materialise.stream_chunks(rows, buckets=16)
+    assert chunks.select("bucket").distinct().count() == 16 and chunks.agg(F.sum(F.size("sizes"))).first()[0] == 5000
+
+
 def test_materialise_round_trip(spark, edge):
     """The shards hold the documents' tokens in id order, whatever the layout."""
     layout = materialise.Layout(length=64, per_shard=10)
+    edge = edge.unionByName(edge.where("doc_id = 5").withColumns(
+        {"doc_id": F.lit(90).cast("long"), "text": F.expr("concat(repeat(' ', 2000000), 'end', repeat('\\n', 2000000))")}))
     enc = materialise.encoding(open(materialise.VOCABULARY, "rb").read())
     digests = []
     for buckets, parts in ((1, 1), (5, 3)):
         m = materialise.materialise(edge.repartition(parts), layout=layout, buckets=buckets).toPandas().sort_values("sequence")
         assert sorted(m.slot) == list(range(len(m)))
+        assert [slow_slot(s, len(m), layout.key) for s in m.sequence] == list(m.slot)
         assert (m.byte_offset == m.slot % 10 * 128).all() and (m.shard == m.slot // 10).all()
         tokens = {r.slot: r.tokens for r in materialise.read_slots(spark, m.folder.iloc[0], 0, len(m), layout).collect()}
         stream = [t for s in m.slot for t in tokens[s]]
