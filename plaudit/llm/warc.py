@@ -41,7 +41,7 @@ from pyspark.sql.datasource import (
     DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, In, InputPartition, IsNotNull,
     WriterCommitMessage)
 
-from .common import scratch_path
+from .common import cut, scratch_path
 
 SCHEMA = ("record_id string, record_type string, target_uri string, page_id long, refers_to long, "
           "payload_bytes long, payload_digest string, payload binary")
@@ -175,11 +175,12 @@ def _row(h: dict[str, str]) -> dict:
 
 
 class _Inflater:
-    """A gzip member read in two steps: first its headers, then the rest."""
+    """A gzip member read in steps: the headers of a record, its block, the
+    next record, without inflating more than is asked for."""
 
     def __init__(self, f, at: int, known: int | None):
         self.f, self.at, self.known = f, at, known
-        self.z, self.out, self.read = zlib.decompressobj(31), b"", 0
+        self.z, self.out, self.read = zlib.decompressobj(31), bytearray(), 0
         f.seek(at)
 
     def _more(self) -> bool:
@@ -193,22 +194,47 @@ class _Inflater:
         self.out += self.z.decompress(raw)
         return bool(raw)
 
+    def begins_record(self) -> bool:
+        """Whether this is a member at all and starts with a record."""
+        try:
+            while len(self.out) < 5 and self._more():
+                pass
+        except zlib.error:
+            return False
+        return self.out[:5] == b"WARC/"
+
     def headers(self) -> bytes | None:
-        """None for an empty member, which some writers append."""
-        while b"\r\n\r\n" not in self.out:
+        """The headers of the next record; None at the member's end, also
+        where some writers append an empty one."""
+        seen = 0
+        while True:
+            if not seen and self.out[:1] in (b"\r", b"\n"):  # the two line ends after a block
+                self.out = self.out.lstrip(b"\r\n")
+            at = self.out.find(b"\r\n\r\n", max(0, seen - 3))
+            if at >= 0:
+                head, self.out = bytes(self.out[:at]), self.out[at + 4:]
+                return head
+            seen = len(self.out)
             if not self._more():
                 if self.z.eof and not self.out.strip():
                     return None
                 raise ValueError(f"the member at byte {self.at} has no end of its headers")
-        head, _, self.out = self.out.partition(b"\r\n\r\n")
-        return head
 
     def block(self, size: int) -> bytes:
         while len(self.out) < size and self._more():
             pass
         if len(self.out) < size:
             raise ValueError(f"the record at byte {self.at} ends after {len(self.out)} of {size} bytes")
-        return self.out[:size]
+        body, self.out = bytes(self.out[:size]), self.out[size:]
+        return body
+
+    def skip(self, size: int) -> None:
+        while size > len(self.out):
+            size -= len(self.out)
+            self.out = bytearray()
+            if not self._more():
+                raise ValueError(f"the record at byte {self.at} lacks {size} bytes")
+        self.out = self.out[size:]
 
     def end(self) -> int:
         """Where the next member starts, inflating on only if no length is known."""
@@ -217,7 +243,7 @@ class _Inflater:
                 raise ValueError(f"the member at byte {self.at} is cut off")
             return self.at + self.known
         while self._more():
-            self.out = b""
+            self.out = bytearray()
         if not self.z.eof:
             raise ValueError(f"the member at byte {self.at} is cut off")
         return self.at + self.read - len(self.z.unused_data)
@@ -293,7 +319,11 @@ class WarcReader(DataSourceReader):
                 found = (tail + chunk).find(_MEMBER)
                 if found >= 0:
                     at += found - len(tail)
-                    break
+                    tail = b""
+                    if _Inflater(f, at, None).begins_record():  # else compressed data that looks like a member
+                        break
+                    at += 1
+                    continue
                 if not chunk:
                     return
                 at += len(chunk)
@@ -303,16 +333,17 @@ class WarcReader(DataSourceReader):
             head = f.read(len(_MEMBER) + 4)
             known = struct.unpack("<I", head[-4:])[0] if head[:len(_MEMBER)] == _MEMBER else None
             member = _Inflater(f, at, known)
-            block = member.headers()
-            if block is None:
-                at = member.end()
-                continue
-            headers = _headers(block)
-            row = _row(headers)
-            if self._passes(row):
-                if self._wants(row):
-                    self._fill(row, member.block(int(headers.get("content-length", 0))))
-                yield row
+            while (block := member.headers()) is not None:
+                headers = _headers(block)
+                row, size = _row(headers), int(headers.get("content-length", 0))
+                if passes := self._passes(row):
+                    if wants := self._wants(row):
+                        self._fill(row, member.block(size))
+                    yield row
+                if known is not None:  # this writer's members hold one record
+                    break
+                if not (passes and wants):
+                    member.skip(size)
             at = member.end()
 
     def _plain(self, f, end: int) -> Iterator[dict]:
@@ -387,15 +418,23 @@ def records(pages: DataFrame, min_revisit: int = 1000, id_col: str = "page_id",
                         payload.alias("payload"))
     rows = rows.select("*", F.length("payload").cast("long").alias("payload_bytes"),
                        F.sha1("payload").alias("payload_digest"))
-    # groups of one need no join partner; equal payloads fold before the shuffle
-    keep = (rows.where(F.col("payload_bytes") >= min_revisit).groupBy("payload_digest", "payload_bytes")
-            .agg(F.max("page_id").alias("keep"), F.count("*").alias("n")).where("n > 1")
-            .select("payload_digest", "payload_bytes", "keep"))
-    again = F.col("keep").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("keep"))
-    return (rows.join(keep, ["payload_digest", "payload_bytes"], "left")
-            .select(F.when(again, "revisit").otherwise("response").alias("record_type"), "target_uri", "page_id",
-                    F.when(again, F.col("keep")).alias("refers_to"), "payload_bytes", "payload_digest",
-                    F.when(~again, F.col("payload")).alias("payload")))
+    # Decided on the keys alone: groups of one need no partner, equal payloads
+    # fold before the shuffle, and the written sides let AQE split a hot digest.
+    same = ["payload_digest", "payload_bytes"]
+    keys = cut(rows.where(F.col("payload_bytes") >= min_revisit).select("page_id", *same), "payload-keys")
+    keep = cut(keys.groupBy(*same).agg(F.max("page_id").alias("keep"), F.count("*").alias("n"))
+               .where("n > 1 and keep is not null").select(*same, "keep"), "payload-first")
+    again = cut(keys.join(keep, same).where(~F.col("page_id").eqNullSafe(F.col("keep"))).distinct(), "payload-again")
+    # then payloads meet the revisits by page, so that equal payloads spread
+    again = again.select(F.col("page_id").alias("_page"), *[F.col(c).alias(f"_{c}") for c in same], "keep")
+    on = F.col("page_id").eqNullSafe(F.col("_page"))
+    for c in same:
+        on &= F.col(c) == F.col(f"_{c}")
+    revisit = F.col("keep").isNotNull()
+    return (rows.join(again, on, "left")
+            .select(F.when(revisit, "revisit").otherwise("response").alias("record_type"), "target_uri", "page_id",
+                    F.col("keep").alias("refers_to"), "payload_bytes", "payload_digest",
+                    F.when(~revisit, F.col("payload")).alias("payload")))
 
 
 def register(spark: SparkSession) -> None:

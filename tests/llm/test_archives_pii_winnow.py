@@ -238,3 +238,26 @@ def test_winnowing_positions_and_guarantee(spark):
         winnow.selected("fp").alias("s")).collect()]
     common = {x.hash: x.pos for x in a if x.hash in {y.hash for y in b}}
     assert common and all(common[y.hash] == y.pos + 3 for y in b if y.hash in common)
+
+
+def test_warc_member_with_several_records(spark, tmp_path):
+    """One gzip member over a whole archive, wanted and unwanted records mixed; a payload that holds the bytes
+    of a member's head doesn't start a range."""
+    def record(i, kind, body):
+        return (f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:page:{i}>\r\nContent-Length: {len(body)}\r\n\r\n"
+                .encode() + body + b"\r\n\r\n")
+    bodies = [(i, ["response", "metadata", "resource"][i % 3], bytes([65 + i]) * (i * 40000)) for i in range(7)]
+    (tmp_path / "a.warc.gz").write_bytes(gzip.compress(b"".join(record(*b) for b in bodies)))
+    got = {r.page_id: bytes(r.payload) for r in warc.read_archives(spark, tmp_path.as_uri()).collect()}
+    assert got == {i: b for i, _, b in bodies}
+    some = warc.read_archives(spark, tmp_path.as_uri()).where("record_type = 'resource'")
+    assert {r.page_id: bytes(r.payload) for r in some.collect()} == {i: b for i, k, b in bodies if k == "resource"}
+
+
+def test_warc_hot_payload(spark):
+    """A third of the pages under one payload: one response, the others revisit it."""
+    pages = spark.range(1200).select(
+        F.col("id").alias("page_id"), F.lit("u").alias("url"),
+        F.when(F.col("id") % 3 == 0, F.lit("same " * 400)).otherwise(F.repeat(F.md5(F.col("id").cast("string")), 40)).alias("html"))
+    rows = warc.read_archives(spark, warc.write_archives(pages), payload="verify")
+    assert rows.count() == 1200 and rows.where("record_type = 'revisit' and refers_to = 1197").count() == 399
