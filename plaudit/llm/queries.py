@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, linedup, materialise, mixing, pii, quality, simhash, suffixdedup, warc, winnow
+from . import decontam, linedup, materialise, mixing, periodic, pii, quality, simhash, suffixdedup, warc, whitening, winnow
 
 
 # Words after lower-casing A-Z only; windows of 10 words, shorter items whole.
@@ -168,6 +168,24 @@ def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialise.materialise(_table(spark, sf_dir, "documents")).drop("folder")
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings whitened along their 32 leading components."""
+    points = whitening.fixed_point(_table(spark, sf_dir, "embeddings"), scale=64, offset=1_000_000)
+    return whitening.whiten(points, components=32)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of the words of each document; a tenth of the documents
+    (by the crc32 of the id) is first made periodic in its tail."""
+    key = periodic.crc_key("doc_id")
+    out = periodic.periodic_runs(_table(spark, sf_dir, "documents"), planted=F.when(key % 10 == 0, key))
+    run = periodic.longest()
+    return out.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), run["start"].alias("start"),
+        run["length"].alias("length"), run["period"].alias("period"),
+        F.floor(1000 * run["length"] / run["period"]).alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc": op1_warc,
@@ -180,6 +198,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_line_dedup": op8_line_dedup,
         "op9_mixing": op9_mixing,
         "op10_training_order": op10_training_order,
+        "op12_whitening": op12_whitening,
+        "op13_periodic_runs": op13_periodic_runs,
     }
 
 
