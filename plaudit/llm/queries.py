@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, linedup, materialise, mixing, periodic, pii, quality, simhash, suffixdedup, warc, whitening, winnow
+from . import decontam, katz, linedup, materialise, mixing, periodic, pii, quality, simhash, suffixdedup, warc, whitening, winnow
 
 
 # Words after lower-casing A-Z only; windows of 10 words, shorter items whole.
@@ -168,6 +168,14 @@ def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialise.materialise(_table(spark, sf_dir, "documents")).drop("folder")
 
 
+def op11_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Katz trigram score of each document, learned from six sevenths of them."""
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    out = katz.score_documents(_table(spark, sf_dir, "documents"), ~held_out, order=3)
+    return out.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "n_tokens", "n_known",
+                      "train_tokens", "base_score", "score")
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embeddings whitened along their 32 leading components."""
     points = whitening.fixed_point(_table(spark, sf_dir, "embeddings"), scale=64, offset=1_000_000)
@@ -198,6 +206,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_line_dedup": op8_line_dedup,
         "op9_mixing": op9_mixing,
         "op10_training_order": op10_training_order,
+        "op11_katz": op11_katz,
         "op12_whitening": op12_whitening,
         "op13_periodic_runs": op13_periodic_runs,
     }
