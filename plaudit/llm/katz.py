@@ -36,17 +36,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, no_text
+from .common import cut, no_text, scratch_path, shuffle_files_dropped
 
 MOST = 5                    # counts up to this are discounted
 START, END = 0, 1           # hashes that no word has
 _WORD = (1 << 56) - 2
-_GROUP_BYTES = 8 << 20      # texts worked on together in a task
+_GROUP_BYTES = 32 << 20     # texts whose records are packed together in a task
+_CODE_BYTES = 4 << 20       # of these, split into words at once
 _BUCKET_TOKENS = 1 << 21    # records of a bucket, about
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -82,12 +85,19 @@ def _groups(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[list[li
 
 def _tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(code, hash by code, words by text); the codes of all texts one after
-    the other, without ends."""
-    words = [t.translate(_LOWER).split() for t in texts]  # splits at blanks and \\t .. \\r only
-    coded = pa.array([w for x in words for w in x], pa.binary()).dictionary_encode()
-    return (coded.indices.to_numpy(zero_copy_only=False).astype(np.int64),
-            np.array([word_hash(w) for w in coded.dictionary.to_pylist()], np.int64),
-            np.array([len(x) for x in words], np.int64))
+    the other, without ends. Codes rise with the first occurrence."""
+    known: dict[bytes, int] = {}
+    codes, sizes, at = [], [], 0
+    while at < len(texts):
+        end = at + max(1, int(np.searchsorted(np.cumsum([len(t) for t in texts[at:at + 65536]]), _CODE_BYTES, "right")))
+        words = [t.translate(_LOWER).split() for t in texts[at:end]]  # splits at blanks and \t .. \r only
+        coded = pa.array([w for x in words for w in x], pa.binary()).dictionary_encode()
+        place = np.array([known.setdefault(w, len(known)) for w in coded.dictionary.to_pylist()], np.int32)
+        codes.append(place[coded.indices.to_numpy(zero_copy_only=False)])
+        sizes += [len(x) for x in words]
+        at = end
+    return (np.concatenate(codes) if codes else np.zeros(0, np.int32),
+            np.fromiter(map(word_hash, known), np.int64, len(known)), np.array(sizes, np.int64))
 
 
 def _small(x: np.ndarray) -> np.ndarray:
@@ -95,22 +105,35 @@ def _small(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32 if top < 1 << 32 else np.uint64)
 
 
+def _planes(x: np.ndarray) -> tuple[str, bytes]:
+    """Unsigned numbers in their least width, byte by byte: the upper bytes of
+    small numbers compress to nothing."""
+    x = _small(x)
+    return x.dtype.str, x.view(np.uint8).reshape(-1, x.dtype.itemsize).T.tobytes()
+
+
 def _packed(parts: dict[str, np.ndarray]) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(parts, 5))
+    return zstandard.ZstdCompressor(level=3).compress(pickle.dumps({k: _planes(x) for k, x in parts.items()}, 5))
 
 
 def _unpacked(blob: bytes) -> dict[str, np.ndarray]:
-    return pickle.loads(zstandard.ZstdDecompressor().decompress(blob))
+    out = {}
+    for k, (kind, raw) in pickle.loads(zstandard.ZstdDecompressor().decompress(blob)).items():
+        width = np.dtype(kind).itemsize
+        flat = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T)
+        out[k] = flat.view(kind).ravel().astype(np.int64)
+    return out
 
 
-def _hashes_out(h: np.ndarray) -> bytes:
-    return h.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :7].tobytes()
+def _ranges(x: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """Rising numbers as differences inside the groups that begin at ``new``."""
+    return np.where(new, x, np.diff(x, prepend=0))
 
 
-def _hashes_in(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // 7, 8), np.uint8)
-    out[:, :7] = np.frombuffer(raw, np.uint8).reshape(-1, 7)
-    return out.view("<i8").ravel().astype(np.int64)
+def _from_ranges(d: np.ndarray, new: np.ndarray) -> np.ndarray:
+    total = np.cumsum(d)
+    begin = np.flatnonzero(new)
+    return total - np.repeat((total - d)[begin], np.diff(np.r_[begin, len(d)]))
 
 
 # --------------------------------------------------------------------------
@@ -164,16 +187,17 @@ def _records(docs: DataFrame, order: int, buckets: int, frequent: dict[int, int]
             end, start = len(hashes) - 2, len(hashes) - 1
             n = len(code) + len(texts)
             last = np.cumsum(sizes + 1) - 1
-            token = np.full(n, end, np.int64)
+            token = np.full(n, end, np.int32)
             word = np.ones(n, bool)
             word[last] = False
             token[word] = code
-            doc = np.repeat(np.arange(len(texts)), sizes + 1)
+            doc = np.repeat(np.arange(len(texts), dtype=np.int32), sizes + 1)
             place = np.arange(n) - np.repeat(last - sizes, sizes + 1)
             cols = [token]
             for k in range(1, order):
-                back = np.r_[np.full(min(k, n), start, np.int64), token[:max(0, n - k)]]
-                cols.append(np.where(place >= k, back, start))
+                back = np.r_[np.full(min(k, n), start, np.int32), token[:max(0, n - k)]]
+                cols.append(np.where(place >= k, back, np.int32(start)))
+            del place
             home = _home(hashes, buckets)[cols[1]]
             if len(hot):
                 at = np.minimum(np.searchsorted(hot, hashes), len(hot) - 1)
@@ -181,19 +205,29 @@ def _records(docs: DataFrame, order: int, buckets: int, frequent: dict[int, int]
                 many = np.flatnonzero(ways > 1)
                 part = (_mix(hashes + 7)[cols[2][many]] % ways[many].astype(np.uint64)).astype(np.int64)
                 home[many] = (home[many] + part) % buckets
-            order_by = np.argsort(home * len(hashes) + cols[1], kind="stable")
-            home = home[order_by]
-            cuts = np.flatnonzero(np.r_[True, home[1:] != home[:-1], True])
-            keys, train = np.array(keys, np.int64), np.array(train, bool)
+            # rare words are numbered by their hash, so that it can be stored as a difference
+            rare = np.bincount(token, minlength=len(hashes)) < 4
+            rank = np.empty(len(hashes), np.int32)
+            rank[np.lexsort((np.where(rare, hashes, np.arange(len(hashes))), rare))] = np.arange(len(hashes))
+            back = np.argsort(rank)
+            cols, hashes, rare = [rank[c] for c in cols], hashes[back], rare[back]
+            order_by = np.argsort(home, kind="stable")
+            cuts = np.flatnonzero(np.r_[True, np.diff(home[order_by]) != 0, True])
+            keys, train = np.array(keys, np.int64), np.array(train, np.int64)
             for a, b in zip(cuts[:-1], cuts[1:]):
                 mine = order_by[a:b]
+                mine = mine[np.lexsort((cols[0][mine], cols[1][mine]))]  # by v, then token
                 words, inside = np.unique(np.concatenate([c[mine] for c in cols]), return_inverse=True)
+                x = inside.reshape(order, -1)
+                new = np.r_[True, x[1][1:] != x[1][:-1]]
                 docs_, where = np.unique(doc[mine], return_inverse=True)
-                parts = {f"x{k}": _small(x) for k, x in enumerate(inside.reshape(order, -1))}
+                few = rare[words]
+                parts = {"x0": _ranges(x[0], new), "x1": np.diff(x[1], prepend=0), "doc": where,
+                         "often": hashes[words[~few]], "rare": np.diff(hashes[words[few]], prepend=0),
+                         "key": keys[docs_].view(np.uint64), "train": train[docs_]}
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([int(home[a])], pa.int32()),
-                    pa.array([_packed(parts | {"words": _hashes_out(hashes[words]), "doc": _small(where),
-                                               "key": keys[docs_], "train": train[docs_]})], pa.binary())],
+                    pa.array([int(home[mine[0]])], pa.int32()),
+                    pa.array([_packed(parts | {f"x{k}": x[k] for k in range(2, order)})], pa.binary())],
                     ["bucket", "blob"])
 
     return docs.select("t", "key", "train").mapInArrow(run, "bucket int, blob binary")
@@ -210,10 +244,12 @@ def _joined(blobs: list[bytes], order: int) -> tuple[np.ndarray, list[np.ndarray
     words, cols, doc, key, train, at_w, at_d = [], [[] for _ in range(order)], [], [], [], 0, 0
     for blob in blobs:
         p = _unpacked(blob)
-        words.append(_hashes_in(p["words"]))
+        words.append(np.r_[p["often"], np.cumsum(p["rare"])])
+        new = np.r_[True, p["x1"][1:] > 0]
+        p["x0"], p["x1"] = _from_ranges(p["x0"], new), np.cumsum(p["x1"])
         for k in range(order):
-            cols[k].append(p[f"x{k}"].astype(np.int64) + at_w)
-        doc.append(p["doc"].astype(np.int64) + at_d)
+            cols[k].append((p[f"x{k}"] + at_w).astype(np.int32))
+        doc.append((p["doc"] + at_d).astype(np.int32))
         key.append(p["key"])
         train.append(p["train"])
         at_w, at_d = at_w + len(words[-1]), at_d + len(key[-1])
@@ -258,9 +294,12 @@ def _count(records: DataFrame, order: int, buckets: int, frequent: dict[int, int
                 hot_pairs, hot_sums, _ = _pairs([c[is_hot] for c in cols], size, seen[is_hot])
                 sums = _pairs(cols, size, seen * ~is_hot)[1]
             stats[k] = np.bincount(np.minimum(sums, MOST + 2), minlength=MOST + 3)[1:MOST + 2]
-        blob = _packed({f"x{k}": _small(c) for k, c in enumerate(cols)} | {
-            "words": _hashes_out(words), "c": _small(seen), "n": _small(np.bincount(gram)), "doc": _small(doc),
-            "many": _small(many), "key": key})
+        # n-grams are in the order of v, the words before it, the token; their documents in order
+        new = np.r_[True, np.diff(cols[1]) != 0]
+        begins = np.r_[True, np.diff(gram) != 0]
+        blob = _packed({f"x{k}": c for k, c in enumerate(cols) if k != 1} | {
+            "x1": np.diff(cols[1], prepend=0), "x2": _ranges(cols[2], new), "words": np.diff(words, prepend=0),
+            "c": seen, "n": np.bincount(gram), "doc": _ranges(doc, begins), "many": many, "key": key.view(np.uint64)})
         return pa.RecordBatch.from_pylist([{
             "bucket": bucket, "blob": blob, "stats": stats.ravel().tolist(),
             "hot": [{"v": int(a), "w": int(b), "c": int(c)} for a, b, c in
@@ -389,11 +428,13 @@ class _Bucket:
 
     def __init__(self, blob: bytes, order: int, totals: Totals):
         p = _unpacked(blob)
+        new = np.r_[True, p["x1"][1:] > 0]
+        p["x1"], p["x2"] = np.cumsum(p["x1"]), _from_ranges(p["x2"], new)
         self.p, self.totals, self.order = p, totals, order
-        self.words = _hashes_in(p["words"])
+        self.words = np.cumsum(p["words"])
         self.size = len(self.words)
-        self.cols = [p[f"x{k}"].astype(np.int64) for k in range(order)]
-        self.seen = p["c"].astype(np.int64)
+        self.cols = [p[f"x{k}"] for k in range(order)]
+        self.seen = p["c"]
         # c(v) by place in words; frequent words have theirs from all buckets
         self.count = np.bincount(self.cols[1], weights=self.seen, minlength=self.size)
         for h, (c, _, _) in totals.hot.items():
@@ -463,8 +504,8 @@ class _Bucket:
         base = word * t.base(cv) + is_end * t.base(t.ends)
         score += np.where(word & (self.pair_count[self.pair] == 0), np.log10(t.unigram(cv)), 0.0)
         gram = np.repeat(np.arange(len(seen)), self.p["n"])
-        doc, many = self.p["doc"], self.p["many"].astype(np.float64)
-        key = self.p["key"]
+        doc = _from_ranges(self.p["doc"], np.r_[True, np.diff(gram) != 0])
+        many, key = self.p["many"].astype(np.float64), self.p["key"]
 
         def per_doc(x: np.ndarray) -> np.ndarray:
             return np.bincount(doc, weights=many * x[gram], minlength=len(key))
@@ -505,39 +546,39 @@ def _evaluate(counts: DataFrame, mass: DataFrame, bigrams: DataFrame, order: int
     def home(h: pa.Array) -> pa.Array:
         return pa.array(_home(h.to_numpy(), buckets), pa.int32())
 
-    def side(kind: int, **cols: Column) -> list[Column]:
-        kinds = {"a": "long", "b": "long", "c": "long", "x": "double", "blob": "binary"}
-        return [F.lit(kind).alias("kind"), *[cols.get(c, F.lit(None)).cast(t).alias(c) for c, t in kinds.items()]]
-
+    # what a bucket needs besides its table row is written to a folder of its
+    # own and read by the bucket's task: a join would shuffle the whole table
+    null = F.lit(None).cast("long")
     need = counts.select("bucket", F.explode("hot").alias("g")).select("bucket", "g.v", "g.w")
-    rows = (counts.select("bucket", *side(2, blob=F.col("blob")))
-            .unionByName(mass.select(home("h").alias("bucket"), *side(0, a=F.col("h"), x=F.col("x"))))
+    side = (mass.select(home("h").alias("bucket"), F.col("h").alias("a"), null.alias("b"), null.alias("c"), "x")
             .unionByName(need.join(bigrams, ["v", "w"]).select(
-                "bucket", *side(1, a=F.col("v"), b=F.col("w"), c=F.col("c")))))
+                "bucket", F.col("v").alias("a"), F.col("w").alias("b"), "c", F.lit(None).cast("double").alias("x"))))
+    folder = scratch_path(counts.sparkSession, "katz-sides")
+    with shuffle_files_dropped(counts.sparkSession):
+        _by_bucket(side, buckets).sortWithinPartitions("bucket").write.partitionBy("bucket").parquet(folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, parts = None, []
+        fs, root = pafs.FileSystem.from_uri(folder)
         for batch in batches:
-            bucket, kind = (batch.column(c).to_numpy() for c in ("bucket", "kind"))
-            cuts = np.flatnonzero(np.r_[True, (bucket[1:] != bucket[:-1]) | (kind[1:] != kind[:-1]), True])
-            for a, b in zip(cuts[:-1], cuts[1:]):
-                if bucket[a] != now:
-                    now, parts = bucket[a], []
-                piece = batch.slice(a, b - a)
-                if kind[a] < 2:
-                    parts.append((kind[a], piece))
-                    continue
-                got = [{c: np.concatenate([np.zeros(0, np.int64), *(
-                    p.column(c).to_numpy() for x, p in parts if x == k)]) for c in cols}
-                    for k, cols in ((0, "ax"), (1, "abc"))]
-                b_ = _Bucket(piece.column("blob")[0].as_py(), order, totals)
+            for bucket, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+                rows = _side(fs, f"{root}/bucket={bucket}")
+                got = _Bucket(blob.as_py(), order, totals)
                 # a word may have its home here without being a context here
-                inside = np.isin(got[0]["a"], b_.words)
-                out = b_.scores({c: x[inside] for c, x in got[0].items()}, got[1])
+                after = rows.filter(rows["b"].is_null())
+                after = after.filter(pa.array(np.isin(after["a"].to_numpy(), got.words)))
+                pairs = rows.filter(rows["b"].is_valid())  # before to_numpy: nulls would make the hashes floats
+                out = got.scores({c: after[c].to_numpy() for c in "ax"}, {c: pairs[c].to_numpy() for c in "abc"})
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], ["key", "n", "known", "base", "score"])
 
-    dealt = _by_bucket(rows, buckets).sortWithinPartitions("bucket", "kind")
-    return dealt.mapInArrow(run, "key long, n long, known long, base double, score double")
+    return counts.select("bucket", "blob").mapInArrow(run, "key long, n long, known long, base double, score double")
+
+
+def _side(fs: pafs.FileSystem, folder: str) -> pa.Table:
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64()), ("x", pa.float64())])
+    found = fs.get_file_info(pafs.FileSelector(folder, allow_not_found=True))
+    parts = [pq.read_table(f.path, filesystem=fs, schema=schema, partitioning=None) for f in found
+             if f.path.endswith(".parquet")]
+    return pa.concat_tables([schema.empty_table(), *parts]).combine_chunks()
 
 
 def score_documents(docs: DataFrame, train: Column, text: str = "text", id_col: str = "doc_id", order: int = 3,
@@ -571,6 +612,7 @@ def score_documents(docs: DataFrame, train: Column, text: str = "text", id_col:
     for r in bigrams.where(F.col("w") == END).collect() if frequent else []:
         totals.hot[r["v"]][2] += p_end
     plain = mass.where(~F.col("h").isin(list(frequent))) if frequent else mass
+    # a bucket is a row of the table, so any split of its files is a split by buckets
     out = (_evaluate(counts, plain, bigrams, order, buckets, totals).groupBy("key")
            .agg(*[F.sum(c).alias(c) for c in ("n", "known", "base", "score")]))
     n = F.lit(totals.tokens).cast("long").alias("train_tokens")
