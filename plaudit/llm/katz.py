@@ -50,7 +50,7 @@ START, END = 0, 1           # hashes that no word has
 _WORD = (1 << 56) - 2
 _GROUP_BYTES = 32 << 20     # texts whose records are packed together in a task
 _CODE_BYTES = 4 << 20       # of these, split into words at once
-_BUCKET_TOKENS = 1 << 21    # records of a bucket, about
+_BUCKET_TOKENS = 1 << 20    # records of a bucket, about
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
@@ -173,6 +173,20 @@ def _frequent(docs: DataFrame, bucket_tokens: int) -> tuple[int, dict[int, int]]
     return buckets, {r["h"]: int(-(-2 * r["c"] // share)) for r in rows}
 
 
+def _numbered(cols: list[np.ndarray], place: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The values that occur, ascending, and the columns as places among them;
+    ``place`` is scratch with an entry for every value."""
+    if sum(map(len, cols)) * 32 < len(place):  # few records: sort them
+        found, at = np.unique(np.concatenate(cols), return_inverse=True)
+        return found, list(at.reshape(len(cols), -1))
+    there = np.zeros(len(place), bool)
+    for c in cols:
+        there[c] = True
+    found = np.flatnonzero(there)
+    place[found] = np.arange(len(found))
+    return found, [place[c] for c in cols]
+
+
 def _records(docs: DataFrame, order: int, buckets: int, frequent: dict[int, int]) -> DataFrame:
     """(bucket, blob): the records of a group of texts for a bucket. Columns
     ``x0`` (the token), ``x1`` = v, ``x2`` .. the words before, as places in
@@ -211,22 +225,23 @@ def _records(docs: DataFrame, order: int, buckets: int, frequent: dict[int, int]
             rank[np.lexsort((np.where(rare, hashes, np.arange(len(hashes))), rare))] = np.arange(len(hashes))
             back = np.argsort(rank)
             cols, hashes, rare = [rank[c] for c in cols], hashes[back], rare[back]
-            order_by = np.argsort(home, kind="stable")
-            cuts = np.flatnonzero(np.r_[True, np.diff(home[order_by]) != 0, True])
+            many = len(hashes)
+            order_by = np.argsort((home * many + cols[1]) * many + cols[0], kind="stable")  # v, then token
+            home = home[order_by]
+            cuts = np.flatnonzero(np.r_[True, np.diff(home) != 0, True])
             keys, train = np.array(keys, np.int64), np.array(train, np.int64)
+            word_place, doc_place = np.empty(many, np.int32), np.empty(len(keys), np.int32)
             for a, b in zip(cuts[:-1], cuts[1:]):
                 mine = order_by[a:b]
-                mine = mine[np.lexsort((cols[0][mine], cols[1][mine]))]  # by v, then token
-                words, inside = np.unique(np.concatenate([c[mine] for c in cols]), return_inverse=True)
-                x = inside.reshape(order, -1)
+                words, x = _numbered([c[mine] for c in cols], word_place)
+                docs_, (where,) = _numbered([doc[mine]], doc_place)
                 new = np.r_[True, x[1][1:] != x[1][:-1]]
-                docs_, where = np.unique(doc[mine], return_inverse=True)
                 few = rare[words]
                 parts = {"x0": _ranges(x[0], new), "x1": np.diff(x[1], prepend=0), "doc": where,
                          "often": hashes[words[~few]], "rare": np.diff(hashes[words[few]], prepend=0),
                          "key": keys[docs_].view(np.uint64), "train": train[docs_]}
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([int(home[mine[0]])], pa.int32()),
+                    pa.array([int(home[a])], pa.int32()),
                     pa.array([_packed(parts | {f"x{k}": x[k] for k in range(2, order)})], pa.binary())],
                     ["bucket", "blob"])
 
