@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plaudit.functions.sentiment import is_positive
+from plaudit.operators.select import lower_median as select_lower_median
+from plaudit.operators.select import pinned
 
 # FIXED VALUES — thresholds of the original job: binary scale -> 1,
 # max <= 5 -> 4, max <= 10 -> 7, otherwise the median; 4 when
@@ -14,7 +16,6 @@ BINARY_MAX_DISTINCT = 3
 FIVE_STAR_THRESHOLD = 4.0
 TEN_POINT_THRESHOLD = 7.0
 FALLBACK_THRESHOLD = 4.0
-MEDIAN_CELLS = 4096  # equal cells of the score range that bracket the median
 
 
 def _binary(mn, mx, distinct):
@@ -25,51 +26,36 @@ def _binary(mn, mx, distinct):
 
 
 def score_profile(df: DataFrame, score: str = "review_score") -> DataFrame:
-    """One row: min, max, distinct, binary, threshold; nothing is collected.
+    """One row: min, max, distinct, binary, threshold.
 
-    The median, used on wide scales only, comes in as a scalar subquery
-    (``lower_median``).
-    """
+    Min, max and distinct are one aggregate. Only a wide scale needs its
+    median, found by bracketed selection (``select.rank_values``): exact, the
+    same under any layout, and no task holds the values. Both run at once, as
+    the scale decides whether the second is needed."""
     s = F.col(score)
-    agg = df.agg(
-        F.min(s).cast("double").alias("min"),
-        F.max(s).cast("double").alias("max"),
-        F.count_distinct(s).alias("distinct"),
-    )
-    median = lower_median(df, score)
-    binary = _binary(F.col("min"), F.col("max"), F.col("distinct"))
-    threshold = (
-        F.when(binary, F.lit(1.0))
-        .when(F.col("max") <= 5, F.lit(FIVE_STAR_THRESHOLD))
-        .when(F.col("max") <= 10, F.lit(TEN_POINT_THRESHOLD))
-        .otherwise(F.coalesce(median, F.lit(FALLBACK_THRESHOLD)))
-    )
-    return agg.select("min", "max", "distinct", binary.alias("binary"), threshold.alias("threshold"))
+    agg = pinned(df.agg(F.min(s).cast("double").alias("min"), F.max(s).cast("double").alias("max"),
+                        F.count_distinct(s).alias("distinct")))
+    row = agg.select("max", _binary(F.col("min"), F.col("max"), F.col("distinct")).alias("binary")).first()
+    if row["binary"]:
+        threshold = F.lit(1.0)
+    elif row["max"] is None:
+        threshold = F.lit(FALLBACK_THRESHOLD)
+    elif row["max"] <= 5:
+        threshold = F.lit(FIVE_STAR_THRESHOLD)
+    elif row["max"] <= 10:
+        threshold = F.lit(TEN_POINT_THRESHOLD)
+    else:
+        threshold = F.coalesce(lower_median(df, score), F.lit(FALLBACK_THRESHOLD))
+    return agg.select("min", "max", "distinct", F.lit(bool(row["binary"])).alias("binary"), threshold.alias("threshold"))
 
 
 def lower_median(df: DataFrame, col: str) -> Column:
     """The smallest value with at least half of the values at or below it, as a
-    scalar subquery; null without values.
-
-    A merged quantile sketch depends on the order of the merges, so a layout
-    could move the threshold. This is exact instead, in bounded steps over the
-    distinct values: counts in ``MEDIAN_CELLS`` equal cells of the range give
-    the cell that holds the median, and only the values of that cell are
-    ranked."""
+    scalar subquery; null without values."""
     x = F.col(col).cast("double")
-    folded = df.where(x.isNotNull() & ~F.isnan(x)).groupBy(x.alias("x")).agg(F.count(F.lit(1)).alias("n"))
-    span = folded.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"),
-                               F.floor((F.sum("n") + 1) / 2).alias("rank")).alias("s")).scalar()
-    part = F.coalesce(F.try_divide(F.col("x") - span.getField("lo"), span.getField("hi") - span.getField("lo")),
-                      F.lit(0.0))
-    celled = folded.withColumn("cell", F.least(F.floor(part * MEDIAN_CELLS), F.lit(MEDIAN_CELLS - 1)))
-    so_far = F.sum("n").over(Window.orderBy("cell"))  # over at most MEDIAN_CELLS rows
-    cells = celled.groupBy("cell").agg(F.sum("n").alias("n")).withColumn("upto", so_far)
-    there = cells.where(F.col("upto") >= span.getField("rank")).agg(
-        F.min(F.struct("cell", (F.col("upto") - F.col("n")).alias("below")))).scalar()
-    inside = celled.where(F.col("cell") == there.getField("cell")).withColumn(
-        "upto", F.sum("n").over(Window.orderBy("x")) + there.getField("below"))
-    return inside.where(F.col("upto") >= span.getField("rank")).agg(F.min("x")).scalar()
+    rows = df.where(x.isNotNull() & ~F.isnan(x)).select(
+        F.lit("all").alias("group"), x.alias("value"), F.lit(1).cast("long").alias("_w"))
+    return select_lower_median(rows).select("value").scalar()
 
 
 def score_threshold(df: DataFrame, score: str = "review_score"):

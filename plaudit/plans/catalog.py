@@ -231,8 +231,15 @@ def q_dedup_reviews_counts(spark, sf):
     "SELECT (SELECT count(*) FROM d) AS rows_before, (SELECT count(*) FROM c) AS rows_after",
     d=SQL_D, c=sql_cleaned(SQL_D)))
 def q_cleaning_audit(spark, sf):
-    raw = FX.reviews_d(spark, sf)
-    return C.cleaning_audit(raw, C.clean_reviews(raw))
+    return C.audit_cleaning(FX.reviews_d(spark, sf))
+
+
+@register("cleaning_audit_r", with_ctes(
+    "SELECT (SELECT count(*) FROM r) AS rows_before, (SELECT count(*) FROM c) AS rows_after",
+    r=SQL_R, c=sql_cleaned(SQL_R)))
+def q_cleaning_audit_r(spark, sf):
+    """Rows without a score leave."""
+    return C.audit_cleaning(FX.reviews_r(spark, sf))
 
 
 # 10 % of the rows by the first 20 bits of md5: 104858 = 0x1999a.
@@ -978,6 +985,67 @@ def q_density_length_by_sentiment_from_counts(spark, sf):
                                      cut=ST.VIOLIN_CUT, weight="freq"))
 
 
+# --------------------------------------------------------------------------
+# C and G on continuous columns: item prices by line status, and their fourth
+# power, which spreads over twelve orders of magnitude.
+# --------------------------------------------------------------------------
+
+SQL_PRICE = "SELECT l_linestatus AS grp, l_extendedprice AS v FROM lineitem"
+SQL_SKEWED = ("SELECT l_linestatus AS grp, l_extendedprice * l_extendedprice * l_extendedprice * l_extendedprice AS v "
+              "FROM lineitem")
+
+
+def _prices(spark, sf, skewed=False):
+    p = F.col("l_extendedprice")
+    return spark.read.parquet(f"{sf}/lineitem.parquet").select(
+        F.col("l_linestatus").alias("grp"), (p * p * p * p if skewed else p).alias("v"))
+
+
+def _describe_sql(src, rel=DP):
+    return with_ctes(f"""SELECT grp AS "group", count(*) AS count, round(avg(v), {rel}) AS mean,
+  round(stddev_samp(v), {rel}) AS std, min(v) AS "min", round(quantile_cont(v, 0.25), {rel}) AS q25,
+  round(quantile_cont(v, 0.5), {rel}) AS q50, round(quantile_cont(v, 0.75), {rel}) AS q75, max(v) AS "max"
+FROM x GROUP BY grp""", x=src)
+
+
+for _name, _src, _skewed in (("price", SQL_PRICE, False), ("skewed", SQL_SKEWED, True)):
+    def _mk_profile(skewed):
+        return lambda spark, sf: SC.score_profile(_prices(spark, sf, skewed), "v")
+
+    def _mk_quartiles(skewed):
+        return lambda spark, sf: ST.quartiles(_prices(spark, sf, skewed), "v", by="grp")
+
+    register(f"score_profile_{_name}", _profile_sql(f"SELECT v AS review_score FROM ({_src}) s"))(_mk_profile(_skewed))
+    register(f"quartile_ranks_{_name}", with_ctes("""SELECT grp AS "group", quantile_disc(v, 0.25) AS q1,
+  quantile_disc(v, 0.5) AS median, quantile_disc(v, 0.75) AS q3 FROM x GROUP BY grp""", x=_src))(_mk_quartiles(_skewed))
+
+
+@register("describe_price", _describe_sql(SQL_PRICE))
+def q_describe_price(spark, sf):
+    return _round(ST.describe(_prices(spark, sf), "v", by="grp"), DP, "mean", "std", "q25", "q50", "q75")
+
+
+@register("trim_upper_quantile_price", f"""SELECT grp, v FROM ({SQL_PRICE}) a
+WHERE v <= (SELECT quantile_cont(v, 0.95) FROM ({SQL_PRICE}) b)""")
+def q_trim_upper_quantile_price(spark, sf):
+    return ST.trim_upper_quantile(_prices(spark, sf), "v", 0.95)
+
+
+@register("histogram_price_by_status", histogram_sql(SQL_PRICE, 50))
+def q_histogram_price_by_status(spark, sf):
+    return _round_hist(ST.histogram(_prices(spark, sf), "v", 50, by="grp"))
+
+
+@register("box_stats_price", box_sql(SQL_PRICE))
+def q_box_stats_price(spark, sf):
+    return _round_box(ST.box_stats(_prices(spark, sf), "v", by="grp"))
+
+
+@register("density_price", density_sql(SQL_PRICE))
+def q_density_price(spark, sf):
+    return _round_density(ST.density(_prices(spark, sf), "v", by="grp"))
+
+
 def queries() -> dict[str, Query]:
     return {name: fn for name, (fn, _) in REGISTRY.items()}
 
