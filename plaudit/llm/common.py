@@ -3,6 +3,7 @@ prefix sums without a single-task window, connected components."""
 
 from __future__ import annotations
 
+import threading
 import uuid
 from contextlib import contextmanager
 
@@ -11,13 +12,41 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plaudit.session import checkpoint_root
+from plaudit.sources.sinks import drop_folder
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+_SCOPES = threading.local()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder name under the shared checkpoint folder."""
-    return f"{checkpoint_root(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_root(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+    for scope in getattr(_SCOPES, "open", []):
+        scope.append((name, path))
+    return path
+
+
+def drop(path: str) -> None:
+    """Delete a scratch folder; nothing if it is gone."""
+    drop_folder(path)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession, keep: tuple[str, ...] = ()):
+    """Scratch folders that this thread names inside the block are deleted when
+    it ends, but for those called one of ``keep``. What reads them lazily must
+    be written inside the block."""
+    mine: list[tuple[str, str]] = []
+    _SCOPES.open = [*getattr(_SCOPES, "open", []), mine]
+    try:
+        yield
+    finally:
+        _SCOPES.open = [s for s in _SCOPES.open if s is not mine]
+        for name, path in mine:
+            if name not in keep:
+                drop(path)
 
 
 @contextmanager

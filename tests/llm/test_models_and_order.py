@@ -264,30 +264,3 @@ def test_materialise_round_trip(spark, edge):
 
 def test_materialise_empty(empty):
     assert materialise.materialise(empty).count() == 0
-
-
-def test_pipeline_stages(spark):
-    import corpus_pipeline as C
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    from plaudit.llm.common import cut
-    names = [n for n, _ in C.STAGES]
-    assert names == ["quality_filter", "near_dedup", "decontaminate", "mix", "training_order"]
-    kept = {}
-    for name, stage in C.STAGES:
-        before, docs = docs, cut(stage(spark, docs, SF), name)
-        kept[name] = docs
-        if name != "training_order":
-            assert docs.columns == before.columns
-    bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
-    found = brute_overlap([(r.doc_id, r.text) for r in kept["near_dedup"].collect()], bench)
-    assert {d for d, _, hits, _ in found if not hits} == {r.doc_id for r in kept["decontaminate"].collect()}
-    ids = {i for r in docs.collect() for i in r.doc_ids}
-    assert ids == {r.doc_id for r in kept["mix"].collect()}
-
-
-def test_pipeline_stages_on_edge_tables(spark, edge, empty):
-    import corpus_pipeline as C
-    for name, stage in C.STAGES[:-1]:
-        assert stage(spark, edge, SF).columns == edge.columns
-        assert stage(spark, empty, SF).count() == 0
-    assert C.STAGES[-1][1](spark, edge, SF).count() > 0
