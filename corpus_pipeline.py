@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from plaudit.llm import decontam, materialise, mixing, quality, simhash
-from plaudit.llm.common import cut
+from plaudit.llm.common import drop, scratch_path, scratch_scope
 
 # Token shares of the mix; the budget keeps the clean domain's tokens and adds
 # a surplus, so that clean documents stay and the other domains shrink.
@@ -54,13 +54,24 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("training_order", training_order),
 ]
 
-# Compression, SimHash and tokenising are beyond SQL; tests/llm holds each
-# stage against a brute-force version.
+# Compression, SimHash and tokenising are beyond SQL; tests/llm/test_pipeline.py
+# holds each stage against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
+    """All stages over the documents. A stage's table is dropped when the next
+    one is written, its operators' scratch tables when it is written itself."""
+    docs, last = _table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+        path = scratch_path(spark, name)
+        with scratch_scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.schema(docs.schema).parquet(path)
+        if last:
+            drop(last)
+        last = path
+    with scratch_scope(spark, keep=("shards", "manifest")):
+        out = STAGES[-1][1](spark, docs, sf_dir)
+    drop(last)
+    return out
