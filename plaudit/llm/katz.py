@@ -36,6 +36,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 import xxhash
@@ -50,7 +51,8 @@ START, END = 0, 1           # hashes that no word has
 _WORD = (1 << 56) - 2
 _GROUP_BYTES = 32 << 20     # texts whose records are packed together in a task
 _CODE_BYTES = 4 << 20       # of these, split into words at once
-_BUCKET_TOKENS = 1 << 20    # records of a bucket, about
+_BUCKET_TOKENS = 5 << 18    # records of a bucket, about
+_LEAST_BUCKETS = 64
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
@@ -143,34 +145,38 @@ def _from_ranges(d: np.ndarray, new: np.ndarray) -> np.ndarray:
 def _frequent(docs: DataFrame, bucket_tokens: int) -> tuple[int, dict[int, int]]:
     """(number of buckets, {word hash: buckets it is dealt over}).
 
-    Each task names the words above a quarter of a bucket's share of its own
-    tokens. The number of buckets isn't known yet, so it names at most 65 536
-    and at least the words with 1/65 536 of its tokens; a word that is frequent
-    overall is so in some task, and what the other tasks keep back is under a
-    quarter of its limit. Only balance depends on this list."""
+    A word is dealt over several buckets where it has more records than one
+    should hold. The number of buckets isn't known yet, so each task names
+    the words with 1/65 536 of its tokens, 65 536 at most; what is kept back of
+    a word is less than that share. Only balance depends on this list."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, seen = 0, {START: 0}
-        for texts, in _groups(batches, 1):
-            code, hashes, sizes = _tokens(texts)
-            total += len(code) + len(texts)
-            seen[START] += len(texts)
-            n = np.bincount(code, minlength=len(hashes))
-            for h, c in zip(hashes[n > 1].tolist(), n[n > 1].tolist()):
-                seen[h] = seen.get(h, 0) + c
-            if len(seen) > 1 << 20:  # rare ones can't reach the limit
-                seen = {h: c for h, c in seen.items() if c << 17 >= total}
+        for batch in batches:
+            lengths = np.cumsum(batch.column(1).to_numpy())
+            at = 0
+            while at < batch.num_rows:
+                end = max(at + 1, int(np.searchsorted(lengths, (lengths[at - 1] if at else 0) + _CODE_BYTES, "right")))
+                words = [w for t in batch.column(0).slice(at, end - at) for w in t.as_py().translate(_LOWER).split()]
+                total += len(words) + end - at
+                seen[START] += end - at
+                found = pa.array(words, pa.binary()).value_counts()
+                often = found.filter(pc.greater(found.field("counts"), len(words) >> 17))
+                for x in often.to_pylist():
+                    h = word_hash(x["values"])
+                    seen[h] = seen.get(h, 0) + x["counts"]
+                at = end
         keep = [(h, c) for h, c in seen.items() if c << 16 >= total]
         yield pa.RecordBatch.from_arrays([
             pa.array([-1, *(h for h, _ in keep)], pa.int64()), pa.array([total, *(c for _, c in keep)], pa.int64())],
             ["h", "c"])
 
-    named = docs.select("t").mapInArrow(count, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
+    named = docs.select("t", F.length("t")).mapInArrow(count, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
     named = cut(named, "frequent-words")
     total = named.where("h = -1").agg(F.sum("c")).first()[0] or 0
-    buckets = max(8, -(-total // bucket_tokens))
+    buckets = max(_LEAST_BUCKETS if total >= bucket_tokens else 8, -(-total // bucket_tokens))
     share = total / buckets
-    rows = named.where("h >= 0").where(F.col("c") > share / 2).collect()  # 2 * buckets rows at most
-    return buckets, {r["h"]: int(-(-2 * r["c"] // share)) for r in rows}
+    rows = named.where("h >= 0").where(F.col("c") > share).collect()  # fewer rows than buckets
+    return buckets, {r["h"]: int(-(-r["c"] // share)) for r in rows}
 
 
 def _numbered(cols: list[np.ndarray], place: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -548,7 +554,7 @@ def _seen_mass(counts: DataFrame, order: int, totals: Totals) -> DataFrame:
         for batch in batches:
             for blob in batch.column(0):
                 h, x = _Bucket(blob.as_py(), order, totals).seen_after()
-                yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(x)], ["h", "x"])
+                yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(x, pa.float64())], ["h", "x"])
 
     return (counts.select("blob").mapInArrow(run, "h long, x double").groupBy("h").agg(F.sum("x").alias("x")))
 
@@ -582,8 +588,11 @@ def _evaluate(counts: DataFrame, mass: DataFrame, bigrams: DataFrame, order: int
                 after = rows.filter(rows["b"].is_null())
                 after = after.filter(pa.array(np.isin(after["a"].to_numpy(), got.words)))
                 pairs = rows.filter(rows["b"].is_valid())  # before to_numpy: nulls would make the hashes floats
+                del rows
                 out = got.scores({c: after[c].to_numpy() for c in "ax"}, {c: pairs[c].to_numpy() for c in "abc"})
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], ["key", "n", "known", "base", "score"])
+                kinds = [pa.int64()] * 3 + [pa.float64()] * 2
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds)],
+                                                 ["key", "n", "known", "base", "score"])
 
     return counts.select("bucket", "blob").mapInArrow(run, "key long, n long, known long, base double, score double")
 
