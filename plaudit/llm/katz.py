@@ -226,7 +226,7 @@ def _records(docs: DataFrame, order: int, buckets: int, frequent: dict[int, int]
                 part = (_mix(hashes + 7)[cols[2][many]] % ways[many].astype(np.uint64)).astype(np.int64)
                 home[many] = (home[many] + part) % buckets
             # rare words are numbered by their hash, so that it can be stored as a difference
-            rare = np.bincount(token, minlength=len(hashes)) < 4
+            rare = np.bincount(token, minlength=len(hashes)) < 64
             rank = np.empty(len(hashes), np.int32)
             rank[np.lexsort((np.where(rare, hashes, np.arange(len(hashes))), rare))] = np.arange(len(hashes))
             back = np.argsort(rank)
