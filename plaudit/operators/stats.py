@@ -285,14 +285,17 @@ def density(df: DataFrame, value: str, by: str | None = None, grid: int = KDE_GR
         "group", "_n", "_bw", F.col("_min").alias("_at"),
         (F.col("_min") - cut * F.col("_bw")).alias("_gmin"),
         (F.col("_max") + cut * F.col("_bw")).alias("_gmax")).where(F.col("_bw").isNotNull()))
+    def on(rows: DataFrame) -> DataFrame:
+        return on_group(rows, m) if by else _attach(rows, m, None)
+
     far = (F.col("value") - F.col("_at")) / F.col("_bw") * KDE_CELLS
-    cells = on_group(base, m).select("group", "_w", F.floor(far).alias("cell"),
+    cells = on(base).select("group", "_w", F.floor(far).alias("cell"),
                                      ((far - F.floor(far) - 0.5) / KDE_CELLS).alias("z"))
     power, sums = F.col("_w").cast("double"), []
     for k in range(KDE_ORDER):
         sums.append(F.sum(power).alias(f"s{k}"))
         power = power * F.col("z")
-    cells = on_group(cells.groupBy("group", "cell").agg(*sums), m)
+    cells = on(cells.groupBy("group", "cell").agg(*sums))
     step = (F.col("_gmax") - F.col("_gmin")) / (grid - 1)
     centre = F.col("_at") + (F.col("cell") + 0.5) / KDE_CELLS * F.col("_bw")
     first = F.greatest(F.ceil((centre - KDE_REACH * F.col("_bw") - F.col("_gmin")) / step), F.lit(0))
