@@ -215,7 +215,7 @@ def histogram(df: DataFrame, value: str, bins: int, by: str | None = None,
     # One row per group with a bin -> count map of at most ``bins`` entries.
     per_group = counts.groupBy("group").agg(
         F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("_m"))
-    full = on_group(span, per_group).select(
+    full = (on_group(span, per_group) if by else _attach(span, per_group, None)).select(
         "group", "_lo", "_hi", "_m", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     step = (F.col("_hi") - F.col("_lo")) / bins
     return full.select(
