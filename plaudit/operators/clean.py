@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from plaudit.functions.sampling import hash_sample_predicate
 from plaudit.functions.sentiment import sentiment as sentiment_expr
+from plaudit.sources.sinks import materialize
+
+REPEATED_HASHES = 1 << 20  # hashes of repeated keys that are broadcast, 8 bytes each
 
 
 def _require(df: DataFrame, *names: str) -> None:
@@ -51,6 +54,34 @@ def dedup_reviews(df: DataFrame, order_by: str | None = None,
                       *[F.col(f"_best.{c}").alias(c) for c in rest]).select(*df.columns)
 
 
+def dedup_reviews_late(df: DataFrame, order_by: str | None = None, keys: Sequence[str] | None = None,
+                       folder: str | None = None, max_hashes: int = REPEATED_HASHES) -> DataFrame:
+    """``dedup_reviews``, the same rows, for inputs with few duplicates: only
+    rows whose key may occur twice are shuffled.
+
+    A first pass shuffles one 64-bit hash per distinct key and task and writes
+    the hashes that occur more than once into ``folder``. Rows with another
+    hash are unique and pass without a shuffle; the others go through
+    ``dedup_reviews``, which compares whole keys, so keys that merely share a
+    hash stay apart. The hashes are counted before they are broadcast; above
+    ``max_hashes`` all rows are de-duplicated the plain way.
+
+    Runs its first pass when called and reads ``df`` up to three times, so
+    ``df`` should be a written table and give the same rows each time.
+    """
+    keys = list(keys) if keys else dedup_key(df)
+    _require(df, *keys)
+    if order_by is not None:
+        _require(df, order_by)
+    hashes = df.select(F.xxhash64(*keys).alias("_repeated")).groupBy("_repeated").agg(F.count(F.lit(1)).alias("n"))
+    repeated = materialize(hashes.filter("n > 1").select("_repeated"), "repeated_keys", folder)
+    if repeated.count() > max_hashes:
+        return dedup_reviews(df, order_by, keys)
+    same = F.xxhash64(*[df[k] for k in keys]) == repeated["_repeated"]
+    alone = df.join(F.broadcast(repeated), same, "left_anti")
+    return alone.unionByName(dedup_reviews(df.join(F.broadcast(repeated), same, "left_semi"), order_by, keys))
+
+
 def clean_reviews(df: DataFrame, dedup: bool = True, order_by: str | None = None) -> DataFrame:
     """Trim text (spaces only), drop null/blank text, drop null/NaN/malformed
     scores, then dedup (B1-B6).

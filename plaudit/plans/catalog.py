@@ -140,6 +140,17 @@ def q_csv_round_trip(spark, sf):
         "game_id", "game", "app_name", "review_text", "review_score", "review_votes")
 
 
+@register("quoted_split_csv_round_trip", f"""SELECT CAST(game_id AS VARCHAR) AS game_id, game, app_name, review_text,
+  review_score, review_votes FROM ({SQL_R}) r""")
+def q_quoted_split_csv_round_trip(spark, sf):
+    """A1: quoted newlines, read by byte ranges of a file."""
+    path = f"{run_folder(spark)}/reviews"
+    src = FX.reviews_r(spark, sf).select("game_id", "game", "app_name", "review_text", "review_score", "review_votes")
+    (src.write.option("header", True).option("escape", '"').option("quoteAll", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    return standardize_columns(read_reviews(spark, path, split=True))
+
+
 @register("split_csv_round_trip", f"""SELECT CAST(game_id AS VARCHAR) AS game_id, game, review_score
 FROM ({SQL_S}) s""")
 def q_split_csv_round_trip(spark, sf):
@@ -652,7 +663,7 @@ def q_word_counts(spark, sf):
 
 @register("top_words", f"SELECT * FROM ({_RAW_WORDS_SQL}) x ORDER BY count DESC, word ASC LIMIT 15")
 def q_top_words(spark, sf):
-    return TX.top_words(TX.word_counts(_rc(spark, sf)))
+    return TX.most_frequent_words(_rc(spark, sf))
 
 
 @register("cleaned_corpus", with_ctes(
@@ -689,7 +700,7 @@ for _sent, _minf, _maxw, _suffix in [(None, 5, 150, "all"), ("positive", 3, 100,
 
     def _mk_cloud(sent, maxw):
         return lambda spark, sf: _round(
-            TX.cloud_weights(TX.cleaned_word_freq(_rc(spark, sf), sentiment=sent), maxw), DP, "weight")
+            TX.cloud_words(_rc(spark, sf), sentiment=sent, max_words=maxw), DP, "weight")
 
     register(f"cleaned_word_freq_{_suffix}", _clean_freq_sql(_sent, _minf))(_mk_freq(_sent))
     register(f"cloud_weights_{_suffix}",
@@ -704,9 +715,8 @@ FROM (SELECT word, count(*) AS freq FROM (SELECT unnest({TOKENS_SQL}) AS word FR
 def q_cloud_weights_sampled(spark, sf):
     """Word-cloud weights over a 10 % hash sample of the reviews, the original
     job's setting (F4 -> F6 -> F7)."""
-    freq = TX.cleaned_word_freq(_rc(spark, sf), fraction=TX.TEXT_SAMPLE_FRACTION,
-                                sample_keys=["row_id"])
-    return _round(TX.cloud_weights(freq, TX.CLOUD_WORDS_ALL), DP, "weight")
+    return _round(TX.cloud_words(_rc(spark, sf), fraction=TX.TEXT_SAMPLE_FRACTION,
+                                 sample_keys=["row_id"]), DP, "weight")
 
 
 # --------------------------------------------------------------------------

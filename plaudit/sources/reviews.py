@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plaudit.sources.split_csv import read_split_csv
+
 REVIEW_COLUMNS = ("game_id", "game", "app_name", "review_text", "review_score", "review_votes")
 
 
 def read_reviews(spark: SparkSession, path: str, fmt: str = "csv",
                  schema: T.StructType | str | None = None,
-                 multiline: bool = True, infer_schema: bool = False) -> DataFrame:
+                 multiline: bool = True, infer_schema: bool = False, split: bool = False) -> DataFrame:
     """Scan review files.
 
     CSV is read with a header. ``multiline`` (default on) with ``escape='"'``
@@ -20,12 +22,17 @@ def read_reviews(spark: SparkSession, path: str, fmt: str = "csv",
     split, but such reviews break into several rows). Without a schema and
     without ``infer_schema`` every column is read as a string and
     ``standardize_columns`` casts it, which avoids the extra inference pass
-    over the input.
+    over the input. ``split`` reads uncompressed files with quoted newlines by
+    byte ranges, many tasks to a file (``read_split_csv``).
     """
     if fmt == "parquet":
         return spark.read.parquet(path)
     if fmt != "csv":
         return spark.read.format(fmt).load(path)
+    if split and multiline:
+        if infer_schema or isinstance(schema, str):
+            raise ValueError("split reading takes a StructType, or reads strings")
+        return read_split_csv(spark, path, schema)
     reader = spark.read.option("header", True)
     if multiline:
         reader = reader.option("multiLine", True).option("escape", '"')
