@@ -82,12 +82,16 @@ def dedup_reviews_late(df: DataFrame, order_by: str | None = None, keys: Sequenc
     return alone.unionByName(dedup_reviews(df.join(F.broadcast(repeated), same, "left_semi"), order_by, keys))
 
 
-def clean_reviews(df: DataFrame, dedup: bool = True, order_by: str | None = None) -> DataFrame:
+def clean_reviews(df: DataFrame, dedup: bool = True, order_by: str | None = None, late: bool = False,
+                  folder: str | None = None) -> DataFrame:
     """Trim text (spaces only), drop null/blank text, drop null/NaN/malformed
     scores, then dedup (B1-B6).
 
     The score is cast with ``try_cast`` before the null filter, so a malformed
     score (``abc``) is dropped instead of failing the job; NaN is dropped too.
+    ``late`` leaves texts without a duplicate out of the dedup's shuffle
+    (``dedup_reviews_late``, which writes into ``folder``); ``df`` should then
+    be a written table.
     """
     _require(df, "review_text")
     text = F.trim(F.col("review_text"))
@@ -97,6 +101,8 @@ def clean_reviews(df: DataFrame, dedup: bool = True, order_by: str | None = None
         score = F.col("review_score").try_cast("double")
         out = out.withColumn("review_score", score).filter(
             F.col("review_score").isNotNull() & ~F.isnan(F.col("review_score")))
+    if dedup and late:
+        return dedup_reviews_late(out, order_by, folder=folder)
     if dedup:
         out = dedup_reviews(out, order_by=order_by)
     return out

@@ -8,6 +8,8 @@ Plan:
    (``materialize``): the only dedup shuffle; an executor loss later re-reads
    files instead of recomputing them. Sentiment is a column over that table;
    under the threshold rule its score profile is computed from it first.
+   Input that lies in files is de-duplicated late: a pass over the key columns
+   finds the keys that may occur twice, only their rows are shuffled.
 2. compute the small shared aggregates once, each from the columns it needs
    (parquet column pruning), and materialise them too:
 
@@ -32,6 +34,7 @@ Command line::
 
     python -m plaudit.plans.job --path reviews.csv --out out/ [--no-dedup]
         [--sample-fraction 0.5] [--text-fraction 0.1] [--format parquet|csv]
+        [--split-csv]
 """
 
 from __future__ import annotations
@@ -57,10 +60,10 @@ NUMERIC_FEATURES = ("review_length", "review_score", "review_votes")
 
 
 def prepare(raw: DataFrame, dedup: bool = True, order_by: str | None = None,
-            sample_fraction: float = 1.0) -> DataFrame:
-    """Standardised, cleaned reviews with ``review_length`` (lazy; ``run_all``
-    materialises it)."""
-    cleaned = C.clean_reviews(standardize_columns(raw), dedup=dedup, order_by=order_by)
+            sample_fraction: float = 1.0, late: bool = False, folder: str | None = None) -> DataFrame:
+    """Standardised, cleaned reviews with ``review_length`` (lazy but for the
+    first pass of ``late``; ``run_all`` materialises it)."""
+    cleaned = C.clean_reviews(standardize_columns(raw), dedup=dedup, order_by=order_by, late=late, folder=folder)
     cleaned = C.sample_reviews(cleaned, sample_fraction)
     return cleaned.select("*", F.length("review_text").alias("review_length"))
 
@@ -252,10 +255,13 @@ def run_all(spark: SparkSession, reviews: DataFrame | str, out_dir: str, *,
             sample_fraction: float = 1.0, text_fraction: float = 1.0, rule: str = "equals_one",
             out_format: str = "parquet", write_text_corpus: bool = True,
             only: list[str] | None = None, keep_intermediate: bool = False,
-            parallelism: int = 8, original_layout: bool = False) -> list[str]:
+            parallelism: int = 8, original_layout: bool = False, split_csv: bool = False) -> list[str]:
     """Run the whole analysis; returns the names of the written tables.
 
-    CSV input is parsed once into parquet, which every later read can split.
+    CSV input is parsed once into parquet, which every later read can split;
+    ``split_csv`` parses it by byte ranges too (``read_split_csv``: uncompressed
+    RFC 4180 files, anything else raises). A path is read up to three times
+    before the cleaned table is written, a DataFrame once.
     After the cleaned table and the shared aggregates are materialised, the
     output writes are independent jobs submitted ``parallelism`` at a time.
     ``text_fraction`` is the share of the reviews that the word clouds and the
@@ -270,7 +276,7 @@ def run_all(spark: SparkSession, reviews: DataFrame | str, out_dir: str, *,
     folder = run_folder(spark)
     try:
         return _run(spark, reviews, out_dir.rstrip("/"), folder, input_format, dedup, order_by, sample_fraction,
-                    text_fraction, rule, out_format, write_text_corpus, only, parallelism, original_layout)
+                    text_fraction, rule, out_format, write_text_corpus, only, parallelism, original_layout, split_csv)
     finally:
         if not keep_intermediate:
             drop_folder(folder)
@@ -278,14 +284,16 @@ def run_all(spark: SparkSession, reviews: DataFrame | str, out_dir: str, *,
 
 def _run(spark: SparkSession, reviews: DataFrame | str, out: str, folder: str, input_format: str, dedup: bool,
          order_by: str | None, sample_fraction: float, text_fraction: float, rule: str, out_format: str,
-         write_text_corpus: bool, only: list[str] | None, parallelism: int, original_layout: bool) -> list[str]:
-    if isinstance(reviews, DataFrame):
+         write_text_corpus: bool, only: list[str] | None, parallelism: int, original_layout: bool,
+         split_csv: bool) -> list[str]:
+    in_files = not isinstance(reviews, DataFrame)
+    if not in_files:
         raw = reviews
     else:
-        raw = read_reviews(spark, reviews, input_format)
+        raw = read_reviews(spark, reviews, input_format, split=split_csv)
         if input_format == "csv":
             raw = materialize(standardize_columns(raw), "raw", folder)
-    base = materialize(prepare(raw, dedup, order_by, sample_fraction), "cleaned", folder)
+    base = materialize(prepare(raw, dedup, order_by, sample_fraction, in_files, folder), "cleaned", folder)
     threshold, sh = None, {}
     if rule == "threshold":
         # one profile of the materialised table labels it and everything after
@@ -350,13 +358,15 @@ def main(argv=None) -> None:
     ap.add_argument("--parallelism", type=int, default=8, help="concurrent output jobs")
     ap.add_argument("--original-layout", action="store_true",
                     help="also write the original 15 tables under out/original/")
+    ap.add_argument("--split-csv", action="store_true",
+                    help="read uncompressed RFC 4180 files by byte ranges, many tasks to a file")
     a = ap.parse_args(argv)
     # Shuffle partitions, memory and master are the submitter's to set.
     spark = SparkSession.builder.appName("plaudit").getOrCreate()
     names = run_all(spark, a.path, a.out, input_format=a.input_format, dedup=not a.no_dedup,
                     order_by=a.order_by, sample_fraction=a.sample_fraction, text_fraction=a.text_fraction,
                     rule=a.sentiment_rule, out_format=a.format, parallelism=a.parallelism,
-                    original_layout=a.original_layout)
+                    original_layout=a.original_layout, split_csv=a.split_csv)
     print(f"wrote {len(names)} tables to {a.out}")
 
 
