@@ -31,7 +31,7 @@ further; all its records are in one bucket.
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -53,6 +53,7 @@ _GROUP_BYTES = 32 << 20     # texts whose records are packed together in a task
 _CODE_BYTES = 4 << 20       # of these, split into words at once
 _BUCKET_TOKENS = 5 << 18    # records of a bucket, about
 _LEAST_BUCKETS = 64
+_SLICE = 1 << 18            # pairs of n-gram and document summed at once
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
@@ -115,16 +116,21 @@ def _planes(x: np.ndarray) -> tuple[str, bytes]:
 
 
 def _packed(parts: dict[str, np.ndarray]) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(pickle.dumps({k: _planes(x) for k, x in parts.items()}, 5))
+    """Takes the columns out of ``parts``, so that each is freed once it is narrow."""
+    return zstandard.ZstdCompressor(level=3).compress(pickle.dumps({k: _planes(parts.pop(k)) for k in list(parts)}, 5))
 
 
-def _unpacked(blob: bytes) -> dict[str, np.ndarray]:
-    out = {}
-    for k, (kind, raw) in pickle.loads(zstandard.ZstdDecompressor().decompress(blob)).items():
-        width = np.dtype(kind).itemsize
-        flat = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T)
-        out[k] = flat.view(kind).ravel().astype(np.int64)
-    return out
+def _columns(blob: pa.Buffer) -> dict[str, tuple[str, bytes]]:
+    """The columns of a packed blob, still byte by byte."""
+    return pickle.loads(zstandard.ZstdDecompressor().decompress(blob))
+
+
+def _column(planes: tuple[str, bytes]) -> np.ndarray:
+    """One of them: 32 bits wide where it fits."""
+    kind, raw = planes
+    width = np.dtype(kind).itemsize
+    x = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(kind).ravel()
+    return x.astype(np.int32 if width < 4 or width == 4 and int(x.max(initial=0)) < 1 << 31 else np.int64)
 
 
 def _ranges(x: np.ndarray, new: np.ndarray) -> np.ndarray:
@@ -135,7 +141,32 @@ def _ranges(x: np.ndarray, new: np.ndarray) -> np.ndarray:
 def _from_ranges(d: np.ndarray, new: np.ndarray) -> np.ndarray:
     total = np.cumsum(d)
     begin = np.flatnonzero(new)
-    return total - np.repeat((total - d)[begin], np.diff(np.r_[begin, len(d)]))
+    total -= np.repeat(total[begin] - d[begin], np.diff(np.r_[begin, len(d)]))
+    return total
+
+
+def _changes(x: np.ndarray) -> np.ndarray:
+    """Where a value begins in a sorted column."""
+    new = np.ones(len(x), bool)
+    np.not_equal(x[1:], x[:-1], out=new[1:])
+    return new
+
+
+def _sorted(a: np.ndarray, b: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order that sorts the pairs of a and b, where a new pair begins in it);
+    all b are below ``size``."""
+    both = a.astype(np.int64)
+    both *= size
+    both += b
+    order = np.argsort(both)
+    return order, _changes(both[order])
+
+
+def _numbers(order: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """Number from 0 of each row's pair, by its order."""
+    out = np.empty(len(order), np.int32)
+    out[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
+    return out
 
 
 # --------------------------------------------------------------------------
@@ -213,26 +244,35 @@ def _records(docs: DataFrame, order: int, buckets: int, frequent: dict[int, int]
             token[word] = code
             doc = np.repeat(np.arange(len(texts), dtype=np.int32), sizes + 1)
             place = np.arange(n) - np.repeat(last - sizes, sizes + 1)
+            del code, word
             cols = [token]
             for k in range(1, order):
                 back = np.r_[np.full(min(k, n), start, np.int32), token[:max(0, n - k)]]
                 cols.append(np.where(place >= k, back, np.int32(start)))
-            del place
-            home = _home(hashes, buckets)[cols[1]]
+            del place, back
+            home = _home(hashes, buckets).astype(np.int32)[cols[1]]
             if len(hot):
                 at = np.minimum(np.searchsorted(hot, hashes), len(hot) - 1)
-                ways = np.where(hot[at] == hashes, spread[at], 1)[cols[1]]
-                many = np.flatnonzero(ways > 1)
-                part = (_mix(hashes + 7)[cols[2][many]] % ways[many].astype(np.uint64)).astype(np.int64)
+                ways = np.where(hot[at] == hashes, spread[at], 1)
+                many = np.flatnonzero((ways > 1)[cols[1]])
+                part = (_mix(hashes + 7)[cols[2][many]] % ways[cols[1][many]].astype(np.uint64)).astype(np.int64)
                 home[many] = (home[many] + part) % buckets
+                del many, part
             # rare words are numbered by their hash, so that it can be stored as a difference
             rare = np.bincount(token, minlength=len(hashes)) < 64
             rank = np.empty(len(hashes), np.int32)
             rank[np.lexsort((np.where(rare, hashes, np.arange(len(hashes))), rare))] = np.arange(len(hashes))
             back = np.argsort(rank)
-            cols, hashes, rare = [rank[c] for c in cols], hashes[back], rare[back]
+            hashes, rare = hashes[back], rare[back]
+            del token
+            for k in range(order):
+                cols[k] = rank[cols[k]]
             many = len(hashes)
-            order_by = np.argsort((home * many + cols[1]) * many + cols[0], kind="stable")  # v, then token
+            order_by = home.astype(np.int64)
+            for c in (cols[1], cols[0]):  # v, then token
+                order_by *= many
+                order_by += c
+            order_by = np.argsort(order_by, kind="stable").astype(np.int32 if n < 1 << 31 else np.int64)
             home = home[order_by]
             cuts = np.flatnonzero(np.r_[True, np.diff(home) != 0, True])
             keys, train = np.array(keys, np.int64), np.array(train, np.int64)
@@ -260,23 +300,32 @@ def _by_bucket(rows: DataFrame, buckets: int) -> DataFrame:
     return rows.repartitionById(tasks, (F.col("bucket") % tasks).cast("int"))
 
 
-def _joined(blobs: list[bytes], order: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+def _joined(blobs: list[pa.Buffer], order: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
     """(words, columns, doc, key, train) of a bucket's records."""
-    words, cols, doc, key, train, at_w, at_d = [], [[] for _ in range(order)], [], [], [], 0, 0
+    words, cols, doc, key, train = [], [[] for _ in range(order)], [], [], []
     for blob in blobs:
-        p = _unpacked(blob)
+        p = {k: _column(x) for k, x in _columns(blob).items()}
         words.append(np.r_[p["often"], np.cumsum(p["rare"])])
         new = np.r_[True, p["x1"][1:] > 0]
         p["x0"], p["x1"] = _from_ranges(p["x0"], new), np.cumsum(p["x1"])
         for k in range(order):
-            cols[k].append((p[f"x{k}"] + at_w).astype(np.int32))
-        doc.append((p["doc"] + at_d).astype(np.int32))
-        key.append(p["key"])
+            cols[k].append(p[f"x{k}"].astype(np.int32))
+        doc.append(p["doc"].astype(np.int32))
+        key.append(p["key"].astype(np.int64))
         train.append(p["train"])
-        at_w, at_d = at_w + len(words[-1]), at_d + len(key[-1])
+
+    def merged(parts: list[np.ndarray], sizes: list[int], place: np.ndarray) -> np.ndarray:
+        starts = np.cumsum(sizes) - sizes
+        return np.concatenate([place[a:a + n][x] for x, a, n in zip(parts, starts, sizes)])
+
+    sizes = [len(w) for w in words]
     words, place = np.unique(np.concatenate(words), return_inverse=True)
+    place = place.astype(np.int32)
+    for k in range(order):
+        cols[k] = merged(cols[k], sizes, place)
+    sizes = [len(x) for x in key]
     key, first, row = np.unique(np.concatenate(key), return_index=True, return_inverse=True)
-    return words, [place[np.concatenate(c)] for c in cols], row[np.concatenate(doc)], key, np.concatenate(train)[first]
+    return words, cols, merged(doc, sizes, row.astype(np.int32)), key, np.concatenate(train)[first]
 
 
 _COUNTS = "bucket int, blob binary, stats array<long>, hot array<struct<v:long,w:long,c:long>>"
@@ -290,44 +339,51 @@ def _count(records: DataFrame, order: int, buckets: int, frequent: dict[int, int
     words, those too that only other buckets have in training."""
     hot_words = np.array(sorted(frequent), np.int64)
 
-    def finish(bucket: int, blobs: list[bytes]) -> pa.RecordBatch:
+    def finish(bucket: int, blobs: list[pa.Buffer]) -> pa.RecordBatch:
         words, cols, doc, key, train = _joined(blobs, order)
+        blobs.clear()
         size = len(words)
         code = cols[1]
         for k in [*range(2, order), 0]:  # v, the words before it, the token
-            _, code = np.unique(code * size + cols[k], return_inverse=True)
-        pair, many = np.unique(code * len(key) + doc, return_counts=True)
-        gram, doc = pair // len(key), pair % len(key)
-        first = np.zeros(int(code.max()) + 1, np.int64)
-        first[code] = np.arange(len(code))
-        cols = [c[first] for c in cols]
-        seen = np.bincount(gram, weights=many * train[doc], minlength=len(first)).astype(np.int64)
+            code = _numbers(*_sorted(code, cols[k], size))
+        rows, new = _sorted(code, doc, len(key))
+        begin = np.flatnonzero(new)
+        many = np.diff(np.r_[begin, len(rows)]).astype(np.int32)
+        rows = rows[begin]
+        code, doc = code[rows], doc[rows]
+        begins = _changes(code)  # n-grams among the pairs of n-gram and document
+        first = rows[begins]
+        del code, rows, new, begin
+        for k in range(order):
+            cols[k] = cols[k][first]
+        del first
+        grams = np.flatnonzero(begins)
+        seen = np.add.reduceat(many * train[doc], grams, dtype=np.int64)
         stats = np.zeros((order + 1, MOST + 1), np.int64)
-        v = words[cols[1]]
-        is_hot = np.isin(v, hot_words)
+        is_hot = np.isin(words, hot_words)
         total = np.bincount(cols[1], weights=seen, minlength=size).astype(np.int64)
-        plain = total[~np.isin(words, [START, *hot_words.tolist()])]
-        stats[0, :3] = total[words != START].sum(), (plain > 0).sum(), seen[words[cols[0]] == END].sum()
+        plain = total[~is_hot & (words != START)]
+        stats[0, :3] = total[words != START].sum(), (plain > 0).sum(), seen[(words == END)[cols[0]]].sum()
         stats[1] = np.bincount(plain, minlength=MOST + 2)[1:MOST + 2]
+        pair, pair_sums, _ = _pairs(cols, size, seen)
+        hot = is_hot[pair // size]
+        hot_pairs, hot_sums = pair[hot], pair_sums[hot]
         for k in range(2, order + 1):
-            sums = _sums(cols, k, size, seen)[1]
-            if k == 2:
-                hot_pairs, hot_sums, _ = _pairs([c[is_hot] for c in cols], size, seen[is_hot])
-                sums = _pairs(cols, size, seen * ~is_hot)[1]
+            sums = pair_sums[~hot] if k == 2 else seen if k == order else _longer(cols, k, size, seen)[1]
             stats[k] = np.bincount(np.minimum(sums, MOST + 2), minlength=MOST + 3)[1:MOST + 2]
+        del pair, pair_sums, hot
         # n-grams are in the order of v, the words before it, the token; their documents in order
-        new = np.r_[True, np.diff(cols[1]) != 0]
-        begins = np.r_[True, np.diff(gram) != 0]
+        new = _changes(cols[1])
         blob = _packed({f"x{k}": c for k, c in enumerate(cols) if k != 1} | {
             "x1": np.diff(cols[1], prepend=0), "x2": _ranges(cols[2], new), "words": np.diff(words, prepend=0),
-            "c": seen, "n": np.bincount(gram), "doc": _ranges(doc, begins), "many": many, "key": key.view(np.uint64)})
-        return pa.RecordBatch.from_pylist([{
-            "bucket": bucket, "blob": blob, "stats": stats.ravel().tolist(),
-            "hot": [{"v": int(a), "w": int(b), "c": int(c)} for a, b, c in
-                    zip(words[hot_pairs // size], words[hot_pairs % size], hot_sums)]}], schema=schema)
-
-    schema = pa.schema([("bucket", pa.int32()), ("blob", pa.binary()), ("stats", pa.list_(pa.int64())),
-                        ("hot", pa.list_(pa.struct([(c, pa.int64()) for c in "vwc"])))])
+            "c": seen, "n": np.diff(np.r_[grams, len(doc)]), "doc": _ranges(doc, begins), "many": many,
+            "key": key.view(np.uint64)})
+        hot = pa.StructArray.from_arrays([pa.array(x, pa.int64()) for x in
+                                          (words[hot_pairs // size], words[hot_pairs % size], hot_sums)], ["v", "w", "c"])
+        return pa.RecordBatch.from_arrays([
+            pa.array([bucket], pa.int32()), pa.array([blob], pa.binary()),
+            pa.array([stats.ravel().tolist()], pa.list_(pa.int64())),
+            pa.ListArray.from_arrays(pa.array([0, len(hot)], pa.int32()), hot)], ["bucket", "blob", "stats", "hot"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, blobs = None, []
@@ -337,7 +393,7 @@ def _count(records: DataFrame, order: int, buckets: int, frequent: dict[int, int
                     yield finish(now, blobs)
                     blobs = []
                 now = bucket
-                blobs.append(blob.as_py())
+                blobs.append(blob.as_buffer())
         if blobs:
             yield finish(now, blobs)
 
@@ -347,22 +403,27 @@ def _count(records: DataFrame, order: int, buckets: int, frequent: dict[int, int
 
 def _pairs(cols: list[np.ndarray], size: int, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bigrams (v, token) as one number, their counts, the place of each n-gram's."""
-    pair, at = np.unique(cols[1] * size + cols[0], return_inverse=True)
+    order, new = _sorted(cols[1], cols[0], size)
+    first = order[new]
+    at = _numbers(order, new)
+    pair = cols[1][first].astype(np.int64) * size + cols[0][first]
     return pair, np.bincount(at, weights=seen, minlength=len(pair)).astype(np.int64), at
 
 
-def _contexts(cols: list[np.ndarray], k: int, size: int) -> np.ndarray:
-    """Number from 0 of each n-gram's context of its last k words."""
-    code = np.unique(cols[1], return_inverse=True)[1]
+def _contexts(cols: list[np.ndarray], k: int) -> np.ndarray:
+    """Number from 0 of each n-gram's context of its last k words, by which
+    the n-grams of the table are sorted."""
+    new = _changes(cols[1])
     for j in range(2, k + 1):
-        code = np.unique(code * size + cols[j], return_inverse=True)[1]
-    return code
+        new |= _changes(cols[j])
+    return np.cumsum(new, dtype=np.int32) - np.int32(1)
 
 
-def _sums(cols: list[np.ndarray], k: int, size: int, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(place of each n-gram's k-gram, counts of the k-grams)."""
-    at = np.unique(_contexts(cols, k - 1, size) * size + cols[0], return_inverse=True)[1]
-    return at, np.bincount(at, weights=seen).astype(np.int64)
+def _longer(cols: list[np.ndarray], k: int, size: int, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place of each n-gram's k-gram, counts of the k-grams, an n-gram of each)."""
+    order, new = _sorted(_contexts(cols, k - 1), cols[0], size)
+    at = _numbers(order, new)
+    return at, np.bincount(at, weights=seen).astype(np.int64), order[new]
 
 
 # --------------------------------------------------------------------------
@@ -445,31 +506,35 @@ def _totals(counts: DataFrame, order: int, bigrams: DataFrame, frequent: dict[in
 # --------------------------------------------------------------------------
 
 class _Bucket:
-    """A row of the n-gram table, with what its n-grams have in common."""
-
-    def __init__(self, blob: bytes, order: int, totals: Totals):
-        p = _unpacked(blob)
-        new = np.r_[True, p["x1"][1:] > 0]
-        p["x1"], p["x2"] = np.cumsum(p["x1"]), _from_ranges(p["x2"], new)
-        self.p, self.totals, self.order = p, totals, order
-        self.words = np.cumsum(p["words"])
+    """A row of the n-gram table, with what its n-grams have in common. Its
+    columns are taken out of the blob as they are needed."""
+
+    def __init__(self, blob: pa.Buffer, order: int, totals: Totals):
+        self.p, self.totals, self.order = _columns(blob), totals, order
+        step = self._take("x1")
+        self.v = np.cumsum(step, dtype=np.int32)
+        self.u = _from_ranges(self._take("x2"), np.r_[True, step[1:] > 0]).astype(np.int32)
+        del step
+        self.words = np.cumsum(self._take("words"))
         self.size = len(self.words)
-        self.cols = [p[f"x{k}"] for k in range(order)]
-        self.seen = p["c"]
+        self.seen = self._take("c")
         # c(v) by place in words; frequent words have theirs from all buckets
-        self.count = np.bincount(self.cols[1], weights=self.seen, minlength=self.size)
+        self.count = np.bincount(self.v, weights=self.seen, minlength=self.size)
         for h, (c, _, _) in totals.hot.items():
             i = np.searchsorted(self.words, h)
             if i < self.size and self.words[i] == h:
                 self.count[i] = c
-        self.pair = _contexts(self.cols, 2, self.size)
-        self.pair_count = np.bincount(self.pair, weights=self.seen)
+        self.pair = _contexts([None, self.v, self.u], 2)
+        self.first = np.flatnonzero(_changes(self.pair))  # n-gram of each pair
+        self.pair_count = np.add.reduceat(self.seen, self.first, dtype=np.int64)
+
+    def _take(self, name: str) -> np.ndarray:
+        return _column(self.p.pop(name))
 
     def seen_after(self) -> tuple[np.ndarray, np.ndarray]:
         """(hash of u, unigram mass of the words v of this bucket seen after u)."""
-        first = np.unique(self.pair, return_index=True)[1]
-        first = first[(self.pair_count > 0) & (self.words[self.cols[1][first]] != START)]
-        u, v = self.cols[2][first], self.cols[1][first]
+        first = self.first[(self.pair_count > 0) & (self.words != START)[self.v[self.first]]]
+        u, v = self.u[first], self.v[first]
         place, at = np.unique(u, return_inverse=True)
         return self.words[place], np.bincount(at, weights=self.totals.unigram(self.count.astype(np.int64))[v])
 
@@ -477,19 +542,21 @@ class _Bucket:
         """(key, tokens, known, base, score) per document; ``mass``: unigram
         mass ``x`` of the words seen after ``a``; ``hot``: counts ``c`` of the
         bigrams (``a``, ``b``) of frequent words."""
-        t, cols, size, seen = self.totals, self.cols, self.size, self.seen
-        v_hash, is_end = self.words[cols[1]], self.words[cols[0]] == END
+        t, size, seen = self.totals, self.size, self.seen
+        cols = [self._take("x0"), self.v, self.u, *(self._take(f"x{k}") for k in range(3, self.order))]
+        end, word = self.words == END, self.words != START
         # bigrams
         pair, c2, at2 = _pairs(cols, size, seen)
         if len(hot["c"]):
             a, b = np.searchsorted(self.words, hot["a"]), np.searchsorted(self.words, hot["b"])
             c2[np.searchsorted(pair, a * size + b)] = hot["c"]
-        num = t.d[2][np.minimum(c2, MOST + 1)] * c2
-        v_of = pair // size
-        gave = np.bincount(v_of, weights=num, minlength=size)
+        p = t.d[2][np.minimum(c2, MOST + 1)] * c2
+        v_of, end_of = pair // size, end[pair % size]
+        del pair
+        gave = np.bincount(v_of, weights=p, minlength=size)
         after = np.zeros(size)  # unigram mass of the words seen after v
         after[np.searchsorted(self.words, mass["a"])] = mass["x"]
-        ends = np.bincount(v_of, weights=(self.words[pair % size] == END) * (c2 > 0), minlength=size) > 0
+        ends = np.bincount(v_of, weights=end_of * (c2 > 0), minlength=size) > 0
         p_end = float(t.unigram(np.array([t.ends]))[0])
         after += ends * p_end
         for h, (_, total, m) in t.hot.items():
@@ -498,41 +565,64 @@ class _Bucket:
                 gave[i], after[i] = total, m
         den = _room(self.count, gave)
         weight = _weight(self.count, gave, den, after)
+        p /= np.maximum(den, 1)[v_of]
         with np.errstate(divide="ignore"):
-            low = np.where(c2 > 0, np.log10(num / np.maximum(den[v_of], 1)), weight[v_of])
-        p_low = np.where(c2 > 0, num / np.maximum(den[v_of], 1), 0.0)[at2]
-        score = low[at2] + np.where(is_end & (c2[at2] == 0), np.log10(p_end), 0.0)
+            low = np.where(c2 > 0, np.log10(p), weight[v_of])
+        low += np.where(end_of & (c2 == 0), np.log10(p_end), 0.0)
+        score, p_low = low[at2], p[at2]
+        del v_of, end_of, c2, at2, low, p
         # longer n-grams, up to the order
         for k in range(3, self.order + 1):
-            context = self.pair if k == 3 else _contexts(cols, k - 1, size)
-            gram, at = np.unique(context * size + cols[0], return_inverse=True)
-            c = np.bincount(at, weights=seen).astype(np.int64)
-            num = t.d[k][np.minimum(c, MOST + 1)] * c
-            own = gram // size
-            first = np.zeros(len(gram), np.int64)
-            first[at] = np.arange(len(at))
-            total = np.bincount(own, weights=c)
-            gave = np.bincount(own, weights=num)
+            own = context = self.pair if k == 3 else _contexts(cols, k - 1)
+            if k < self.order:
+                at, c, first = _longer(cols, k, size, seen)
+                own = context[first]
+            else:  # each n-gram of the table once
+                at = first = slice(None)
+                c = seen
+            p = t.d[k][np.minimum(c, MOST + 1)]
+            p *= c
+            total, gave = np.bincount(own, weights=c), np.bincount(own, weights=p)
             den = _room(total, gave)
-            weight = _weight(total, gave, den, np.bincount(own, weights=p_low[first] * (c > 0)))
+            below = p_low[first]
+            weight = _weight(total, gave, den, np.bincount(own, weights=np.multiply(below, c > 0, out=below)))
+            del below, p_low
+            p /= np.maximum(den, 1)[own]
+            score += weight[context]
+            known = c > 0
             with np.errstate(divide="ignore"):
-                high = np.log10(num / np.maximum(den[own], 1))
-            score = np.where(c[at] > 0, high[at], weight[context] + score)
-            p_low = np.where(c > 0, num / np.maximum(den[own], 1), 0.0)[at]
+                np.copyto(score, np.log10(p)[at], where=known[at])
+            p_low = p[at]
+            del at, first, c, p, known, own, context
+        del p_low
         # the token before, v: known, base, and its unigram if (u, v) was not seen
-        word, cv = v_hash != START, self.count.astype(np.int64)[cols[1]]
-        known = (word & (cv > 0)).astype(np.int64) + (is_end & (t.ends > 0))
-        base = word * t.base(cv) + is_end * t.base(t.ends)
-        score += np.where(word & (self.pair_count[self.pair] == 0), np.log10(t.unigram(cv)), 0.0)
-        gram = np.repeat(np.arange(len(seen)), self.p["n"])
-        doc = _from_ranges(self.p["doc"], np.r_[True, np.diff(gram) != 0])
-        many, key = self.p["many"].astype(np.float64), self.p["key"]
-
-        def per_doc(x: np.ndarray) -> np.ndarray:
-            return np.bincount(doc, weights=many * x[gram], minlength=len(key))
-
-        return (key, np.bincount(doc, weights=many, minlength=len(key)).astype(np.int64),
-                per_doc(known).astype(np.int64), per_doc(base), per_doc(score))
+        v = self.v[self.first]
+        once = np.where(word[v] & (self.pair_count == 0), np.log10(t.unigram(self.count.astype(np.int64)))[v], 0.0)
+        score += once[self.pair]
+        del v, once, self.pair, self.first
+        count = self.count.astype(np.int64)
+        known, base = word & (count > 0), word * t.base(count)
+        known_end, base_end = end & (t.ends > 0), end * t.base(t.ends)
+        return self._by_document(lambda a, b: (
+            1.0, known[cols[1][a:b]] + known_end[cols[0][a:b]].astype(float), base[cols[1][a:b]] + base_end[cols[0][a:b]],
+            score[a:b]))
+
+    def _by_document(self, values: Callable[[int, int], tuple]) -> tuple[np.ndarray, ...]:
+        """(key, tokens, known, base, score): the values of a range of n-grams,
+        summed over the documents that hold them."""
+        n, docs, many, key = (self._take(c) for c in ("n", "doc", "many", "key"))
+        until, sums, a = np.cumsum(n), np.zeros((4, len(key))), 0
+        while a < len(n):
+            start = until[a] - n[a]
+            b = max(a + 1, int(np.searchsorted(until, start + _SLICE, "right")))
+            mine, (each, of) = slice(start, until[b - 1]), (n[a:b], np.repeat(np.arange(b - a), n[a:b]))
+            new = np.zeros(len(of), bool)
+            new[np.cumsum(each) - each] = True
+            doc = _from_ranges(docs[mine], new)
+            for i, x in enumerate(values(a, b)):
+                sums[i] += np.bincount(doc, weights=many[mine] * (x[of] if np.ndim(x) else x), minlength=len(key))
+            a = b
+        return key.astype(np.int64), sums[0].astype(np.int64), sums[1].astype(np.int64), sums[2], sums[3]
 
 
 def _room(count: np.ndarray, gave: np.ndarray) -> np.ndarray:
@@ -553,7 +643,7 @@ def _seen_mass(counts: DataFrame, order: int, totals: Totals) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for blob in batch.column(0):
-                h, x = _Bucket(blob.as_py(), order, totals).seen_after()
+                h, x = _Bucket(blob.as_buffer(), order, totals).seen_after()
                 yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(x, pa.float64())], ["h", "x"])
 
     return (counts.select("blob").mapInArrow(run, "h long, x double").groupBy("h").agg(F.sum("x").alias("x")))
@@ -583,7 +673,7 @@ def _evaluate(counts: DataFrame, mass: DataFrame, bigrams: DataFrame, order: int
         for batch in batches:
             for bucket, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
                 rows = _side(fs, f"{root}/bucket={bucket}")
-                got = _Bucket(blob.as_py(), order, totals)
+                got = _Bucket(blob.as_buffer(), order, totals)
                 # a word may have its home here without being a context here
                 after = rows.filter(rows["b"].is_null())
                 after = after.filter(pa.array(np.isin(after["a"].to_numpy(), got.words)))
