@@ -234,16 +234,18 @@ def _records(docs: DataFrame, order: int, buckets: int, frequent: dict[int, int]
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for texts, keys, train in _groups(batches, 3):
             code, hashes, sizes = _tokens(texts)
+            texts.clear()
             hashes = np.r_[hashes, END, START]
             end, start = len(hashes) - 2, len(hashes) - 1
-            n = len(code) + len(texts)
+            n = len(code) + len(sizes)
             last = np.cumsum(sizes + 1) - 1
             token = np.full(n, end, np.int32)
             word = np.ones(n, bool)
             word[last] = False
             token[word] = code
-            doc = np.repeat(np.arange(len(texts), dtype=np.int32), sizes + 1)
-            place = np.arange(n) - np.repeat(last - sizes, sizes + 1)
+            doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes + 1)
+            place = np.arange(n, dtype=np.int32)  # n is below 2^31: a value in Spark has at most that many bytes
+            place -= np.repeat((last - sizes).astype(np.int32), sizes + 1)
             del code, word
             cols = [token]
             for k in range(1, order):
@@ -268,17 +270,15 @@ def _records(docs: DataFrame, order: int, buckets: int, frequent: dict[int, int]
             for k in range(order):
                 cols[k] = rank[cols[k]]
             many = len(hashes)
-            order_by = home.astype(np.int64)
-            for c in (cols[1], cols[0]):  # v, then token
-                order_by *= many
-                order_by += c
-            order_by = np.argsort(order_by, kind="stable").astype(np.int32 if n < 1 << 31 else np.int64)
+            home = _small(home)
+            order_by = np.argsort(home, kind="stable").astype(np.int32)
             home = home[order_by]
-            cuts = np.flatnonzero(np.r_[True, np.diff(home) != 0, True])
+            cuts = np.r_[np.flatnonzero(_changes(home)), n]
             keys, train = np.array(keys, np.int64), np.array(train, np.int64)
             word_place, doc_place = np.empty(many, np.int32), np.empty(len(keys), np.int32)
             for a, b in zip(cuts[:-1], cuts[1:]):
                 mine = order_by[a:b]
+                mine = mine[np.argsort(cols[1][mine] * np.int64(many) + cols[0][mine], kind="stable")]  # v, then token
                 words, x = _numbered([c[mine] for c in cols], word_place)
                 docs_, (where,) = _numbered([doc[mine]], doc_place)
                 new = np.r_[True, x[1][1:] != x[1][:-1]]
