@@ -30,6 +30,7 @@ further; all its records are in one bucket.
 
 from __future__ import annotations
 
+import ctypes
 import pickle
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -71,6 +72,15 @@ def _home(h: np.ndarray, buckets: int) -> np.ndarray:
     return (_mix(h) % np.uint64(buckets)).astype(np.int64)
 
 
+def _trim() -> None:
+    """Give freed memory back to the system; a worker that is kept for later
+    tasks would hold on to the most that any of them took."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+    if trim:
+        trim(0)
+
+
 def _groups(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[list[list]]:
     """Rows in groups of some megabytes of the first column, a longer text alone."""
     held, size = [[] for _ in range(columns)], 0
@@ -235,6 +245,7 @@ def _records(docs: DataFrame, order: int, buckets: int, frequent: dict[int, int]
         for texts, keys, train in _groups(batches, 3):
             code, hashes, sizes = _tokens(texts)
             texts.clear()
+            _trim()
             hashes = np.r_[hashes, END, START]
             end, start = len(hashes) - 2, len(hashes) - 1
             n = len(code) + len(sizes)
@@ -290,6 +301,8 @@ def _records(docs: DataFrame, order: int, buckets: int, frequent: dict[int, int]
                     pa.array([int(home[a])], pa.int32()),
                     pa.array([_packed(parts | {f"x{k}": x[k] for k in range(2, order)})], pa.binary())],
                     ["bucket", "blob"])
+            del cols, doc, home, order_by, mine, x, parts
+            _trim()
 
     return docs.select("t", "key", "train").mapInArrow(run, "bucket int, blob binary")
 
@@ -392,10 +405,12 @@ def _count(records: DataFrame, order: int, buckets: int, frequent: dict[int, int
                 if bucket != now and blobs:
                     yield finish(now, blobs)
                     blobs = []
+                    _trim()
                 now = bucket
                 blobs.append(blob.as_buffer())
         if blobs:
             yield finish(now, blobs)
+            _trim()
 
     dealt = _by_bucket(records, buckets).sortWithinPartitions("bucket")
     return cut(dealt.mapInArrow(run, _COUNTS), "katz-counts")
@@ -645,6 +660,7 @@ def _seen_mass(counts: DataFrame, order: int, totals: Totals) -> DataFrame:
             for blob in batch.column(0):
                 h, x = _Bucket(blob.as_buffer(), order, totals).seen_after()
                 yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(x, pa.float64())], ["h", "x"])
+                _trim()
 
     return (counts.select("blob").mapInArrow(run, "h long, x double").groupBy("h").agg(F.sum("x").alias("x")))
 
@@ -674,6 +690,7 @@ def _evaluate(counts: DataFrame, mass: DataFrame, bigrams: DataFrame, order: int
             for bucket, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
                 rows = _side(fs, f"{root}/bucket={bucket}")
                 got = _Bucket(blob.as_buffer(), order, totals)
+                _trim()
                 # a word may have its home here without being a context here
                 after = rows.filter(rows["b"].is_null())
                 after = after.filter(pa.array(np.isin(after["a"].to_numpy(), got.words)))
@@ -683,6 +700,7 @@ def _evaluate(counts: DataFrame, mass: DataFrame, bigrams: DataFrame, order: int
                 kinds = [pa.int64()] * 3 + [pa.float64()] * 2
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds)],
                                                  ["key", "n", "known", "base", "score"])
+                _trim()
 
     return counts.select("bucket", "blob").mapInArrow(run, "key long, n long, known long, base double, score double")
 
